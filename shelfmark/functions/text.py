@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 # The characters trimmed from stored strings.
 BLANKS = " \t\n\r\0\x0b"
 
-# Unicode white space, which collapses to one blank.
-WHITESPACE = r"(?U)[\s\x{180E}]+"
-# The same set spelled out, for engines whose ``\s`` is ASCII.
+# Unicode white space: a run, or one that is not already a plain blank. A single blank
+# between words does not match, so ordinary prose has nothing to replace.
+WHITESPACE = r"(?U)\s(?:\s+|(?<! ))"
+# White space to some regular expressions and not to Java's.
+VOWEL_SEPARATOR = "\u180e"
+# The whole set spelled out, for engines whose ``\s`` is ASCII.
 WHITESPACE_PORTABLE = (
     r"[\s\x0B\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 )
@@ -44,10 +47,10 @@ def _tag_pattern(loop: str = "*+", run: str = "++") -> str:
     plain = rf"[^<>\"']{run}"
     inner = rf"<[^\s<>\"'](?:{plain}|{quoted}|<\s){loop}(?:>|\z)"
     nested = rf"<[^\s<>\"'](?:{plain}|{quoted}|<\s|{inner}){loop}(?:>|\z)"
-    comment = r"<!--(?:-?>|[\s\S]*?(?:-->|\z))"
-    tag = rf"<(?:[^\s<>\"']|{quoted})(?:{plain}|{quoted}|<\s|{nested}){loop}(?:>|\z)"
-    simple = rf"<[^\s<>\"'!][^<>\"']*{run[1:]}>"  # most tags, without the general loop
-    return rf"{simple}|{comment}|<>|{tag}"
+    comment = r"!--(?:-?>|[\s\S]*?(?:-->|\z))"
+    tag = rf"(?:[^\s<>\"']|{quoted})(?:{plain}|{quoted}|<\s|{nested}){loop}(?:>|\z)"
+    simple = rf"[^\s<>\"'!][^<>\"']*{run[1:]}>"  # most tags, without the general loop
+    return rf"<(?:{simple}|{comment}|>|{tag})"
 
 
 TAGS = _tag_pattern()
@@ -114,7 +117,8 @@ def plain_text(markup: Column) -> Column:
     space collapses. ``<li>Cotton</li><li>Wash</li>`` keeps its two words apart."""
     spaced = F.replace(F.replace(markup, F.lit("<"), F.lit(" <")), F.lit(">"), F.lit("> "))
     bare = F.regexp_replace(F.replace(spaced, F.lit("\0"), F.lit("")), TAGS, "")
-    return F.trim(F.regexp_replace(decode_entities(bare), WHITESPACE, " "))
+    decoded = F.replace(decode_entities(bare), F.lit(VOWEL_SEPARATOR), F.lit(" "))
+    return F.trim(F.regexp_replace(decoded, WHITESPACE, " "))
 
 
 def split_values(stored: Column) -> Column:

@@ -9,6 +9,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.schemas import SOURCES, STOCK_TABLE
+
 DEFAULT_SUFFIX = ".html"
 SUFFIX_PATH = "catalog/seo/product_url_suffix"
 
@@ -79,8 +81,13 @@ def load(read: Callable[[str], DataFrame], without: tuple[str, ...] = (), stock_
 
 
 def from_files(spark: SparkSession, folder: str, fmt: str = "parquet", **options) -> Catalogue:
-    """Tables stored as ``{folder}/{table}``."""
-    return load(lambda name: spark.read.format(fmt).load(f"{folder}/{name}"), **options)
+    """Tables stored as ``{folder}/{table}`` with the known row types, so that no file is
+    opened to infer them. The value tables read best partitioned by attribute_id."""
+
+    def read(name: str) -> DataFrame:
+        return spark.read.format(fmt).schema(SOURCES.get(name, STOCK_TABLE)).load(f"{folder}/{name}")
+
+    return load(read, **options)
 
 
 def from_jdbc(
