@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -25,7 +25,7 @@ def read_batch(spark: SparkSession, schema: StructType, path: str, batch_id: int
 
 def read_log(spark: SparkSession, schema: StructType, path: str) -> DataFrame:
     """All batches with their number in ``batch``."""
-    stored = StructType(schema.fields).add("batch", LongType())
+    stored = StructType([*schema.fields, StructField("batch", LongType())])
     return spark.read.schema(stored).parquet(path)
 
 
