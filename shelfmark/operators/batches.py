@@ -61,3 +61,23 @@ def batch_violations(items: DataFrame, size: int = MAX_ITEMS) -> DataFrame:
     )
     reason = F.when(F.col("items") > size, "too many items").when(F.col("without_id") > 0, "item without id")
     return sized.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+# Fixed value: the longest name of a kind of content.
+KIND_CHARS = 20
+
+
+def content_items(rows: DataFrame) -> DataFrame:
+    """Pages and posts (id, object_type, name, visible, permalink, image, excerpt,
+    published_at, version) as items. They carry no price, stock, SKU, brand or variants;
+    a row without an id or with an unusable object_type gets a reject reason and no JSON."""
+    reject = (
+        F.when(F.col("id").isNull(), "no id")
+        .when(F.coalesce(F.length("object_type"), F.lit(0)) == 0, "no object_type")
+        .when(F.length("object_type") > KIND_CHARS, "object_type too long")
+    )
+    visible = F.coalesce("visible", F.lit(False)).alias("visible")
+    data = F.struct("id", "object_type", "name", visible, "permalink", "image", "excerpt", "published_at")
+    return rows.withColumn("reject", reject).withColumn(
+        "json", F.when(F.col("reject").isNull(), item_json(F.lit("upsert"), data, F.col("version")))
+    )

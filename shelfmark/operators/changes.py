@@ -103,3 +103,10 @@ def resync_requests(polls: DataFrame) -> DataFrame:
         "acted",
         (F.col("acted") & ((F.col("seq") == F.col("_first")) | (F.col("pending") == 0))).alias("walk_started"),
     )
+
+
+def resync_walk(requests: DataFrame, entity: DataFrame, version: str = "seq") -> DataFrame:
+    """The full walk that the latest started request asks for, as queue rows to merge into
+    the change flow; nothing when no request started one."""
+    started = requests.where("walk_started").agg(F.max(version).alias("version")).scalar()
+    return full_walk(entity, started).where(F.col("version").isNotNull())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import trimmed
@@ -18,8 +18,9 @@ CATALOGUES = (
 )
 
 
-def catalogue_frame(spark, names: tuple[str, ...] = CATALOGUES) -> DataFrame:
-    return spark.createDataFrame([(name,) for name in names], "catalogue string")
+def catalogue_frame(spark: SparkSession, names: tuple[str, ...] = CATALOGUES) -> DataFrame:
+    """The catalogues as a literal relation, whose size Spark knows."""
+    return spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("catalogue"))
 
 
 def resolve_locales(rows: DataFrame, catalogues: DataFrame, locale: str = "locale") -> DataFrame:

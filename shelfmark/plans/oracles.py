@@ -173,6 +173,9 @@ SELECT l.* FROM o_life l JOIN (SELECT object_id, sum(CASE WHEN kind = 'complete'
 SELECT r.object_id, r.created_seq, r.version, CASE WHEN last_kind = 'claim' THEN 'sending' ELSE 'pending' END AS status, attempts, CASE WHEN last_kind = 'claim' THEN last_ts END AS claimed_at
  FROM o_row r JOIN (SELECT l.object_id, count(*) FILTER (l.kind = 'release') AS attempts, arg_max(l.kind, l.seq) AS last_kind, arg_max(l.ts, l.seq) AS last_ts FROM o_last_life l JOIN o_row r ON r.object_id = l.object_id
   WHERE l.kind <> 'complete' AND (l.kind = 'enqueue' OR (l.seq > r.created_seq AND l.version >= r.first_version)) GROUP BY l.object_id) m ON m.object_id = r.object_id""",
+    "o_resync": """
+SELECT *, bool_or(acted) OVER (PARTITION BY install_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM (
+ SELECT *, token IS DISTINCT FROM lag(token) OVER (PARTITION BY install_id ORDER BY seq) AS acted FROM shop_resync_poll WHERE required AND token <> '') y""",
     "o_line": f"""
 SELECT l.order_id, l.item_id, l.product_id, o.session_id, o.currency, l.row_total, l.row_total_incl_tax, l.discount_amount,
  greatest(0, {_minor("l.row_total_incl_tax", "o.currency")} - {_minor("l.discount_amount", "o.currency")}) AS with_tax,
@@ -281,6 +284,15 @@ ORACLES: dict[str, str] = {
     "batch_violations": """SELECT *, CASE WHEN items > 60 THEN 'too many items' ELSE 'item without id' END AS reason FROM (
  SELECT (entity_id * (entity_id % 3 + 1)) // 130 AS batch_no, count(*) AS items, count(*) FILTER (entity_id % 41 = 0) AS without_id FROM shop_entity GROUP BY 1) x
  WHERE items > 60 OR without_id > 0""",
+    "outcome_log": f"""SELECT b AS seq, entity_id AS object_id, CASE WHEN b % 3 = 0 THEN 'release' ELSE 'complete' END AS kind, CAST({WALK_VERSION} AS BIGINT) AS version
+ FROM (SELECT entity_id, (row_number() OVER (ORDER BY entity_id) - 1) // 100 AS b FROM shop_entity) x""",
+    "content_items": f"""SELECT name, reject, CASE WHEN ok THEN 'upsert' END AS op, CASE WHEN ok THEN CAST({WALK_VERSION} AS BIGINT) END AS version, CASE WHEN ok THEN page_id END AS id,
+ CASE WHEN ok THEN kind END AS object_type, CASE WHEN ok THEN page_id % 2 = 0 END AS visible, CASE WHEN ok THEN url END AS permalink,
+ CASE WHEN ok AND page_id % 3 = 0 THEN array_to_string(string_split(url, '/')[1:3], '/') END AS excerpt, CASE WHEN ok THEN page_id * 86400 END AS published_at
+ FROM (SELECT *, reject IS NULL AS ok FROM (SELECT *, CASE WHEN page_id % 50 = 0 THEN 'no id' WHEN kind = '' THEN 'no object_type' WHEN length(kind) > 20 THEN 'object_type too long' END AS reject
+  FROM (SELECT page_id, url, 'Page ' || page_id AS name, CASE WHEN page_id % 7 = 0 THEN '' WHEN page_id % 11 = 0 THEN url ELSE 'page' END AS kind FROM pages) a) b) c""",
+    "resync_walk": """SELECT 'product' AS object_type, e.entity_id AS object_id, CAST(0 AS BIGINT) AS store_id, 'upsert' AS op, s.seq AS version, 'pending' AS status, CAST(0 AS BIGINT) AS attempts, e.entity_id AS first_seq
+ FROM shop_entity e, (SELECT max(seq) AS seq FROM o_resync WHERE acted AND (pending = 0 OR NOT coalesce(earlier, FALSE))) s""",
     "queue_state": "SELECT object_id, created_seq, version, status, attempts, epoch_us(claimed_at) // 1000 AS claimed_at FROM o_state",
     "requeue_stalled": """SELECT object_id, CASE WHEN claimed_at < TIMESTAMP '2024-01-30 11:45:00' THEN 'pending' ELSE status END AS status, attempts,
  CASE WHEN claimed_at >= TIMESTAMP '2024-01-30 11:45:00' THEN epoch_us(claimed_at) // 1000 END AS claimed_at FROM o_state""",
@@ -289,9 +301,7 @@ ORACLES: dict[str, str] = {
     "queue_depth": "SELECT status, count(*) AS depth FROM o_state GROUP BY status",
     "current_documents": """SELECT object_id, version, arrival, body, writes FROM (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY version DESC, arrival) AS nth,
  count(*) OVER (PARTITION BY object_id) AS writes FROM shop_document_write) x WHERE nth = 1""",
-    "resync_tokens": """SELECT install_id, seq, token, pending, acted, acted AND (pending = 0 OR NOT coalesce(earlier, FALSE)) AS walk_started FROM (
- SELECT *, bool_or(acted) OVER (PARTITION BY install_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM (
-  SELECT *, token IS DISTINCT FROM lag(token) OVER (PARTITION BY install_id ORDER BY seq) AS acted FROM shop_resync_poll WHERE required AND token <> '') y) x""",
+    "resync_tokens": """SELECT install_id, seq, token, pending, acted, acted AND (pending = 0 OR NOT coalesce(earlier, FALSE)) AS walk_started FROM o_resync""",
     "attributed_order_value": """SELECT order_id, currency, CAST(sum(with_tax) AS BIGINT) AS value_cents, string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY item_id, product_id) AS item_ids
  FROM o_line l WHERE EXISTS (SELECT 1 FROM shop_session_event m WHERE m.kind = 'mark' AND m.session_id = l.session_id AND m.product_id = l.product_id) GROUP BY order_id, currency""",
     "order_line_values": "SELECT order_id, currency, count(*) AS lines, CAST(sum(without_tax) AS BIGINT) AS value_cents FROM o_line GROUP BY order_id, currency",

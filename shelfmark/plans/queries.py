@@ -15,6 +15,7 @@ from shelfmark.operators import (
 )
 from shelfmark.operators.ids import normalise_ids
 from shelfmark.operators.scope import scoped_attribute
+from shelfmark.plans import delivery_run
 from shelfmark.plans import search_items as plan
 from shelfmark.session import prepare
 from shelfmark.sources.catalogue import StoreView, from_shop, sample_ids, url_suffix
@@ -402,11 +403,7 @@ def queue_claim(shop):
 @query
 def item_batches(shop):
     """The bodies of a full walk, read back: what each batch carries, in order."""
-    numbered = batches.assign_batches(walk_queue(shop)).select(
-        F.col("object_id").alias("entity_id"), "version", "batch_no", "slot"
-    )
-    items = plan.with_json(plan.search_items(numbered, catalogue_of(shop), STORE))
-    bodies = batches.batch_bodies(items)
+    bodies = delivery_run.bodies(delivery_run.numbered_queue(walk_queue(shop)), catalogue_of(shop), STORE)
     read = F.from_json("body", "items array<struct<op:string,version:bigint,data:struct<id:bigint,name:string,price:bigint>>>")
     return bodies.select("batch_no", "items", read.alias("read")).select(
         "batch_no",
@@ -438,6 +435,45 @@ def batch_violations(shop):
     return batches.batch_violations(wide, size=60)
 
 
+@query
+def outcome_log(shop):
+    """The answers to a full walk's batches, one answer per batch, back as log rows."""
+    numbered = delivery_run.numbered_queue(walk_queue(shop))
+    answers = numbered.where(F.col("slot") == 0).select(
+        "batch_no", F.col("batch_no").alias("seq"), F.timestamp_seconds("batch_no").alias("ts"),
+        F.when(F.col("batch_no") % 3 == 0, 503).otherwise(202).alias("status"),
+    )
+    log = delivery_run.outcome_log(numbered, answers)
+    return log.select("seq", "object_id", "kind", "version")
+
+
+@query
+def content_items(shop):
+    """The web pages as content of the index, read back from their JSON."""
+    at = F.col("page_id")
+    rows = shop["pages"].select(
+        F.when(at % 50 != 0, at).alias("id"),
+        F.when(at % 7 == 0, "").when(at % 11 == 0, F.col("url")).otherwise("page").alias("object_type"),
+        F.concat(F.lit("Page "), at.cast("string")).alias("name"),
+        (at % 2 == 0).alias("visible"),
+        F.col("url").alias("permalink"),
+        F.lit(None).cast("string").alias("image"),
+        F.when(at % 3 == 0, F.substring_index("url", "/", 3)).alias("excerpt"),
+        (at * 86400).alias("published_at"),
+        F.lit(WALK_VERSION).alias("version"),
+    )
+    done = batches.content_items(rows)
+    sent = "op string, version bigint, data struct<id:bigint,object_type:string,visible:boolean,permalink:string,excerpt:string,published_at:bigint>"
+    read = F.from_json("json", sent)
+    return done.select("name", "reject", read.alias("r")).select("name", "reject", "r.op", "r.version", "r.data.*")
+
+
+@query
+def resync_walk(shop):
+    """The walk that the last started request of any install asks for."""
+    return changes.resync_walk(changes.resync_requests(shop["resync_poll"]), shop["entity"])
+
+
 @query
 def queue_state(shop):
     return queue.queue_state(shop["queue_log"]).withColumn("claimed_at", wire.version_ms(F.col("claimed_at")))

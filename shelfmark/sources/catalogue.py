@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field, fields, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -128,3 +128,39 @@ def sample_ids(entity: DataFrame, ids: list[int] | None = None, limit: int = 3)
     if ids:
         return entity.where(F.col("entity_id").isin(ids)).select("entity_id")
     return entity.select("entity_id").orderBy("entity_id").limit(limit)
+
+
+# The key of each table whose size follows the catalogue.
+ENTITY_KEYS = {
+    "entity": "entity_id",
+    "website": "product_id",
+    "eav_int": "entity_id",
+    "eav_varchar": "entity_id",
+    "eav_text": "entity_id",
+    "price": "entity_id",
+    "stock_status": "product_id",
+    "bestsellers": "product_id",
+    "category_product": "product_id",
+    "super_attribute": "product_id",
+}
+
+
+def narrowed(catalogue: Catalogue, requested: DataFrame) -> Catalogue:
+    """The bundle cut down to the requested products and their variants.
+
+    For refreshing a few of many products: each table is semi-joined where it is read,
+    before any grouping, so a small id set is broadcast and only its rows are shuffled. A
+    full walk asks for everything and does not need this.
+    """
+    ids = requested.select("entity_id")
+    links = catalogue.super_link
+    wanted = ids
+    if links is not None:
+        links = links.join(ids.withColumnRenamed("entity_id", "parent_id"), "parent_id", "left_semi")
+        wanted = ids.unionByName(links.select(F.col("product_id").alias("entity_id"))).distinct()
+    kept = {
+        name: table.join(wanted.withColumnRenamed("entity_id", key), key, "left_semi")
+        for name, key in ENTITY_KEYS.items()
+        if (table := getattr(catalogue, name)) is not None
+    }
+    return replace(catalogue, super_link=links, **kept)

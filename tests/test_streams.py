@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from shelfmark.operators.changes import merge_queue
 from shelfmark.plans.queries import STORE, catalogue_of
 from shelfmark.plans.search_items import search_items, with_json
-from shelfmark.schemas import HELD, QUEUE
+from shelfmark.schemas import ATTRIBUTED_LINE, HELD, QUEUE
 from shelfmark.sources.changelog import WATCHED, stream_changes, union_changes
 from shelfmark.streaming import batch_log, change_stream
+from shelfmark.streaming.report_stream import read_reports, start_reports
 from shelfmark.streaming.session_stream import received_stream
 
 TABLES = ["catalog_product_entity", "catalog_product_super_link"]
@@ -88,3 +89,14 @@ def test_reports_are_received_once(spark, folder):
     got = sorted((r.store_id, r.order_ref) for r in spark.read.parquet(f"{folder}/out").collect())
     # The report of 30 days earlier arrives behind the watermark and is dropped.
     assert got == [(1, "a"), (1, "b"), (2, "a")]
+
+
+def test_report_stream_keeps_the_first_time(spark, folder):
+    day = dt.datetime(2026, 1, 20)
+    for number, value in enumerate((100, 250)):
+        rows = [(1, 7, 1, 5, "USD", value, f"term {number}", day + dt.timedelta(days=number))]
+        spark.createDataFrame(rows, ATTRIBUTED_LINE).coalesce(1).write.parquet(f"{folder}/in", mode="append")
+    stream = spark.readStream.schema(ATTRIBUTED_LINE).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    start_reports(stream, f"{folder}/out", f"{folder}/checkpoint", availableNow=True).awaitTermination()
+    row = read_reports(spark, f"{folder}/out").collect()[0]
+    assert (row.order_id, row.occurred_at, row.value_cents, row.q, row.writes) == (7, day, 250, "term 1", 2)
