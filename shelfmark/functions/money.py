@@ -36,20 +36,20 @@ def order_currency(order_code: Column, base_code: Column) -> Column:
 
 def _by_exponent(currency: Column, value_of) -> Column:
     code = currency_code(currency)
-    result = F.lit(value_of(DEFAULT_EXPONENT))
+    result = value_of(DEFAULT_EXPONENT)
     for exponent in sorted(set(EXPONENTS.values())):
         members = [name for name, places in EXPONENTS.items() if places == exponent]
-        result = F.when(code.isin(members), F.lit(value_of(exponent))).otherwise(result)
+        result = F.when(code.isin(members), value_of(exponent)).otherwise(result)
     return result
 
 
 def exponent_of(currency: Column) -> Column:
-    return _by_exponent(currency, lambda places: places)
+    return _by_exponent(currency, F.lit)
 
 
 def _scale_of(currency: Column) -> Column:
     """10 ** exponent as a decimal; ``power`` would return a double."""
-    return _by_exponent(currency, lambda places: 10**places).cast("decimal(5,0)")
+    return _by_exponent(currency, lambda places: F.lit(10**places).cast("decimal(5,0)"))
 
 
 def round_minor(amount: Column, currency: Column) -> Column:
@@ -64,8 +64,7 @@ def round_minor_text(amount: Column, currency: Column) -> Column:
     Rounding looks at one digit past the exponent, which is at most four, so the digits
     after the ninth cannot change the result and are not read.
     """
-    text = trimmed(amount)
-    digits = F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?\z"), F.regexp_extract(text, r"^(-?[0-9]+(?:\.[0-9]{1,9})?)", 1))
+    digits = F.regexp_extract(trimmed(amount), r"^(-?[0-9]+(?:\.[0-9]{1,9}(?=[0-9]*\z))?)[0-9]*\z", 1)
     return F.coalesce(round_minor(digits.try_cast("decimal(24,9)"), currency), F.lit(0).cast("bigint"))
 
 

@@ -30,26 +30,22 @@ def null_if_blank(text: Column) -> Column:
     return F.when(text != "", text)
 
 
-def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once, however often the body uses it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _tag_pattern(loop: str = "*+", run: str = "++") -> str:
     """Markup as one regular expression.
 
     A tag opens at ``<`` followed by anything but white space and closes at the first ``>``
     outside quotes; ``<`` inside a tag nests (two levels are spelled out); a comment
     closes at ``-->``; what never closes runs to the end of the text. The loops are
-    possessive, so Java matches them without recursion however long the text is.
+    possessive, so Java matches them without recursion however long the text is. Quotes are
+    written as codes, so that the text can stand in an SQL string.
     """
-    quoted = r'"[^"]*(?:"|\z)|\'[^\']*(?:\'|\z)'
-    plain = rf"[^<>\"']{run}"
-    inner = rf"<[^\s<>\"'](?:{plain}|{quoted}|<\s){loop}(?:>|\z)"
-    nested = rf"<[^\s<>\"'](?:{plain}|{quoted}|<\s|{inner}){loop}(?:>|\z)"
+    quoted = r"\x22[^\x22]*(?:\x22|\z)|\x27[^\x27]*(?:\x27|\z)"
+    plain = rf"[^<>\x22\x27]{run}"
+    inner = rf"<[^\s<>\x22\x27](?:{plain}|{quoted}|<\s){loop}(?:>|\z)"
+    nested = rf"<[^\s<>\x22\x27](?:{plain}|{quoted}|<\s|{inner}){loop}(?:>|\z)"
     comment = r"!--(?:-?>|[\s\S]*?(?:-->|\z))"
-    tag = rf"(?:[^\s<>\"']|{quoted})(?:{plain}|{quoted}|<\s|{nested}){loop}(?:>|\z)"
-    simple = rf"[^\s<>\"'!][^<>\"']*{run[1:]}>"  # most tags, without the general loop
+    tag = rf"(?:[^\s<>\x22\x27]|{quoted})(?:{plain}|{quoted}|<\s|{nested}){loop}(?:>|\z)"
+    simple = rf"[^\s<>\x22\x27!][^<>\x22\x27]*{run[1:]}>"  # most tags, without the general loop
     return rf"<(?:{simple}|{comment}|>|{tag})"
 
 
@@ -67,58 +63,49 @@ def _entity_table() -> str:
     return json.dumps(ordered, ensure_ascii=True)
 
 
-def _code_point(number: Column) -> Column:
-    """A numeric reference's character, or null where HTML5 does not allow the number."""
-    low = number.bitwiseAND(F.lit(0xFFFF))
-    allowed = (
-        number.between(0x20, 0x7E)
-        | number.isin(0x09, 0x0A, 0x0C)
-        | number.between(0xA0, 0xD7FF)
-        | (number.between(0xE000, 0x10FFFF) & ~low.isin(0xFFFE, 0xFFFF) & ~number.between(0xFDD0, 0xFDEF))
-    )
-    return F.when(allowed, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+# A numeric reference ``name``, which starts with ``#``, as a character; null where HTML5
+# does not allow the number.
+_NUMBER = """coalesce(
+  try_cast(CASE WHEN name RLIKE '^#0*[0-9]{1,7}$' THEN substring(name, 2) END AS BIGINT),
+  try_cast(CASE WHEN name RLIKE '^#[xX]0*[0-9a-fA-F]{1,6}$' THEN conv(substring(name, 3), 16, 10) END AS BIGINT))"""
+_ALLOWED = """cp BETWEEN 32 AND 126 OR cp IN (9, 10, 12) OR cp BETWEEN 160 AND 55295
+  OR (cp BETWEEN 57344 AND 1114111 AND cp & 65535 NOT IN (65534, 65535) AND cp NOT BETWEEN 64976 AND 65007)"""
+
+
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def decode_entities(text: Column) -> Column:
+def _decode_sql(text: str) -> str:
     """Replace character references in one pass, so ``&amp;lt;`` becomes ``&lt;``.
 
     The text is cut at every ``&``; each piece is looked up by what stands before its
     first ``;``. An unknown name stays as it was written.
     """
-    table = F.from_json(F.lit(_entity_table()), "map<string,string>")
-
-    def resolve(piece: Column) -> Column:
-        stop = F.instr(piece, ";")
-        name = F.substring(piece, F.lit(1), stop - 1)
-        decimal = F.when(name.rlike(r"^#0*[0-9]{1,7}$"), F.substring(name, F.lit(2), F.length(name)))
-        hexadecimal = F.when(
-            name.rlike(r"^#[xX]0*[0-9a-fA-F]{1,6}$"),
-            F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10),
-        )
-        chars = F.when(
-            stop > 1,
-            F.when(name.startswith("#"), _code_point(F.coalesce(decimal, hexadecimal).try_cast("bigint"))).otherwise(
-                F.try_element_at(table, name)
-            ),
-        )
-        return F.coalesce(
-            F.concat(chars, F.substring(piece, stop + 1, F.length(piece))), F.concat(F.lit("&"), piece)
-        )
-
-    def decode(written: Column) -> Column:
-        pieces = F.transform(F.split(written, "&"), lambda piece, at: F.when(at == 0, piece).otherwise(resolve(piece)))
-        return F.when(F.contains(written, F.lit("&")), F.array_join(pieces, "")).otherwise(written)
-
-    return bind(text, decode)
-
-
-def plain_text(markup: Column) -> Column:
-    """Markup to words: tags become blanks, references are decoded after that, white
-    space collapses. ``<li>Cotton</li><li>Wash</li>`` keeps its two words apart."""
-    spaced = F.replace(F.replace(markup, F.lit("<"), F.lit(" <")), F.lit(">"), F.lit("> "))
-    bare = F.regexp_replace(F.replace(spaced, F.lit("\0"), F.lit("")), TAGS, "")
-    decoded = F.replace(decode_entities(bare), F.lit(VOWEL_SEPARATOR), F.lit(" "))
-    return F.trim(F.regexp_replace(decoded, WHITESPACE, " "))
+    table = "from_json(r'" + _entity_table().replace("'", "\\u0027") + "', 'map<string,string>')"
+    number = _bound(_NUMBER, "cp", f"CASE WHEN {_ALLOWED} THEN decode(unhex(lpad(hex(cp), 8, '0')), 'UTF-32') END")
+    chars = f"CASE WHEN startswith(name, '#') THEN {number} ELSE try_element_at({table}, name) END"
+    stop = "instr(piece, ';')"
+    name = f"CASE WHEN {stop} > 1 THEN substring(piece, 1, {stop} - 1) END"
+    resolved = f"coalesce({_bound(name, 'name', chars)} || substring(piece, {stop} + 1), '&' || piece)"
+    pieces = f"transform(split(written, '&'), (piece, at) -> CASE WHEN at = 0 THEN piece ELSE {resolved} END)"
+    return _bound(text, "written", f"CASE WHEN contains(written, '&') THEN array_join({pieces}, '') ELSE written END")
+
+
+def decode_entities(text: str) -> Column:
+    """``text``, an SQL expression, with its character references replaced."""
+    return F.expr(_decode_sql(text))
+
+
+def plain_text(markup: str) -> Column:
+    """``markup``, an SQL expression, as words: tags become blanks, references are decoded
+    after that, white space collapses. ``<li>Cotton</li><li>Wash</li>`` keeps its two
+    words apart. Written as one SQL text, which Spark parses at once."""
+    spaced = f"replace(replace(replace({markup}, '<', ' <'), '>', '> '), '\\0', '')"
+    bare = f"regexp_replace({spaced}, r'{TAGS}', '')"
+    decoded = f"replace({_decode_sql(bare)}, '{VOWEL_SEPARATOR}', ' ')"
+    return F.expr(f"trim(regexp_replace({decoded}, r'{WHITESPACE}', ' '))")
 
 
 def split_values(stored: Column) -> Column:

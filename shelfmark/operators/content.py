@@ -49,7 +49,7 @@ def descriptions(catalogue: Catalogue, store: StoreView) -> DataFrame:
     Each text is cleaned whole where it is read, then cut to the length the field has, so
     that the shuffle that brings the two together carries the field and not the markup.
     """
-    cleaned = catalogue.eav_text.withColumn("value", F.substring(plain_text(F.col("value")), 1, DESCRIPTION_CHARS))
+    cleaned = catalogue.eav_text.withColumn("value", F.substring(plain_text("value"), 1, DESCRIPTION_CHARS))
     stored = scoped_wide(cleaned, catalogue.ids("short_description", "description"), store.store_id)
     text = F.coalesce(null_if_blank(F.col("short_description")), null_if_blank(F.col("description")))
     return stored.select("entity_id", text.alias("description")).where(F.col("description").isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.text import plain_text, split_values
 from shelfmark.operators.lookups import lookup_join
-from shelfmark.operators.scope import attribute_labels, has_attribute, in_scope, resolve_scope, scoped_attribute
+from shelfmark.operators.scope import attribute_labels, has_attribute, in_scope, own_and_default, resolve_scope, scoped_attribute
 from shelfmark.sources.catalogue import Catalogue, StoreView
 
 # Inputs that can be facets, value tables that hold them, and attributes
@@ -30,7 +30,7 @@ def facet_attributes(catalogue: Catalogue, store: StoreView) -> DataFrame:
     )
     labelled = attribute_labels(chosen, catalogue.attribute_label, store.store_id)
     return labelled.select(
-        "attribute_id", "attribute_code", "backend_type", "frontend_input", plain_text(F.col("label")).alias("label")
+        "attribute_id", "attribute_code", "backend_type", "frontend_input", plain_text("label").alias("label")
     ).where(F.col("label") != "")
 
 
@@ -40,7 +40,7 @@ def option_labels(catalogue: Catalogue, store: StoreView) -> DataFrame:
     values = catalogue.option_value.where(in_scope(store.store_id)).withColumnRenamed("option_id", "entity_id")
     labels = resolve_scope(values, ["entity_id"], store.store_id)
     return labels.join(catalogue.option.withColumnRenamed("option_id", "entity_id"), "entity_id").select(
-        "attribute_id", F.col("entity_id").alias("option_id"), plain_text(F.col("value")).alias("label")
+        "attribute_id", F.col("entity_id").alias("option_id"), plain_text("value").alias("label")
     )
 
 
@@ -49,12 +49,11 @@ def brands(catalogue: Catalogue, store: StoreView, code: str = "manufacturer") -
     enough, labels are not decoded, blank ones (and a bare ``0``) are dropped."""
     owner = catalogue.ids(code)[code]
     chosen = scoped_attribute(catalogue.eav_int, owner, store.store_id)
-    own, default = F.col("store_id") == store.store_id, F.col("store_id") == 0
     labels = (
         catalogue.option_value.where(in_scope(store.store_id))
         .join(catalogue.option.where(has_attribute(owner)).select("option_id"), "option_id", "left_semi")
         .groupBy("option_id")
-        .agg(F.max(F.when(own, F.col("value"))).alias("_own"), F.max(F.when(default, F.col("value"))).alias("_default"))
+        .agg(*own_and_default(store.store_id))
         .select(F.col("option_id").alias("value"), F.coalesce("_own", "_default").alias("brand"))
         .where(~F.col("brand").isin("", "0"))
     )

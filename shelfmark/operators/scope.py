@@ -11,7 +11,16 @@ DEFAULT_STORE = 0
 
 
 def in_scope(store_id: int) -> Column:
-    return F.col("store_id").isin(DEFAULT_STORE, store_id)
+    return F.expr(f"store_id IN ({DEFAULT_STORE}, {store_id})")
+
+
+def own_and_default(store_id: int, value: str = "value") -> list[Column]:
+    """Aggregates ``_own`` and ``_default``: the value of the store's row and of the default
+    row. There is one row of each at most."""
+    return [
+        F.expr(f"max(CASE WHEN store_id = {store} THEN {value} END) AS {name}")
+        for name, store in (("_own", store_id), ("_default", DEFAULT_STORE))
+    ]
 
 
 def resolve_scope(rows: DataFrame, keys: list[str], store_id: int) -> DataFrame:
@@ -20,26 +29,16 @@ def resolve_scope(rows: DataFrame, keys: list[str], store_id: int) -> DataFrame:
     The default row must exist: a store row alone gives nothing. A blank store value does
     override, because only null falls back.
     """
-    own, default = F.col("store_id") == store_id, F.col("store_id") == DEFAULT_STORE
-    return (
-        rows.select(
-            *keys,
-            F.when(own, F.col("value")).alias("_own"),
-            F.when(default, F.col("value")).alias("_default"),
-            default.cast("int").alias("_has_default"),
-        )
-        .groupBy(*keys)
-        .agg(*(F.max(c).alias(c) for c in ("_own", "_default", "_has_default")))
-        .where(F.col("_has_default") == 1)
-        .select(*keys, F.coalesce("_own", "_default").alias("value"))
-    )
+    has_default = F.expr(f"max(store_id = {DEFAULT_STORE}) AS _has_default")
+    found = rows.groupBy(*keys).agg(*own_and_default(store_id), has_default)
+    return found.where("_has_default").selectExpr(*keys, "coalesce(_own, _default) AS value")
 
 
 def has_attribute(attribute_id: int | None) -> Column:
     """Rows of one attribute. The id is a literal, so it is a pushed filter and prunes
     files where the values are partitioned by it. A shop without the attribute has None,
     which matches nothing."""
-    return F.lit(False) if attribute_id is None else F.col("attribute_id") == attribute_id
+    return F.expr("false" if attribute_id is None else f"attribute_id = {attribute_id}")
 
 
 def scoped_attribute(values: DataFrame, attribute_id: int | None, store_id: int) -> DataFrame:
@@ -53,22 +52,20 @@ def scoped_wide(
     """Several attributes (name -> id) of one value table as columns, in one pass and one
     shuffle. The default row must exist, except for the names in ``either``, where one of
     the two rows is enough."""
-    own, default = F.col("store_id") == store_id, F.col("store_id") == DEFAULT_STORE
-    spread, folded, resolved = [F.col("entity_id")], [], [F.col("entity_id")]
+    spread, resolved = ["entity_id"], ["entity_id"]
     for name, attribute_id in attributes.items():
-        match = has_attribute(attribute_id)
-        spread.append(F.when(match & own, F.col("value")).alias(f"_{name}_own"))
-        spread.append(F.when(match & default, F.col("value")).alias(f"_{name}_default"))
-        folded += [F.max(f"_{name}_own").alias(f"_{name}_own"), F.max(f"_{name}_default").alias(f"_{name}_default")]
-        value = F.coalesce(f"_{name}_own", f"_{name}_default")
+        own = f"attribute_id <=> {attribute_id or 'NULL'} AND store_id = {store_id}"
+        default = f"attribute_id <=> {attribute_id or 'NULL'} AND store_id = {DEFAULT_STORE}"
+        spread += [f"CASE WHEN {own} THEN value END AS _{name}_own", f"CASE WHEN {default} THEN value END AS _{name}_default"]
+        value = f"coalesce(_{name}_own, _{name}_default)"
         if name not in either:
-            spread.append(F.when(match & default, 1).alias(f"_{name}_has"))
-            folded.append(F.max(f"_{name}_has").alias(f"_{name}_has"))
-            value = F.when(F.col(f"_{name}_has") == 1, value)
-        resolved.append(value.alias(name))
-    known = [attribute_id for attribute_id in attributes.values() if attribute_id is not None]
-    rows = values.where(F.col("attribute_id").isin(known) & in_scope(store_id))
-    return rows.select(*spread).groupBy("entity_id").agg(*folded).select(*resolved)
+            spread.append(f"CASE WHEN {default} THEN 1 END AS _{name}_has")
+            value = f"CASE WHEN _{name}_has = 1 THEN {value} END"
+        resolved.append(f"{value} AS {name}")
+    folded = [column.rsplit(" ", 1)[-1] for column in spread[1:]]
+    known = ", ".join(str(attribute_id) for attribute_id in attributes.values() if attribute_id is not None) or "NULL"
+    rows = values.where(f"attribute_id IN ({known})").where(in_scope(store_id)).selectExpr(*spread)
+    return rows.groupBy("entity_id").agg(*(F.expr(f"max({c}) AS {c}") for c in folded)).selectExpr(*resolved)
 
 
 def attribute_labels(attributes: DataFrame, labels: DataFrame | None, store_id: int) -> DataFrame:

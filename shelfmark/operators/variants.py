@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import trimmed
 from shelfmark.operators.lookups import lookup_join
 from shelfmark.operators.pricing import price_rows, with_headline_price
-from shelfmark.operators.scope import attribute_labels
+from shelfmark.operators.scope import attribute_labels, in_scope, own_and_default
 from shelfmark.operators.stock import stock_of
 from shelfmark.sources.catalogue import Catalogue, StoreView
 
@@ -54,11 +54,10 @@ def variant_options(catalogue: Catalogue, store: StoreView) -> DataFrame:
     chosen = catalogue.eav_int.where(F.col("store_id") == 0).select(
         "entity_id", "attribute_id", F.col("value").alias("option_id")
     )
-    own, default = F.col("store_id") == store.store_id, F.col("store_id") == 0
     texts = (
-        catalogue.option_value.where(own | default)
+        catalogue.option_value.where(in_scope(store.store_id))
         .groupBy("option_id")
-        .agg(F.max(F.when(own, F.col("value"))).alias("_own"), F.max(F.when(default, F.col("value"))).alias("_default"))
+        .agg(*own_and_default(store.store_id))
         .select("option_id", trimmed(F.coalesce("_own", "_default")).alias("value"))
         .where(F.col("value") != "")
     )

@@ -189,7 +189,7 @@ def descriptions(shop):
 
 @query
 def pages_plain_text(shop):
-    return shop["pages"].select("page_id", text.plain_text(F.col("html")).alias("words"))
+    return shop["pages"].select("page_id", text.plain_text("html").alias("words"))
 
 
 @query
