@@ -19,16 +19,34 @@ FACET_BACKENDS = ("int", "varchar", "text")
 NOT_FACETS = ("price", "status", "visibility", "tax_class_id")
 
 
-def facet_attributes(catalogue: Catalogue, store: StoreView) -> DataFrame:
-    """The product attributes the shop marked filterable, with their clean label."""
-    chosen = catalogue.attribute.where(
+# The most facet ids that are worth pushing into a scan as literals.
+PUSHED_IDS = 1000
+
+
+def filterable(attributes: DataFrame) -> DataFrame:
+    """The product attributes the shop marked filterable and that can be facets."""
+    return attributes.where(
         (F.col("entity_type_code") == "catalog_product")
         & ((F.col("is_filterable") > 0) | (F.col("is_filterable_in_search") == 1))
         & F.col("frontend_input").isin(*FACET_INPUTS)
         & ~F.col("attribute_code").isin(*NOT_FACETS)
         & F.col("backend_type").isin(*FACET_BACKENDS)
     )
-    labelled = attribute_labels(chosen, catalogue.attribute_label, store.store_id)
+
+
+def pushed_ids(catalogue: Catalogue) -> dict[str, list[int]] | None:
+    """The facet ids per value table, read when the plan is built, so that the scans skip
+    the rest of the value tables; None when there are too many to push, and the join that
+    follows does the work alone."""
+    rows = filterable(catalogue.attribute).select("backend_type", "attribute_id").take(PUSHED_IDS + 1)
+    if len(rows) > PUSHED_IDS:
+        return None
+    return {backend: [row[1] for row in rows if row[0] == backend] for backend in FACET_BACKENDS}
+
+
+def facet_attributes(catalogue: Catalogue, store: StoreView) -> DataFrame:
+    """The facets with the clean label a shopper reads."""
+    labelled = attribute_labels(filterable(catalogue.attribute), catalogue.attribute_label, store.store_id)
     return labelled.select(
         "attribute_id", "attribute_code", "backend_type", "frontend_input", plain_text("label").alias("label")
     ).where(F.col("label") != "")
@@ -70,12 +88,23 @@ def facet_rows(catalogue: Catalogue, store: StoreView) -> DataFrame:
     """
     facets = facet_attributes(catalogue, store)
     tables = {"int": catalogue.eav_int, "varchar": catalogue.eav_varchar, "text": catalogue.eav_text}
-    stored = [
-        values.where(in_scope(store.store_id))
-        .join(facets.where(F.col("backend_type") == backend), "attribute_id")
-        .select("entity_id", "attribute_id", "label", "frontend_input", "store_id", F.col("value").cast("string"))
-        for backend, values in tables.items()
-    ]
+    pushed = pushed_ids(catalogue)
+    stored = []
+    for backend, values in tables.items():
+        scanned = values.where(in_scope(store.store_id))
+        if pushed is not None:
+            scanned = scanned.where(F.col("attribute_id").isin(pushed[backend]))
+        named = lookup_join(
+            scanned,
+            facets.where(F.col("backend_type") == backend),
+            ["attribute_id"],
+            spread_by="entity_id",
+            how="inner",
+            sized_by=[table for table in (catalogue.attribute, catalogue.attribute_label) if table is not None],
+        )
+        stored.append(
+            named.select("entity_id", "attribute_id", "label", "frontend_input", "store_id", F.col("value").cast("string"))
+        )
     rows = reduce(DataFrame.unionByName, stored).repartition("entity_id")
     keys = ["entity_id", "attribute_id", "label", "frontend_input"]
     parts = resolve_scope(rows, keys, store.store_id).withColumn("parts", split_values(F.col("value")))

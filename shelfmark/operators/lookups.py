@@ -26,14 +26,15 @@ def lookup_join(
 ) -> DataFrame:
     """``facts`` joined to ``dimension`` on ``on``.
 
-    A dimension within the broadcast limit is left to Spark to broadcast. A larger one is
-    joined by shuffle with the key salted by ``spread_by``, a fact column: the facts of one
-    hot key spread over ``salts`` tasks, and the dimension is repeated once per salt.
-    ``sized_by`` names the stored tables to measure when the dimension is itself a join,
-    whose own estimate multiplies its inputs.
+    A dimension whose stored tables are within the broadcast limit is broadcast. A larger
+    one is joined by shuffle with the key salted by ``spread_by``, a fact column: the facts
+    of one hot key spread over ``salts`` tasks, and the dimension is repeated once per salt.
+    ``sized_by`` names the stored tables to measure where the dimension is made from them
+    row by row or by their unique keys, so that it is no larger than they are; Spark's
+    estimate of such a join would multiply its inputs.
     """
     if fits_broadcast(*(sized_by or [dimension])):
-        return facts.join(dimension, on, how)
+        return facts.join(F.broadcast(dimension), on, how)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

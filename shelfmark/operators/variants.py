@@ -46,14 +46,25 @@ def variant_options(catalogue: Catalogue, store: StoreView) -> DataFrame:
         store.store_id,
     ).select("attribute_id", trimmed(F.col("label")).alias("label"))
     varied = catalogue.super_attribute.select(F.col("product_id").alias("parent_id"), "attribute_id")
-    asked = (
-        catalogue.super_link.select("parent_id", F.col("product_id").alias("entity_id"))
-        .join(varied, "parent_id")
-        .join(labelled.where(F.col("label") != ""), "attribute_id")
-    )
-    chosen = catalogue.eav_int.where(F.col("store_id") == 0).select(
-        "entity_id", "attribute_id", F.col("value").alias("option_id")
+    metadata = [table for table in (catalogue.attribute, catalogue.attribute_label) if table is not None]
+    asked = lookup_join(
+        catalogue.super_link.select("parent_id", F.col("product_id").alias("entity_id")).join(varied, "parent_id"),
+        labelled.where(F.col("label") != ""),
+        ["attribute_id"],
+        spread_by="entity_id",
+        how="inner",
+        sized_by=metadata,
     )
+    # Only values of attributes that some parent varies by are worth shuffling.
+    used = labelled.join(varied.select("attribute_id").distinct(), "attribute_id", "left_semi").select("attribute_id")
+    chosen = lookup_join(
+        catalogue.eav_int.where(F.col("store_id") == 0),
+        used,
+        ["attribute_id"],
+        spread_by="entity_id",
+        how="left_semi",
+        sized_by=metadata,
+    ).select("entity_id", "attribute_id", F.col("value").alias("option_id"))
     texts = (
         catalogue.option_value.where(in_scope(store.store_id))
         .groupBy("option_id")
