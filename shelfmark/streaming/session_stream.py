@@ -8,6 +8,7 @@ gathers is bounded by the source's rate option, not by the session.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,6 +21,11 @@ from shelfmark.schemas import ATTRIBUTED_LINE, MARKER
 WINDOW_MS = WINDOW_SECONDS * 1000
 
 
+def _expiry(marked: int) -> int:
+    """The timer, in milliseconds, of a marker last touched at ``marked`` microseconds."""
+    return int(marked) // 1000 + WINDOW_MS + 1
+
+
 class SessionMarker(StatefulProcessor):
     """Keeps (ids, q, at in microseconds) per session and emits attributed order lines."""
 
@@ -32,33 +38,38 @@ class SessionMarker(StatefulProcessor):
         stored = self.marker.get() if self.marker.exists() else None
         ids, term, marked = (list(stored[0]), stored[1], stored[2]) if stored else ([], "", None)
         found = []
-        for _, order in events.groupby(["ts", "event_id"], sort=False):
-            moment = order["ts"].iloc[0].value // 1000
+        for (ts, _), group in groupby(events.itertuples(index=False), key=lambda row: (row.ts, row.event_id)):
+            event, moment = list(group), ts.value // 1000
             if marked is not None and moment - marked > WINDOW_SECONDS * 1_000_000:
                 ids, term, marked = [], "", None
-            if order["is_mark"].iloc[0]:
-                for product, searched in zip(order["product_id"], order["q"]):
-                    if product not in ids:
-                        ids = [*ids, int(product)][-MAX_TRACKED:]
-                    term = term or searched
+            if event[0].is_mark:
+                for row in event:
+                    if row.product_id not in ids:
+                        ids = [*ids, int(row.product_id)][-MAX_TRACKED:]
+                    term = term or row.q
                 marked = moment
                 continue
-            hits = order[order["product_id"].isin(ids)]
-            if len(hits):
-                found.append(hits.assign(q=term))
+            hits = [row for row in event if row.product_id in ids]
+            if hits:
+                found += [
+                    (key[0], row.order_id, row.item_id, row.product_id, row.currency, row.value_cents, term, ts)
+                    for row in hits
+                ]
                 ids, term, marked = [], "", None
+        if stored:
+            self.handle.deleteTimer(_expiry(stored[2]))
         if marked is None:
             self.marker.clear()
         else:
             self.marker.update((ids, term, int(marked)))
-            self.handle.registerTimer(marked // 1000 + WINDOW_MS + 1)
+            self.handle.registerTimer(_expiry(marked))
         if found:
-            yield pd.concat(found)[ATTRIBUTED_LINE.names].astype({"order_id": "int64", "item_id": "int64", "value_cents": "int64"})
+            whole = {"order_id": "int64", "item_id": "int64", "value_cents": "int64"}
+            yield pd.DataFrame(found, columns=ATTRIBUTED_LINE.names).astype(whole)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Forget a marker whose 7 days have passed; a later mark has set a later timer."""
-        if self.marker.exists() and self.marker.get()[2] // 1000 + WINDOW_MS < expiredTimerInfo.getExpiryTimeInMs():
-            self.marker.clear()
+        """Forget a marker whose 7 days have passed."""
+        self.marker.clear()
         return iter(())
 
     def close(self) -> None:
