@@ -39,6 +39,9 @@ QUEUE = row(
 # A document as it is held: its wire JSON under id and part.
 HELD = row(id=LongType(), part=IntegerType(), op=StringType(), version=LongType(), json=StringType())
 
+# Ids a refresh reads rows of.
+WANTED = row(entity_id=LongType())
+
 MARKER = row(ids=ArrayType(LongType()), q=StringType(), at=LongType())
 
 ATTRIBUTED_LINE = row(

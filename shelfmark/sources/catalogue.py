@@ -145,22 +145,31 @@ ENTITY_KEYS = {
 }
 
 
-def narrowed(catalogue: Catalogue, requested: DataFrame) -> Catalogue:
+def wanted_ids(catalogue: Catalogue, requested: DataFrame) -> DataFrame:
+    """The requested products and their variants: all ids whose rows their documents need."""
+    ids = requested.select("entity_id")
+    if catalogue.super_link is None:
+        return ids
+    parents = ids.withColumnRenamed("entity_id", "parent_id")
+    children = catalogue.super_link.join(parents, "parent_id", "left_semi")
+    return ids.unionByName(children.select(F.col("product_id").alias("entity_id"))).distinct()
+
+
+def narrowed(catalogue: Catalogue, requested: DataFrame, wanted: DataFrame | None = None) -> Catalogue:
     """The bundle cut down to the requested products and their variants.
 
     For refreshing a few of many products: each table is semi-joined where it is read,
-    before any grouping, so a small id set is broadcast and only its rows are shuffled. A
+    before any grouping. Pass ``wanted`` as stored rows of ``wanted_ids``: Spark knows their
+    size, and broadcasts them when they are few, so that only their rows are shuffled. A
     full walk asks for everything and does not need this.
     """
-    ids = requested.select("entity_id")
-    links = catalogue.super_link
-    wanted = ids
-    if links is not None:
-        links = links.join(ids.withColumnRenamed("entity_id", "parent_id"), "parent_id", "left_semi")
-        wanted = ids.unionByName(links.select(F.col("product_id").alias("entity_id"))).distinct()
+    wanted = wanted_ids(catalogue, requested) if wanted is None else wanted
     kept = {
-        name: table.join(wanted.withColumnRenamed("entity_id", key), key, "left_semi")
+        name: table.join(wanted.select(F.col("entity_id").alias(key)), key, "left_semi")
         for name, key in ENTITY_KEYS.items()
         if (table := getattr(catalogue, name)) is not None
     }
-    return replace(catalogue, super_link=links, **kept)
+    if catalogue.super_link is not None:
+        parents = requested.select(F.col("entity_id").alias("parent_id"))
+        kept["super_link"] = catalogue.super_link.join(parents, "parent_id", "left_semi")
+    return replace(catalogue, **kept)

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfmark.functions.wire import version_ms
 from shelfmark.operators.changes import QUEUE_KEY, coalesced_queue, current_documents
 from shelfmark.plans.search_items import search_items, with_json
-from shelfmark.schemas import HELD, QUEUE
-from shelfmark.sources.catalogue import Catalogue, StoreView, narrowed
+from shelfmark.schemas import HELD, QUEUE, WANTED
+from shelfmark.sources.catalogue import Catalogue, StoreView, narrowed, wanted_ids
 from shelfmark.streaming.batch_log import read_batch, read_log, write_batch
 
 
@@ -55,16 +55,18 @@ def start_refresh(
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
-    """Start the stream. Each batch writes its queue rows first; the documents are made
-    from the written rows, so a replay makes the same ones, and only the rows of the
-    products in the batch are read into the document job."""
+    """Start the stream. Each batch writes its queue rows first, and the ids whose rows its
+    documents need; the documents are made from what was written. A replay makes the same
+    ones, and the sizes are known, so a small batch is broadcast to the catalogue tables."""
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         write_batch(queue_of(batch, catalogue), queue_path, batch_id)
         queued = read_batch(spark, QUEUE, queue_path, batch_id)
         requested = queued.select(F.col("object_id").alias("entity_id"), "version")
-        items = with_json(search_items(requested, narrowed(catalogue, requested), store)).select(*HELD.names)
+        write_batch(wanted_ids(catalogue, requested), f"{queue_path}_wanted", batch_id)
+        wanted = read_batch(spark, WANTED, f"{queue_path}_wanted", batch_id)
+        items = with_json(search_items(requested, narrowed(catalogue, requested, wanted), store)).select(*HELD.names)
         write_batch(items, documents_path, batch_id)
 
     writer = changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.operators import categories, facets, indexing, popularity, quality, stock, variants
 from shelfmark.plans.search_items import quarantine, search_items, with_json
 from shelfmark.schemas import ITEM, SOURCES, STOCK_TABLE
-from shelfmark.sources.catalogue import Catalogue, StoreView, from_files, url_suffix
+from shelfmark.sources.catalogue import Catalogue, StoreView, from_files, narrowed, url_suffix
 
 STORE = StoreView(currency="USD")
 NAME, URL, SMALL, IMAGE, SHORT, LONG, STATUS, VISIBLE, BRAND, COLOUR, PROMO, STUFF, SHADE, CAT = range(1, 15)
@@ -219,6 +219,12 @@ def test_shuffled_input_gives_the_same_items(spark, catalogue, items):
     assert again == {i: r.json for i, r in items.items()}
 
 
+def test_narrowed_catalogue_gives_the_same_items(spark, catalogue, items):
+    ids = spark.createDataFrame([(1,), (4,), (6,)], "entity_id bigint")
+    found = with_json(search_items(ids, narrowed(catalogue, ids), STORE, F.lit(5))).collect()
+    assert {r.id: r.json for r in found} == {i: items[i].json for i in (1, 4, 6)}
+
+
 def test_suffix_setting(spark):
     def suffix(rows):
         config = spark.createDataFrame(rows, "path string, scope_id int, value string")
