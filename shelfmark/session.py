@@ -7,10 +7,21 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Stored times are UTC wall time. A join with a hot key is split even where the grouping
+# after it then needs a shuffle of its own.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings that change results. Stored times are UTC wall time."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Give a session the settings the jobs rely on."""
+    for name, value in SETTINGS.items():
+        if spark.conf.get(name, None) != value:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -20,9 +31,6 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
@@ -30,7 +38,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
