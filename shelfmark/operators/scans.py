@@ -24,7 +24,7 @@ def with_position(rows: DataFrame, order: str, name: str = "position", bits: int
     """
     cut = _bucketed(rows, order, bits)
     sizes = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(F.shiftright("_bucket", 63)).orderBy("_bucket")
+    before = Window.partitionBy(F.lit(0)).orderBy("_bucket")
     starts = sizes.select(
         "_bucket",
         F.coalesce(F.sum("_size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),

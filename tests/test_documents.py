@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.operators import categories, facets, indexing, popularity, quality, stock, variants
+from shelfmark.operators.ids import normalise_ids
 from shelfmark.plans.search_items import quarantine, search_items, with_json
 from shelfmark.schemas import ITEM, SOURCES, STOCK_TABLE
 from shelfmark.sources.catalogue import Catalogue, StoreView, from_files, narrowed, url_suffix
@@ -219,6 +220,12 @@ def test_shuffled_input_gives_the_same_items(spark, catalogue, items):
     assert again == {i: r.json for i, r in items.items()}
 
 
+def test_items_keep_the_requested_order(spark, catalogue):
+    asked = spark.createDataFrame([("4", 0), ("x", 1), ("1", 2), ("4", 3), ("77", 4), ("0", 5)], "id string, place int")
+    found = search_items(normalise_ids(asked, "id", "place"), catalogue, STORE, F.lit(1)).orderBy("ordinal")
+    assert [(r.id, r.op) for r in found.collect()] == [(4, "upsert"), (1, "upsert"), (77, "delete")]
+
+
 def test_narrowed_catalogue_gives_the_same_items(spark, catalogue, items):
     ids = spark.createDataFrame([(1,), (4,), (6,)], "entity_id bigint")
     found = with_json(search_items(ids, narrowed(catalogue, ids), STORE, F.lit(5))).collect()

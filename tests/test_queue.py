@@ -14,7 +14,7 @@ from shelfmark.operators.scans import max_before, with_position
 
 def test_position_and_running_max_over_many_buckets(spark):
     rng = random.Random(1)
-    ids = rng.sample(range(10_000), 500)
+    ids = rng.sample(range(-5_000, 10_000), 500)
     rows = [(i, rng.choice("aab"), rng.choice([None, rng.randint(1, 99)])) for i in ids]
     frame = spark.createDataFrame(rows, "id bigint, k string, v bigint")
     placed = {r.id: r.position for r in with_position(frame, "id", bits=5).collect()}
