@@ -53,9 +53,9 @@ def _scale_of(currency: Column) -> Column:
 
 
 def round_minor(amount: Column, currency: Column) -> Column:
-    """A decimal amount in minor units, rounded half away from zero."""
-    exact = amount.cast("decimal(24,9)") * _scale_of(currency)
-    return F.round(exact, 0).try_cast("bigint")
+    """A decimal amount in minor units, rounded half away from zero. A stored amount,
+    DECIMAL(12,4), scales to 18 digits, which Spark computes as a long."""
+    return F.round(amount * _scale_of(currency), 0).try_cast("bigint")
 
 
 def round_minor_text(amount: Column, currency: Column) -> Column:
@@ -98,5 +98,6 @@ def minor_input_reject(minor: Column, currency: Column) -> Column:
 
 def line_value(total: Column, discount: Column, currency: Column) -> Column:
     """What was paid for one order line: both amounts are scaled first, then subtracted."""
-    paid = round_minor(F.coalesce(total, F.lit(0)), currency) - round_minor(F.coalesce(discount, F.lit(0)), currency)
+    nothing = F.lit(0).cast("decimal(12,4)")
+    paid = round_minor(F.coalesce(total, nothing), currency) - round_minor(F.coalesce(discount, nothing), currency)
     return F.greatest(F.lit(0).cast("bigint"), paid)

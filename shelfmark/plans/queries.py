@@ -513,7 +513,7 @@ def session_lines(shop) -> DataFrame:
     bought = events.where(F.col("kind") == "order").select(
         "session_id", "event_id", "ts", "order_id", F.lit(1).alias("item_id"), "product_id",
         F.lit("USD").alias("currency"),
-        money.line_value(F.col("value").cast("decimal(12,4)"), F.lit(0), F.lit("USD")).alias("value_cents"),
+        money.line_value(F.col("value").cast("decimal(12,4)"), F.lit(None).cast("decimal(12,4)"), F.lit("USD")).alias("value_cents"),
     )
     return attribution.attributed_lines(attribution.session_events(marks, bought))
 
