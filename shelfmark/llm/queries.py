@@ -5,17 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import line_dedup, simhash
+from shelfmark.llm import line_dedup, packing, quality_classifier, quality_rules, simhash
 from shelfmark.llm.common import table
+from shelfmark.llm.encoding import path
+
+
+def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    judged, stats, failed, kept = quality_rules.judged(table(spark, folder, "documents").select("doc_id", "text", "lang", "source"))
+    counts = [F.col(f"{stats}.{name}") for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *counts, F.col(failed).alias("base_failed"), F.col(kept).alias("kept"))
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(table(spark, folder, "documents"), path("byte_bpe_50k.json"))
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_kept", "text")
 
 
+def op6_compression_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.classified(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op10_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
-REGISTRY = {f.__name__: f for f in (op4_line_dedup, op10_simhash_bktree)}
+REGISTRY = {
+    f.__name__: f
+    for f in (op1_robust_outliers, op2_best_fit_packing, op4_line_dedup, op6_compression_classifier, op10_simhash_bktree)
+}
 ORACLES: dict[str, str] = {}
