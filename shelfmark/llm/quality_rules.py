@@ -43,7 +43,8 @@ ALPHA = 1e-6
 #: Least spread of a transformed statistic, so that a constant one does not reject its first exception.
 FLOOR = 0.25
 
-STATS = "struct<n_words:long,word_chars:long,n_symbols:long,n_dup_lines:long,n_repeat_words:long,n_chars:long,n_lines:long,n_upper:long,n_distinct:long>"
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_upper")
+STATS = f"struct<{', '.join(f'{name}: long' for name in COUNTS)}>"
 #: Transformed statistics: logarithms of sizes and of smoothed shares.
 VECTOR = (
     "ln(n_words + 1)",
@@ -58,9 +59,9 @@ PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 
 
 def statistics_of(text: str | None) -> tuple[int, ...]:
-    """The values of ``STATS`` for one whole text; all 0 for a null one."""
+    """The values of ``COUNTS`` for one whole text; all 0 for a null one."""
     if not text:
-        return (0,) * 9
+        return (0,) * len(COUNTS)
     words = text.encode("utf-8", "surrogatepass").split()
     lines = text.split("\n")
     repeated = 0
@@ -87,8 +88,7 @@ def statistics_of(text: str | None) -> tuple[int, ...]:
         covered,
         len(text),
         len(lines),
-        sum(map(str.isupper, text)) if not text.islower() else 0,
-        len(set(words)),
+        sum(map(str.isupper, text)),
     )
 
 
@@ -96,7 +96,7 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` and a column ``name`` with the statistics of the text."""
 
     def counted(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([statistics_of(text) for text in texts], columns=[f"c{i}" for i in range(9)], dtype="int64")
+        return pd.DataFrame([statistics_of(text) for text in texts], columns=list(COUNTS), dtype="int64")
 
     return docs.withColumn(name, F.pandas_udf(counted, STATS)(F.col("text").cast("string")))
 
