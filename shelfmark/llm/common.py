@@ -17,14 +17,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``, which every executor reaches."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` written once to the folder of ``spark.checkpoint.dir`` and read again.
 
     This cuts lineage: a lost executor costs a read of files that every executor reaches.
     """
     spark = frame.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import line_dedup, packing, quality_classifier, quality_rules, simhash
-from shelfmark.llm.common import table
+from shelfmark.llm import line_dedup, packing, quality_classifier, quality_rules, simhash, url_filters, warc
+from shelfmark.llm.common import scratch, table
 from shelfmark.llm.encoding import path
 
 
@@ -20,10 +20,33 @@ def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"), path("byte_bpe_50k.json"))
 
 
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch(spark, "warc")
+    warc.write_pages(table(spark, folder, "pages"), archives)
+    return warc.read_pages(spark, archives)
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_kept", "text")
 
 
+URL_RULES = [
+    url_filters.host_rule("allow", "com", "/"),
+    url_filters.host_rule("block", "example.com", "/en/"),
+    url_filters.host_rule("allow", "www.example.com", "/en/"),
+    url_filters.host_rule("block", "net", "/es/"),
+    url_filters.host_rule("block", "net", "/fr/"),
+    *(
+        url_filters.pattern_rule("block", pattern)
+        for pattern in ("||spam-farm.", "||cheap-pills.", "||casino-win.", "||free-bets.", "||adult-x.", "||ads-track.")
+    ),
+]
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.filtered(table(spark, folder, "pages"), URL_RULES)
+
+
 def op6_compression_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classified(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -32,8 +55,14 @@ def op10_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
-REGISTRY = {
-    f.__name__: f
-    for f in (op1_robust_outliers, op2_best_fit_packing, op4_line_dedup, op6_compression_classifier, op10_simhash_bktree)
-}
+OPERATORS = (
+    op1_robust_outliers,
+    op2_best_fit_packing,
+    op3_warc,
+    op4_line_dedup,
+    op5_url_filters,
+    op6_compression_classifier,
+    op10_simhash_bktree,
+)
+REGISTRY = {operator.__name__: operator for operator in OPERATORS}
 ORACLES: dict[str, str] = {}
