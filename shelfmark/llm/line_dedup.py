@@ -154,7 +154,7 @@ def _texts(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
 
 
-def _hint(hashes: DataFrame, bits: int) -> np.ndarray:
+def bit_hint(hashes: DataFrame, bits: int) -> np.ndarray:
     """A bit set of ``bits`` bits of the longs ``h``: at most ``bits / 64`` rows reach the driver."""
     words = (
         hashes.selectExpr(f"pmod(h, {bits}) bit")
@@ -169,7 +169,7 @@ def _hint(hashes: DataFrame, bits: int) -> np.ndarray:
 
 def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
     """``h, line`` once for each long ``h`` of ``wanted``."""
-    hint = docs.sparkSession.sparkContext.broadcast(_hint(wanted, bits))
+    hint = docs.sparkSession.sparkContext.broadcast(bit_hint(wanted, bits))
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sent: set[int] = set()
