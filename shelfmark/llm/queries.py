@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chunk_reuse, line_dedup, packing, quality_classifier, quality_rules, simhash, url_filters, warc
+from shelfmark.llm import chunk_reuse, imatch, line_dedup, packing, quality_classifier, quality_rules, simhash, url_filters, warc
 from shelfmark.llm.common import scratch, table
 from shelfmark.llm.encoding import path
 
@@ -55,6 +55,10 @@ def op8_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_reuse.encoded(table(spark, folder, "documents"), path("word_bpe_49k.json"))
 
 
+def op9_imatch(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch.fingerprinted(table(spark, folder, "documents"))
+
+
 def op10_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
@@ -67,6 +71,7 @@ OPERATORS = (
     op5_url_filters,
     op6_compression_classifier,
     op8_chunk_reuse,
+    op9_imatch,
     op10_simhash_bktree,
 )
 REGISTRY = {operator.__name__: operator for operator in OPERATORS}
