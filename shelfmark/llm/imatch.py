@@ -7,8 +7,8 @@ of its terms: there two documents share a hash about as often as they share term
 equal texts share all.
 
 Document frequencies are counted over all documents, for the terms that some lexicon can hold
-(one in ``LEXICON``). A document with fewer than ``LEAST`` of these is fingerprinted by all its terms, and
-a document with none in the band by those out of it. Everything is DataFrame and SQL functions.
+(one in ``LEXICON``). A document with fewer than ``LEAST`` of these is fingerprinted by all its terms; one with
+fewer than ``LEAST`` in the band also by its rarer terms, and one without those by the common ones too. Everything is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -151,15 +151,17 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
     versions = "array(named_struct('v', 0, 'terms', terms), named_struct('v', 1, 'terms', edited_terms))"
     pairs = rows.selectExpr("bucket", "at", f"inline({versions})").selectExpr("bucket", "at", "v", "explode(terms) term")
-    # What is in no document's lexicon terms has no count: for short texts it counts as in the band.
-    band = f"coalesce(df BETWEEN {MIN_DOCS} AND greatest({MIN_DOCS}, {MAX_SHARE} * {total}), pmod(term, {LEXICON}) <> 0)"
+    # 0: in the band, 1: in too few documents (or not counted, for short texts), 2: in too many.
+    band = (
+        f"CASE WHEN df > greatest({MIN_DOCS}, {MAX_SHARE} * {total}) THEN 2 WHEN df >= {MIN_DOCS} THEN 0 ELSE 1 END"
+    )
     kept = (
         pairs.join(counts, "term", "left")
-        .selectExpr("bucket", "at", "v", "term", f"{band} banded")
+        .selectExpr("bucket", "at", "v", "term", f"{band} band")
         .groupBy("bucket", "at", "v")
-        .agg(F.array_sort(F.collect_list(F.expr("named_struct('t', term, 'g', xxhash64(term), 'k', xxhash64(term, 1), 'banded', banded)"))).alias("all"))
-        .selectExpr("bucket", "at", "v", "filter(all, x -> x.banded) inside", "all")
-        .selectExpr("bucket", "at", "v", "CASE WHEN size(inside) > 0 THEN inside ELSE all END terms")
+        .agg(F.array_sort(F.collect_list(F.expr("named_struct('t', term, 'g', xxhash64(term), 'k', xxhash64(term, 1), 'band', band)"))).alias("all"))
+        .selectExpr("bucket", "at", "v", "filter(all, x -> x.band = 0) inside", "filter(all, x -> x.band < 2) rare", "all")
+        .selectExpr("bucket", "at", "v", f"CASE WHEN size(inside) >= {LEAST} THEN inside WHEN size(rare) > 0 THEN rare ELSE all END terms")
         .selectExpr("bucket", "at", "v", f"{fingerprint_hashes('terms')} hashes")
     )
     kept = stored(kept, "hashes")
