@@ -19,11 +19,11 @@ from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import stored, whole_text
 from shelfmark.llm.encoding import Encoder
 
 SEQUENCE = 1024
@@ -78,9 +78,8 @@ class BestFit:
         return found
 
 
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _FIELDS = ["doc_id", "piece", "start", "length", "ids_crc32"]
-_BINS = f"open boolean, used long, items array<struct<{_PIECES.replace(' ', ':').replace(',:', ',')}>>"
+_BINS = "open boolean, used long, items array<struct<doc_id:long,piece:int,start:long,length:long,ids_crc32:long>>"
 
 
 def pieces_of(ids: np.ndarray, sequence: int = SEQUENCE) -> list[tuple[int, int, int, int]]:
@@ -92,44 +91,43 @@ def pieces_of(ids: np.ndarray, sequence: int = SEQUENCE) -> list[tuple[int, int,
     return [(i, a, b - a, zlib.crc32(data[4 * a : 4 * b])) for i, (a, b) in enumerate(zip(starts, ends, strict=True))]
 
 
-def _frame(bins: list[tuple[bool, list]]) -> pd.DataFrame:
-    return pd.DataFrame(
-        {
-            "open": [is_open for is_open, _ in bins],
-            "used": np.array([sum(item[3] for item in content) for _, content in bins], np.int64),
-            "items": [[dict(zip(_FIELDS, item, strict=True)) for item in content] for _, content in bins],
-        }
+def _batch(bins: list[tuple[bool, list]]) -> pa.RecordBatch:
+    item = pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), *((name, pa.int64()) for name in _FIELDS[2:])])
+    used = [sum(part[3] for part in content) for _, content in bins]
+    items = [[dict(zip(_FIELDS, part, strict=True)) for part in content] for _, content in bins]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([is_open for is_open, _ in bins], pa.bool_()), pa.array(used, pa.int64()), pa.array(items, pa.list_(item))],
+        names=["open", "used", "items"],
     )
 
 
 def _first_round(file: str, sequence: int, open_bins: int, end_id: int):
-    def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer = Encoder(file), BestFit(sequence, open_bins)
         end = np.array([end_id], "<u4").tobytes()
-        for frame in frames:
+        for batch in batches:
             done = []
-            for doc_id, text in zip(frame["id"], frame["text"], strict=True):
-                ids = np.frombuffer(encoder.encode(text or "") + end, "<u4")
-                key = None if doc_id is None else int(doc_id)
+            for doc_id, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                ids = np.frombuffer(encoder.encode(text) + end, "<u4")
                 for piece, start, length, crc in pieces_of(ids, sequence):
-                    item = (key, piece, start, length, crc)
+                    item = (doc_id, piece, start, length, crc)
                     done += [(False, content) for content in packer.add(item, length)]
-            yield _frame(done)
-        yield _frame([(True, content) for content in packer.rest()])
+            yield _batch(done)
+        yield _batch([(True, content) for content in packer.rest()])
 
     return mapped
 
 
 def _further_round(sequence: int, open_bins: int):
-    def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = BestFit(sequence, open_bins)
-        for frame in frames:
+        for batch in batches:
             done = []
-            for used, items in zip(frame["used"].tolist(), frame["items"], strict=True):
+            for used, items in zip(batch["used"].to_pylist(), batch["items"].to_pylist(), strict=True):
                 content = [tuple(item[field] for field in _FIELDS) for item in items]
                 done += [(False, sum(parts, [])) for parts in packer.add(content, used)]
-            yield _frame(done)
-        yield _frame([(True, sum(parts, [])) for parts in packer.rest()])
+            yield _batch(done)
+        yield _batch([(True, sum(parts, [])) for parts in packer.rest()])
 
     return mapped
 
@@ -147,15 +145,15 @@ def packed(
     A null or empty text is the end id alone. Repeated rows are documents of their own, a null
     doc_id stays null, other columns are not read. An empty table gives an empty result.
     """
-    texts = docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
-    bins = stored(texts.mapInPandas(_first_round(tokenizer_file, sequence, open_bins, end_id), _BINS), "bins")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    bins = stored(texts.mapInArrow(_first_round(tokenizer_file, sequence, open_bins, end_id), _BINS), "bins")
     closed, left = [bins.where("NOT open")], bins.where("open")
     n = left.count()
     while n > 0:
         # The bins meet in an order of their own, so that every task gets sizes of all kinds.
         tasks = -(-n // per_task)
         dealt = left.repartition(tasks, F.xxhash64("items")) if tasks > 1 else left.coalesce(1)
-        again = stored(dealt.mapInPandas(_further_round(sequence, open_bins), _BINS), "bins")
+        again = stored(dealt.mapInArrow(_further_round(sequence, open_bins), _BINS), "bins")
         closed.append(again.where("NOT open"))
         left, before = again.where("open"), n
         n = left.count()
