@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored
-from shelfmark.llm.components import Forest, components
+from shelfmark.llm.components import UNITED_AT_ONCE, Forest, components
 
 SHINGLE_CHARS = 7
 SIMILARITY = 0.8
@@ -38,8 +38,11 @@ TILE = 128
 #: Bits of the set that says which lines are candidates: 8 MB at any size of the corpus.
 HINT_BITS = 1 << 26
 #: Characters signed at a time, and lines a task remembers; they bound memory, not results.
-SIGNED_AT_ONCE = 1 << 20
+SIGNED_AT_ONCE = 1 << 15
 REMEMBERED = 1 << 19
+REMEMBERED_SETS = 2000
+#: What the lines of one comparison have in common.
+GROUP = ("low", "bucket", "slot_a", "slot_b")
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A = np.uint64(0xBF58476D1CE4E5B9)
@@ -67,17 +70,29 @@ def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray
     pad = "\0" * size
     chars = np.frombuffer(pad.join([*lines, ""]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     lengths = np.fromiter(map(len, lines), np.int64, len(lines))
-    windows = len(chars) - size + 1
-    hashes = np.zeros(windows, np.uint64)
-    for i in range(size):
-        hashes *= _MULTIPLIER
-        hashes += chars[i : i + windows]
-    starts = np.concatenate([[0], np.cumsum(lengths + size)[:-1]])
+    hashes = _windows(chars, size)
+    # A line is followed by as many pads as a shingle is long; windows that begin in them, or that reach
+    # into them from a line that is long enough, are not shingles.
     counts = np.maximum(lengths - size + 1, 1)
-    owner = np.repeat(np.arange(len(lines)), counts)
-    first = np.cumsum(counts) - counts
-    at = np.arange(len(owner)) - first[owner] + starts[owner]
-    return _mixed(hashes[at]), owner
+    runs = np.column_stack([counts, lengths + size - counts]).ravel()
+    inside = np.repeat(np.tile([True, False], len(lines)), runs)[: len(hashes)]
+    return _mixed(hashes[inside]), np.repeat(np.arange(len(lines)), counts)
+
+
+def _windows(chars: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hashes of all windows of ``size`` characters, from those of windows of powers of two."""
+    power, width, done, found = chars, 1, 0, None
+    factor = int(_MULTIPLIER)
+    while width <= size:
+        if size & width:
+            if found is None:
+                found = power
+            else:
+                found = found[: len(power) - done] * np.uint64(pow(factor, width, 1 << 64)) + power[done:][: len(found)]
+            done += width
+        power = power[:-width] * np.uint64(pow(factor, width, 1 << 64)) + power[width:]
+        width *= 2
+    return found[: len(chars) - size + 1]
 
 
 def shingle_set(line: str, size: int = SHINGLE_CHARS) -> set[str]:
@@ -90,7 +105,7 @@ def bands_of(lines: list[str], size: int = SHINGLE_CHARS, bands: int = BANDS, ro
     hashes, owner = _shingle_hashes(lines, size)
     cell = owner * bins + (((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
     least = np.full(len(lines) * bins, _EMPTY)
-    np.minimum.at(least, cell, _mixed(hashes))
+    np.minimum.at(least, cell, hashes)
     least = least.reshape(len(lines), bins)
     # The next bin that is not empty, going round; how far it is becomes part of the value.
     at = np.where(least == _EMPTY, 4 * bins, np.arange(bins))
@@ -192,8 +207,8 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
 
 
 def _verified(size: int, similarity: float):
-    def alike(left: tuple, right: tuple) -> bool:
-        small, large = sorted((left[2], right[2]), key=len)
+    def alike(left: set, right: set) -> bool:
+        small, large = (left, right) if len(left) <= len(right) else (right, left)
         if len(small) < similarity * len(large):
             return False
         shared = len(small & large)
@@ -202,23 +217,29 @@ def _verified(size: int, similarity: float):
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for frame in frames:
-                yield from zip(*(frame[c].tolist() for c in ("bucket", "slot_a", "slot_b", "slot", "h", "line")), strict=True)
-
-        found = []
-        for (_, slot_a, slot_b), group in groupby(rows(), key=lambda row: row[:3]):
-            lines = [(slot, h, shingle_set(line, size)) for _, _, _, slot, h, line in group]
-            forest = Forest()
-            for i, left in enumerate(lines):
-                for right in lines[:i]:
-                    if slot_a != slot_b and left[0] == right[0]:
+                yield from zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h", "line")), strict=True)
+
+        # Buckets with the same lowest line come to the same task one after the other: what one
+        # has linked the next need not compare, and a line's shingles are cut once.
+        forest, sets = Forest(), {}
+        for (_, _, slot_a, slot_b), group in groupby(rows(), key=lambda row: row[:4]):
+            lines = []
+            for _, _, _, _, slot, h, line in group:
+                if h not in sets:
+                    if len(sets) >= REMEMBERED_SETS:
+                        sets.clear()
+                    sets[h] = shingle_set(line, size)
+                lines.append((slot, h, sets[h]))
+            for i, (slot, h, own) in enumerate(lines):
+                for other_slot, other, others in lines[:i]:
+                    if slot_a != slot_b and slot == other_slot:
                         continue
-                    if forest.find(left[1]) != forest.find(right[1]) and alike(left, right):
-                        forest.unite(left[1], right[1])
-            found += forest.links()
-            if len(found) >= 50_000:
-                yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-                found = []
-        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                    if forest.find(h) != forest.find(other) and alike(own, others):
+                        forest.unite(h, other)
+            if len(forest.parent) >= UNITED_AT_ONCE:
+                yield pd.DataFrame(forest.links(), columns=["a", "b"], dtype="int64")
+                forest = Forest()
+        yield pd.DataFrame(forest.links(), columns=["a", "b"], dtype="int64")
 
     return mapped
 
@@ -237,21 +258,20 @@ def line_links(
         .agg(F.count(F.lit(1)).alias("n"), F.expr("bit_xor(h)").alias("all"), F.min("h").alias("low"), F.max("h").alias("high"))
         .groupBy("n", "all", "low", "high")
         .agg(F.min("bucket").alias("bucket"))
-        .selectExpr("bucket", f"cast(ceil(n / {tile}) as int) tiles")
+        .selectExpr("low", "bucket", f"cast(ceil(n / {tile}) as int) tiles")
     )
     dealt = stored(
         members.join(sizes, "bucket")
-        .selectExpr("bucket", "h", "cast(pmod(xxhash64(h), tiles) as int) slot", "tiles")
-        .selectExpr("bucket", "h", "slot", "explode(sequence(0, tiles - 1)) other")
-        .selectExpr("bucket", "least(slot, other) slot_a", "greatest(slot, other) slot_b", "slot", "h"),
+        .selectExpr("low", "bucket", "h", "cast(pmod(xxhash64(h), tiles) as int) slot", "tiles")
+        .selectExpr("low", "bucket", "h", "slot", "explode(sequence(0, tiles - 1)) other")
+        .selectExpr("low", "bucket", "least(slot, other) slot_a", "greatest(slot, other) slot_b", "slot", "h"),
         "dealt",
     )
     lines = _candidate_lines(docs, dealt.select("h").distinct(), hint_bits)
-    groups = ["bucket", "slot_a", "slot_b"]
     return (
         dealt.join(lines, "h")
-        .repartition(*groups)
-        .sortWithinPartitions(*groups, "slot", "h")
+        .repartition("low", "slot_a", "slot_b")
+        .sortWithinPartitions(*GROUP, "slot", "h")
         .mapInPandas(_verified(size, similarity), "a long, b long")
     )
 
