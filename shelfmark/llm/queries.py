@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chunk_reuse, imatch, line_dedup, packing, quality_classifier, quality_rules, simhash, url_filters, warc
+from shelfmark.llm import chunk_reuse, imatch, line_dedup, packing, ppm, quality_classifier, quality_rules, simhash, url_filters, warc
 from shelfmark.llm.common import scratch, table
 from shelfmark.llm.encoding import path
 
@@ -51,6 +51,10 @@ def op6_compression_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.classified(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_ppm(spark: SparkSession, folder: str) -> DataFrame:
+    return ppm.scored(table(spark, folder, "documents"))
+
+
 def op8_chunk_reuse(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_reuse.encoded(table(spark, folder, "documents"), path("word_bpe_49k.json"))
 
@@ -70,6 +74,7 @@ OPERATORS = (
     op4_line_dedup,
     op5_url_filters,
     op6_compression_classifier,
+    op7_ppm,
     op8_chunk_reuse,
     op9_imatch,
     op10_simhash_bktree,
