@@ -8,8 +8,10 @@ pieces in a row. A task remembers the pieces it has met. A text that is not plai
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from functools import cache
 
 import numpy as np
@@ -38,41 +40,77 @@ def tokenizer(file: str):
     return found
 
 
+#: How byte-level tokenizers cut a text before merging: a fixed value of their format.
+_BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte behind each letter of a byte-level vocabulary: printable bytes stand for themselves, the others follow from 256."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+@cache
+def _ranked(file: str):
+    """A faster engine over the same vocabulary, where the file is plain byte-level BPE whose ids are in merge order; else none."""
+    import tiktoken
+
+    with open(file, encoding="utf-8") as source:
+        spec = json.load(source)
+    model, before = spec["model"], spec["pre_tokenizer"] or {}
+    plain = before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space")
+    if not plain or spec["normalizer"] or model["end_of_word_suffix"] or model["continuing_subword_prefix"]:
+        return None
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    merged = [model["vocab"][a + b] for a, b in merges]
+    if any(a >= b for a, b in zip(merged, merged[1:], strict=False)):
+        return None
+    of, special = _byte_of(), {token["content"] for token in spec["added_tokens"]}
+    ranks = {bytes(of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+    return tiktoken.Encoding("ranked", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class Encoder:
     """Ids of texts as little-endian numbers of ``dtype``; ``spaced``: a piece keeps the space before it."""
 
     def __init__(self, file: str, dtype: str = "<u4", spaced: bool = True) -> None:
-        self.tokenizer, self.dtype, self.spaced = tokenizer(file), np.dtype(dtype), spaced
+        self.tokenizer, self.dtype, self.space = tokenizer(file), np.dtype(dtype), " " if spaced else ""
+        self.ranked = _ranked(file)
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        """Through the tokenizer, unused pieces and all."""
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, self.dtype).tobytes() for one in found]
 
     def learn(self, pieces: list[str]) -> None:
         """Encode those of ``pieces`` that are not yet remembered."""
         new = [piece for piece in dict.fromkeys(pieces) if piece not in self.known]
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(dict.fromkeys(pieces))
-            self.known.update(zip(new, self.whole(new), strict=True))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(dict.fromkeys(pieces))
+        spaced = [self.space + piece for piece in new]
+        if self.ranked is None or any(special in piece for special in self.special for piece in new):
+            ids = self.whole(spaced)
+        else:
+            code = self.dtype.char
+            ids = [array(code, self.ranked(piece)).tobytes() for piece in spaced]
+        self.known.update(zip(new, ids, strict=True))
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD.search(text):
             return self.whole([text])[0]
-        first, *pieces = text.split(" ")
-        if self.spaced:
-            pieces = [f" {piece}" for piece in pieces]
-        pieces.append(first)
+        pieces = text.split(" ")
+        first = self.whole([pieces[0]])[0] if self.space else b""
+        if self.space:
+            del pieces[0]
         known = self.known
         try:
             ids = [known[piece] for piece in pieces]
         except KeyError:
             self.learn(pieces)
-            known = self.known
-            ids = [known[piece] for piece in pieces]
-        return b"".join([ids.pop(), *ids])
+            ids = [self.known[piece] for piece in pieces]
+        return first + b"".join(ids)
