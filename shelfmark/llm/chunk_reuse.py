@@ -32,7 +32,7 @@ from shelfmark.llm.line_dedup import bit_hint
 CUT_BITS = 10
 WINDOW = 32
 HINT_BITS = 1 << 26
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 #: White space that every Unicode table and both tokenizer engines agree on.
 _SPACE = re.compile("[ \n]")
 #: What the pieces of a chunk may hold; other texts are encoded whole.

@@ -39,7 +39,7 @@ TILE = 128
 HINT_BITS = 1 << 26
 #: Characters signed at a time, and lines a task remembers; they bound memory, not results.
 SIGNED_AT_ONCE = 1 << 15
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 17
 REMEMBERED_SETS = 2000
 #: What the lines of one comparison have in common.
 GROUP = ("low", "bucket", "slot_a", "slot_b")

@@ -327,7 +327,7 @@ def _gathered(folds: int, held_fold: int, buckets: int):
                 codes, counts = _merged(held)
                 held.clear()
                 steps = np.diff(codes, prepend=np.uint64(0))
-                return [("grams", None, None, _packed(steps.astype("<u8").tobytes()), _packed(counts.astype("<i8").tobytes()))]
+                return [("grams", None, -1, _packed(steps.astype("<u8").tobytes()), _packed(counts.astype("<i8").tobytes()))]
             return []
 
         def batch() -> list[tuple]:
@@ -350,7 +350,7 @@ def _gathered(folds: int, held_fold: int, buckets: int):
             sizes = np.array([d[2] for d in docs], "<u4")
             head = pd.DataFrame(docs, columns=["id", "hash", "size"]).drop(columns="size").to_json(orient="values").encode()
             body = sizes.tobytes() + rank[np.frombuffer(tokens, np.uint32)].astype("<u4").tobytes()
-            rows.append(("docs", name, None, _packed(head), _packed(body)))
+            rows.append(("docs", name, -1, _packed(head), _packed(body)))
             numbers, tokens, trained, docs = {b"": 0}, array("I"), array("I"), []
             return rows
 
@@ -453,7 +453,7 @@ def scored(docs: DataFrame, folds: int = 7, held_fold: int = 2, contexts: dict[i
     answers = stored(answers, "answers")
     tokens, words = answers.agg(F.sum("tokens"), F.sum("words")).first()
     tokens, words = tokens or 0, words or 0
-    documents = gathered.where("kind = 'docs'").selectExpr("batch", "-1 bucket", "a", "b")
+    documents = gathered.where("kind = 'docs'").selectExpr("batch", "bucket", "a", "b")
     both = documents.union(answers.where("batch IS NOT NULL").selectExpr("batch", "bucket", "counts a", "cast(null as binary) b"))
     based = both.repartition("batch").sortWithinPartitions("batch", "bucket")
     based = based.mapInPandas(_based, "id string, hash long, n_tokens long, n_known long, logs double")

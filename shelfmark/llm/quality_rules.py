@@ -40,19 +40,22 @@ MAX_STEPS = 8
 BINS = 512
 #: Chance that a document of a normal group lies beyond the cutoff.
 ALPHA = 1e-6
-#: Least spread of a transformed statistic, so that a constant one does not reject its first exception.
-FLOOR = 0.25
+#: Least spread of a transformed statistic, and least variance of what is centred and divided by it, so
+#: that a constant one does not reject its first exceptions.
+FLOOR = 0.5
+RIDGE = 0.25
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines", "n_upper")
 STATS = f"struct<{', '.join(f'{name}: long' for name in COUNTS)}>"
-#: Transformed statistics: logarithms of sizes and of smoothed shares.
+#: Transformed statistics: logarithms of sizes and of shares. A share of nothing is 0 whatever the length, so
+#: that texts without symbols or repeats do not tie these to their length.
 VECTOR = (
     "ln(n_words + 1)",
     "4 * ln((word_chars + 1) / (n_words + 1))",
-    "ln((n_symbols + 2) / (n_chars + 200))",
-    "ln((n_dup_lines + 1) / (n_lines + 4))",
-    "ln((n_repeat_words + 4) / (n_words + 40))",
-    "ln((n_upper + 2) / (n_chars + 100))",
+    "ln(1 + 50 * n_symbols / greatest(1, n_chars))",
+    "ln(1 + 10 * n_dup_lines / greatest(1, n_lines))",
+    "ln(1 + 10 * n_repeat_words / greatest(1, n_words))",
+    "ln(1 + 50 * n_upper / greatest(1, n_chars))",
 )
 P = len(VECTOR)
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
@@ -171,7 +174,7 @@ def _estimate(bins: pd.DataFrame, upto: int) -> tuple[np.ndarray, np.ndarray]:
     cov = np.empty((P, P))
     for i, j in PAIRS:
         cov[i, j] = cov[j, i] = part[f"t{i}_{j}"].sum() / n - mean[i] * mean[j]
-    return mean, cov + 1e-3 * np.eye(P)
+    return mean, cov + RIDGE * np.eye(P)
 
 
 def _row(key: str, start: int, mean: np.ndarray, cov: np.ndarray, middle: float) -> dict:
@@ -275,7 +278,8 @@ def judged(docs: DataFrame, alpha: float = ALPHA, min_rows: int = MIN_ROWS) -> t
     ]
     distance = sum((F.col(taken[f"a{i}_{j}"]) * z[i] * z[j] for i, j in PAIRS), F.lit(0.0))
     cutoff = chi_square(1 - alpha, P) / chi_square(0.5, P)
-    within = F.coalesce(distance <= cutoff * F.col(taken["scale"]), F.lit(True))
+    # Where statistics are constant distances are short; the scale only ever widens the cutoff.
+    within = F.coalesce(distance <= cutoff * F.greatest(F.col(taken["scale"]), F.lit(chi_square(0.5, P))), F.lit(True))
     done = joined.withColumn(failed, base_failed(stats)).withColumn(kept, ~F.col(failed) & within)
     return done.select(*docs.columns, stats, failed, kept), stats, failed, kept
 

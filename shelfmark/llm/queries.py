@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfmark.llm import chunk_reuse, imatch, line_dedup, packing, ppm, quality_classifier, quality_rules, simhash, url_filters, warc
 from shelfmark.llm.common import scratch, table
 from shelfmark.llm.encoding import path
+from shelfmark.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_robust_outliers(spark: SparkSession, folder: str) -> DataFrame:
@@ -44,7 +45,7 @@ URL_RULES = [
 
 
 def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filters.filtered(table(spark, folder, "pages"), URL_RULES)
+    return url_filters.filtered(table(spark, folder, "pages"), URL_RULES).drop("n_candidates")
 
 
 def op6_compression_classifier(spark: SparkSession, folder: str) -> DataFrame:
@@ -80,4 +81,3 @@ OPERATORS = (
     op10_simhash_bktree,
 )
 REGISTRY = {operator.__name__: operator for operator in OPERATORS}
-ORACLES: dict[str, str] = {}
