@@ -59,13 +59,23 @@ def round_minor(amount: Column, currency: Column) -> Column:
 
 
 def round_minor_text(amount: Column, currency: Column) -> Column:
-    """The same for text. What is not a plain decimal counts as 0.
+    """The same for text. What is not a plain decimal counts as 0; what is one but has
+    more minor units than a long holds is null.
 
-    Rounding looks at one digit past the exponent, which is at most four, so the digits
-    after the ninth cannot change the result and are not read.
+    The digits up to the exponent are joined as text, so no amount is too long to be
+    exact; rounding looks at the one digit after them.
     """
-    digits = F.regexp_extract(trimmed(amount), r"^(-?[0-9]+(?:\.[0-9]{1,9}(?=[0-9]*\z))?)[0-9]*\z", 1)
-    return F.coalesce(round_minor(digits.try_cast("decimal(24,9)"), currency), F.lit(0).cast("bigint"))
+    text = F.coalesce(trimmed(amount), F.lit(""))
+    places = exponent_of(currency)
+    negative = text.startswith("-")
+    whole = F.substring_index(F.ltrim(text, F.lit("-")), ".", 1)
+    spare = F.when(F.instr(text, ".") > 0, F.substring_index(text, ".", -1)).otherwise("")
+    digits = F.concat(whole, F.rpad(F.substring(spare, F.lit(1), places), places, F.lit("0")))
+    up = F.when(F.substring(spare, places + 1, F.lit(1)) >= "5", 1).otherwise(0)
+    size = digits.try_cast("decimal(38,0)").cast("decimal(38,0)")
+    minor = F.try_add(size, up.cast("decimal(1,0)"))
+    signed = F.when(negative, -minor).otherwise(minor).try_cast("bigint")
+    return F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?\z"), signed).otherwise(F.lit(0).cast("bigint"))
 
 
 def strict_minor_reject(amount: Column, currency: Column) -> Column:
@@ -78,6 +88,7 @@ def strict_minor_reject(amount: Column, currency: Column) -> Column:
         F.when(text.isNull() | ~text.rlike(r"^[0-9]+(\.[0-9]+)?\z"), "malformed amount")
         .when(~F.coalesce(is_currency(currency), F.lit(False)), "bad currency")
         .when(F.rtrim(spare, F.lit("0")) != "", "too many decimals")
+        .when(round_minor_text(amount, currency).isNull(), "too large")
     )
 
 

@@ -34,7 +34,8 @@ def _tag_pattern(loop: str = "*+", run: str = "++") -> str:
     """Markup as one regular expression.
 
     A tag opens at ``<`` followed by anything but white space and closes at the first ``>``
-    outside quotes; ``<`` inside a tag nests (two levels are spelled out); a comment
+    outside quotes; ``<`` inside a tag nests (two levels are spelled out here, what is
+    deeper is walked); a comment
     closes at ``-->``; what never closes runs to the end of the text. The loops are
     possessive, so Java matches them without recursion however long the text is. Quotes are
     written as codes, so that the text can stand in an SQL string.
@@ -54,6 +55,29 @@ TAGS = _tag_pattern()
 TAGS_PORTABLE = _tag_pattern("*", "+")
 
 
+# Markup removed by counting, a token for each ``<``, ``>`` or quote: what nests deeper than the
+# pattern spells out. Quotes are written as codes.
+_WALK_START = "named_struct('out', '', 'depth', 0, 'quote', '', 'tail', '')"
+_WALK_STEP = r"""CASE
+  WHEN s.depth = 0 AND (left(t, 1) <> '<' OR t RLIKE '^<\\s') THEN named_struct('out', s.out || t, 'depth', 0, 'quote', '', 'tail', '')
+  WHEN s.depth = 0 THEN named_struct('out', s.out, 'depth', 1, 'quote', CASE WHEN startswith(t, '<!--') THEN '-' ELSE '' END, 'tail', right(t, 2))
+  WHEN s.quote = '-' AND left(t, 1) = '>' AND s.tail = '--' THEN named_struct('out', s.out || substring(t, 2), 'depth', 0, 'quote', '', 'tail', '')
+  WHEN s.quote = '-' THEN named_struct('out', s.out, 'depth', s.depth, 'quote', '-', 'tail', right(t, 2))
+  WHEN s.quote <> '' THEN named_struct('out', s.out, 'depth', s.depth, 'quote', CASE WHEN left(t, 1) = s.quote THEN '' ELSE s.quote END, 'tail', '')
+  WHEN left(t, 1) IN (chr(34), chr(39)) THEN named_struct('out', s.out, 'depth', s.depth, 'quote', left(t, 1), 'tail', '')
+  WHEN left(t, 1) = '<' AND NOT t RLIKE '^<\\s' THEN named_struct('out', s.out, 'depth', s.depth + 1, 'quote', '', 'tail', '')
+  WHEN left(t, 1) = '>' AND s.depth = 1 THEN named_struct('out', s.out || substring(t, 2), 'depth', 0, 'quote', '', 'tail', '')
+  WHEN left(t, 1) = '>' THEN named_struct('out', s.out, 'depth', s.depth - 1, 'quote', '', 'tail', '')
+  ELSE s END"""
+
+
+def _without_tags(spaced: str) -> str:
+    """One pattern for nearly all texts; one that keeps an opened tag after it nests deeper and is walked."""
+    walk = f"aggregate(split(markup, r'(?=[<>\\x22\\x27])'), {_WALK_START}, (s, t) -> {_WALK_STEP}, s -> s.out)"
+    chosen = _bound(f"regexp_replace(markup, r'{TAGS}', '')", "bare", f"CASE WHEN bare RLIKE r'<\\S' THEN {walk} ELSE bare END")
+    return _bound(spaced, "markup", chosen)
+
+
 def _entity_table() -> str:
     """Named HTML5 references that end in ``;``, as JSON: name -> characters."""
     frequent = ["amp", "lt", "gt", "quot", "apos", "nbsp", "copy", "reg", "trade", "middot", "ndash", "mdash"]
@@ -103,8 +127,7 @@ def plain_text(markup: str) -> Column:
     after that, white space collapses. ``<li>Cotton</li><li>Wash</li>`` keeps its two
     words apart. Written as one SQL text, which Spark parses at once."""
     spaced = f"replace(replace(replace({markup}, '<', ' <'), '>', '> '), '\\0', '')"
-    bare = f"regexp_replace({spaced}, r'{TAGS}', '')"
-    decoded = f"replace({_decode_sql(bare)}, '{VOWEL_SEPARATOR}', ' ')"
+    decoded = f"replace({_decode_sql(_without_tags(spaced))}, '{VOWEL_SEPARATOR}', ' ')"
     return F.expr(f"trim(regexp_replace({decoded}, r'{WHITESPACE}', ' '))")
 
 

@@ -1,7 +1,7 @@
 """Running values over rows in order, without putting all rows of a key in one task.
 
-Rows are cut into buckets by their order number. A window inside each bucket and a window
-over one summary row per bucket together give what one long window would give.
+Rows are cut into buckets by their order number. Windows inside buckets and over summary
+rows of buckets together give what one long window would give.
 """
 
 from __future__ import annotations
@@ -16,19 +16,32 @@ def _bucketed(rows: DataFrame, order: str, bits: int) -> DataFrame:
     return rows.withColumn("_bucket", F.shiftright(F.col(order).cast("bigint"), bits))
 
 
+def _starts(sizes: DataFrame, bits: int, used: int) -> DataFrame:
+    """(_bucket, _start): rows in lower buckets, from (_bucket, _size).
+
+    Buckets are summed up in groups by their upper bits, and those among themselves in the
+    same way, until a 64-bit id has at most ``bits`` bits left: no window ever orders more
+    than 2**bits rows, however sparse the ids are.
+    """
+    earlier = (Window.unboundedPreceding, -1)
+    before = lambda window: F.coalesce(F.sum("_size").over(window.orderBy("_bucket").rowsBetween(*earlier)), F.lit(0))
+    if 64 - used <= bits:
+        return sizes.select("_bucket", before(Window.partitionBy(F.lit(0))).alias("_start"))
+    grouped = sizes.withColumn("_upper", F.shiftright("_bucket", bits))
+    upper = grouped.groupBy(F.col("_upper").alias("_bucket")).agg(F.sum("_size").alias("_size"))
+    above = _starts(upper, bits, used + bits).select(F.col("_bucket").alias("_upper"), F.col("_start").alias("_above"))
+    inside = grouped.select("_bucket", "_upper", before(Window.partitionBy("_upper")).alias("_inside"))
+    return inside.join(above, "_upper").select("_bucket", (F.col("_above") + F.col("_inside")).alias("_start"))
+
+
 def with_position(rows: DataFrame, order: str, name: str = "position", bits: int = BUCKET_BITS) -> DataFrame:
     """A 0-based position in the order of ``order``, a unique whole number.
 
-    A bucket holds at most 2**bits rows because the numbers are unique, and 32-bit ids
-    give at most 2**(32 - bits) bucket rows to add up: 16,384 with the default.
+    A bucket holds at most 2**bits rows because the numbers are unique.
     """
     cut = _bucketed(rows, order, bits)
     sizes = cut.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.partitionBy(F.lit(0)).orderBy("_bucket")
-    starts = sizes.select(
-        "_bucket",
-        F.coalesce(F.sum("_size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"),
-    )
+    starts = _starts(sizes, bits, bits)
     inside = Window.partitionBy("_bucket").orderBy(order)
     return (
         cut.withColumn("_row", F.row_number().over(inside) - 1)

@@ -12,7 +12,8 @@ from shelfmark.operators.scope import attribute_labels, in_scope, own_and_defaul
 from shelfmark.operators.stock import stock_of
 from shelfmark.sources.catalogue import Catalogue, StoreView
 
-VARIANTS_PER_PART = 20_000
+# Groups that a parent's children are gathered in before its document is put together.
+SALTS = 64
 
 
 def variant_rows(catalogue: Catalogue, store: StoreView) -> DataFrame:
@@ -95,32 +96,23 @@ def option_maps(options: DataFrame) -> DataFrame:
     )
 
 
-def _part_counts(super_link: DataFrame, per_part: int) -> DataFrame:
-    """How many parts the few parents need whose children do not fit one part."""
-    return (
-        super_link.groupBy("parent_id")
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(per_part)).cast("int").alias("parts"))
-        .where(F.col("parts") > 1)
-    )
-
+def nested_variants(catalogue: Catalogue, store: StoreView) -> DataFrame:
+    """(entity_id, variants): each parent's variants by child id, one row for a parent.
 
-def nested_variants(catalogue: Catalogue, store: StoreView, per_part: int = VARIANTS_PER_PART) -> DataFrame:
-    """(entity_id, part, variants): each parent's variants by child id.
-
-    One array per parent, except for a parent with more than ``per_part`` children: those
-    are spread by child id over as many parts as they need, so that no task gathers an
-    unbounded group and no child is lost.
+    Children are gathered in groups by child id first, so that what one task gathers of a
+    parent with very many children is a share of them; only the finished array, which is
+    one field of one document, is whole in one place.
     """
     flat = variant_rows(catalogue, store).join(
         option_maps(variant_options(catalogue, store)), ["parent_id", "id"], "left"
     )
-    placed = flat.join(_part_counts(catalogue.super_link, per_part), "parent_id", "left").withColumn(
-        "part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int")
-    )
     variant = F.struct("id", "sku", "price", "in_stock", "attributes")
-    return placed.groupBy(F.col("parent_id").alias("entity_id"), "part").agg(
+    shares = flat.groupBy("parent_id", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("_share")).agg(
+        F.collect_list(variant).alias("_variants")
+    )
+    return shares.groupBy(F.col("parent_id").alias("entity_id")).agg(
         F.array_sort(
-            F.collect_list(variant),
+            F.flatten(F.collect_list("_variants")),
             lambda left, right: F.when(left["id"] < right["id"], -1).when(left["id"] > right["id"], 1).otherwise(0),
         ).alias("variants")
     )

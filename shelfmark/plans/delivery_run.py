@@ -17,10 +17,8 @@ def numbered_queue(queue: DataFrame, order: str = "object_id") -> DataFrame:
 
 
 def bodies(numbered: DataFrame, catalogue: Catalogue, store: StoreView, version: Column | None = None) -> DataFrame:
-    """(batch_no, items, body) of a run. A document of several parts puts its parts side by
-    side in its batch."""
-    items = with_json(search_items(numbered, catalogue, store, version))
-    return batch_bodies(items.withColumn("slot", F.struct("slot", "part")))
+    """(batch_no, items, body) of a run: a product is one item of one batch."""
+    return batch_bodies(with_json(search_items(numbered, catalogue, store, version)))
 
 
 def outcome_log(numbered: DataFrame, answers: DataFrame) -> DataFrame:

@@ -271,7 +271,7 @@ def flat_items(items: DataFrame) -> DataFrame:
         items.withColumn("categories", joined(F.col("categories")))
         .withColumn("attributes", flat_map(F.col("attributes")))
         .withColumn("variants", F.array_join(variant, ","))
-        .drop("price_reject", "part")
+        .drop("price_reject")
     )
 
 

@@ -30,7 +30,6 @@ def documents(catalogue: Catalogue, store: StoreView) -> DataFrame:
 
     Starts from the searchable products and adds each field by a left join on entity_id.
     Every side is grouped by entity_id, so large sides meet without a further shuffle.
-    ``part`` is 0 but for a product whose variants fill several rows.
     """
     texts = scoped_wide(
         catalogue.eav_varchar,
@@ -52,7 +51,7 @@ def documents(catalogue: Catalogue, store: StoreView) -> DataFrame:
         rows = rows.join(popularity(catalogue.bestsellers, store.store_id), "entity_id", "left")
     if catalogue.super_link is not None and catalogue.super_attribute is not None:
         rows = rows.join(nested_variants(catalogue, store), "entity_id", "left")
-    absent = {"categories": "array<string>", "popularity_score": "bigint", "part": "int"}
+    absent = {"categories": "array<string>", "popularity_score": "bigint"}
     absent["variants"] = (
         "array<struct<id:bigint,sku:string,price:bigint,in_stock:boolean,attributes:map<string,array<string>>>>"
     )
@@ -78,12 +77,11 @@ def documents(catalogue: Catalogue, store: StoreView) -> DataFrame:
         F.when(F.size("attributes") > 0, F.col("attributes")).alias("attributes"),
         F.when(F.size("variants") > 0, F.col("variants")).alias("variants"),
         "price_reject",
-        F.coalesce("part", F.lit(0)).alias("part"),
     )
 
 
 def search_items(requested: DataFrame, catalogue: Catalogue, store: StoreView, version: Column | None = None) -> DataFrame:
-    """(op, version, id, fields..., price_reject, part) for every row of ``requested``,
+    """(op, version, id, fields..., price_reject), one row for every row of ``requested``,
     which holds unique entity_id values and may hold a version and further columns.
 
     An id that is not searchable, for whatever reason, becomes a delete that says no more
@@ -101,7 +99,6 @@ def search_items(requested: DataFrame, catalogue: Catalogue, store: StoreView, v
         F.col("entity_id").alias("id"),
         *(hit.alias("visible") if name == "visible" else F.col(name) for name in FIELDS if name != "id"),
         "price_reject",
-        F.coalesce("part", F.lit(0)).alias("part"),
     )
 
 

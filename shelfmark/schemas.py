@@ -36,8 +36,8 @@ QUEUE = row(
     status=StringType(), attempts=LongType(), first_seq=LongType(),
 )
 
-# A document as it is held: its wire JSON under id and part.
-HELD = row(id=LongType(), part=IntegerType(), op=StringType(), version=LongType(), json=StringType())
+# A document as it is held: its wire JSON under its id.
+HELD = row(id=LongType(), op=StringType(), version=LongType(), json=StringType())
 
 # Ids a refresh reads rows of.
 WANTED = row(entity_id=LongType())

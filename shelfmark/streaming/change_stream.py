@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -31,11 +33,8 @@ def fold_queue(log: DataFrame) -> DataFrame:
 
 
 def fold_documents(log: DataFrame) -> DataFrame:
-    """The documents held after all batches; stale writes are skipped. Documents of several
-    parts fold by part."""
-    keyed = log.withColumn("key", F.struct("id", "part"))
-    held = current_documents(keyed, "key", "version", "batch", ["op", "json"])
-    return held.select("key.id", "key.part", "op", "version", "json")
+    """The documents held after all batches; stale writes are skipped."""
+    return current_documents(log, "id", "version", "batch", ["op", "json"]).select("id", "op", "version", "json")
 
 
 def read_queue(spark: SparkSession, path: str) -> DataFrame:
@@ -48,7 +47,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
 def start_refresh(
     changes: DataFrame,
-    catalogue: Catalogue,
+    catalogue: Catalogue | Callable[[], Catalogue],
     store: StoreView,
     queue_path: str,
     documents_path: str,
@@ -57,16 +56,20 @@ def start_refresh(
 ) -> StreamingQuery:
     """Start the stream. Each batch writes its queue rows first, and the ids whose rows its
     documents need; the documents are made from what was written. A replay makes the same
-    ones, and the sizes are known, so a small batch is broadcast to the catalogue tables."""
+    ones, and the sizes are known, so a small batch is broadcast to the catalogue tables.
+
+    A catalogue that changes while the stream runs is given as a reader: every batch calls
+    it, so its documents show the tables, and the files in them, of that moment."""
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        write_batch(queue_of(batch, catalogue), queue_path, batch_id)
+        current = catalogue() if callable(catalogue) else catalogue
+        write_batch(queue_of(batch, current), queue_path, batch_id)
         queued = read_batch(spark, QUEUE, queue_path, batch_id)
         requested = queued.select(F.col("object_id").alias("entity_id"), "version")
-        write_batch(wanted_ids(catalogue, requested), f"{queue_path}_wanted", batch_id)
+        write_batch(wanted_ids(current, requested), f"{queue_path}_wanted", batch_id)
         wanted = read_batch(spark, WANTED, f"{queue_path}_wanted", batch_id)
-        items = with_json(search_items(requested, narrowed(catalogue, requested, wanted), store)).select(*HELD.names)
+        items = with_json(search_items(requested, narrowed(current, requested, wanted), store)).select(*HELD.names)
         write_batch(items, documents_path, batch_id)
 
     writer = changes.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)

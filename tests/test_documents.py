@@ -136,19 +136,17 @@ def test_variants_are_priced_children_with_their_options(items):
     assert json.loads(items[4].json)["data"]["attributes"] == {"Couleur": ["Dark"]}
 
 
-def test_variants_of_a_hot_parent_fill_several_parts(spark, catalogue):
-    n = 500
+def test_a_hot_parent_is_one_row_with_every_variant(spark, catalogue):
+    n = 25_000
     many = replace(
         catalogue,
         entity=spark.createDataFrame([(i, f"S{i}", "simple") for i in range(1, n)], SOURCES["entity"]),
         super_link=spark.createDataFrame([(4, i) for i in range(100, n)] + [(1, 50)], SOURCES["super_link"]),
         price=spark.createDataFrame([(i, 0, 1, D(i), D(i), D(i)) for i in range(1, n)], SOURCES["price"]),
     )
-    rows = variants.nested_variants(many, STORE, per_part=50).collect()
-    parts = [r for r in rows if r.entity_id == 4]
-    assert len(parts) == 8 and [r.part for r in rows if r.entity_id == 1] == [0]
-    assert sorted(v["id"] for r in parts for v in r.variants) == list(range(100, n))
-    assert max(len(r.variants) for r in parts) < 100
+    rows = {r.entity_id: r.variants for r in variants.nested_variants(many, STORE).collect()}
+    assert sorted(rows) == [1, 4] and [v["id"] for v in rows[1]] == [50]
+    assert [v["id"] for v in rows[4]] == list(range(100, n))
 
 
 def test_json_reads_back_as_the_wire_type(spark, items):

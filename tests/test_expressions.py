@@ -109,7 +109,13 @@ def test_exponent_table(spark):
         (" 5 ", "usd", 500, 500),
         ("1", "XX", 100, None),
         ("1.", "USD", 0, None),
-        ("99999999999999999999999999999999", "USD", 0, 0),
+        ("99999999999999999999999999999999", "USD", None, None),
+        ("1234567890123456", "USD", 123456789012345600, 123456789012345600),
+        ("123456789012345678", "JPY", 123456789012345678, 123456789012345678),
+        ("92233720368547758.07", "USD", 9223372036854775807, 9223372036854775807),
+        ("92233720368547758.08", "USD", None, None),
+        ("-92233720368547758.08", "USD", -9223372036854775808, None),
+        ("0000000000000000000000000000000000000000001.5", "KWD", 1500, 1500),
     ],
 )
 def test_minor_units(spark, amount, currency, rounded, strict):
@@ -154,3 +160,33 @@ def test_wire_expressions(spark):
     assert one(spark, ["1,2,,0,3", ""], wire.split_ids) == [["1", "2", "3"], []]
     refs = one(spark, [1, 2], lambda c: wire.order_ref(F.lit("shop"), c), "bigint")
     assert len(set(refs)) == 2 and all(len(r) == 64 for r in refs)
+
+
+def test_amounts_beyond_a_long_have_a_reason(spark):
+    row = spark.createDataFrame([("92233720368547758.08", "USD")], "a string, c string")
+    assert row.select(money.strict_minor_reject(F.col("a"), F.col("c"))).first()[0] == "too large"
+
+
+def walked(markup):
+    """Markup removed by walking the characters, with tags, quotes and nesting counted."""
+    spaced = markup.replace("<", " <").replace(">", "> ")
+    out, depth, quote = [], 0, ""
+    for i, c in enumerate(spaced):
+        if quote:
+            quote = "" if c == quote else quote
+        elif c == "<" and not spaced[i + 1 : i + 2].isspace():
+            depth += 1
+        elif depth and c in "\"'":
+            quote = c
+        elif depth and c == ">":
+            depth -= 1
+        elif not depth:
+            out.append(c)
+    return " ".join("".join(out).split())
+
+
+def test_nested_markup_of_any_depth(spark):
+    deep = ["a" + "".join(f"<t{i} " for i in range(n)) + "x" + ">y" * n + "w" for n in (1, 2, 3, 4, 9, 50)]
+    deep += ["a<b <c <d <e>x>y>z>w", "a<b <c <d <e 'q>\">x'>y>z>w", "p <a <b <c <d>>>> q <i>r</i> < s <u <v <w <x> e", "a <b <c <d <e>>> 1 > 2 <b>x</b>"]
+    rows = spark.createDataFrame(list(enumerate(deep)), "n int, m string").select("n", text.plain_text("m").alias("t")).orderBy("n").collect()
+    assert [r.t for r in rows] == [walked(m) for m in deep]
