@@ -51,6 +51,7 @@ GRAMS_HELD = 3 << 20
 DEEP_PARTS = 64
 #: Bytes of stored input for one bucket of words.
 BUCKET_BYTES = 16 << 20
+MAX_BUCKETS = 1 << 17
 START = b"\0" * ORDER
 END = b"\0"
 
@@ -436,7 +437,10 @@ def scored(docs: DataFrame, folds: int = 7, held_fold: int = 2, contexts: dict[i
     """
     spark = docs.sparkSession
     size = int(str(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    # A source that cannot tell its size reports more than any has; it gets as many buckets as a shuffle.
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size < 1 << 60:
+        buckets = max(buckets, min(MAX_BUCKETS, -(-size // BUCKET_BYTES)))
     texts = docs.select(F.col("doc_id").cast("string").alias("id"), whole_text().alias("text"))
     gathered = stored(texts.mapInPandas(_gathered(folds, held_fold, buckets), _GATHERED), "gathered")
 
