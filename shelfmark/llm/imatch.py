@@ -55,8 +55,8 @@ def _terms(text: str) -> str:
 
 
 def _chosen(terms: str) -> str:
-    lexicon = f"filter({terms}, t -> pmod(t, {LEXICON}) = 0)"
-    return f"CASE WHEN size({lexicon}) >= {LEAST} THEN {lexicon} ELSE {terms} END"
+    lexicon = f"filter(known, t -> pmod(t, {LEXICON}) = 0)"
+    return _bound(terms, "known", _bound(lexicon, "few", f"CASE WHEN size(few) >= {LEAST} THEN few ELSE known END"))
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
@@ -79,20 +79,22 @@ def _edited(text: str, following: str) -> str:
     return f"concat(left({text}, char_length({text}) - {half}), left({following}, {half}))"
 
 
-def _held(terms: str) -> list[str]:
-    """For each lexicon the sorted terms it holds, of ``struct<t, g, k>`` with ten bits of g or k for every field."""
-    found = []
-    for level in range(1, LEVELS + 1):
-        for field in range(FIELDS):
-            source = f"shiftrightunsigned(x.{'gk'[field % 2]}, {field // 2 * 10})"
-            held = f"filter({terms}, x -> ({source} & {(1 << level) - 1}) = 0)"
-            found.append(f"transform({held}, x -> x.t)")
-    return found
+def _bound(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
 def fingerprint_hashes(terms: str) -> str:
-    one = "CASE WHEN size({0}) = 0 THEN 0 ELSE cast(1 + pmod(xxhash64({0}), 65535) as int) END"
-    return f"transform(array({', '.join(_held(terms))}), h -> {one.format('h')})"
+    """A hash for each lexicon of the sorted terms ``struct<t, g, k>`` that it holds, 0 where it holds none.
+
+    A field has ten bits of g or k; the lexicon of its level l holds a term if the first l of
+    them are 0, so each level is cut from the one before.
+    """
+    bit = "shiftrightunsigned(CASE WHEN f % 2 = 0 THEN x.g ELSE x.k END, cast(f div 2 * 10 + l as int)) & 1"
+    one = "CASE WHEN size(held) = 0 THEN 0 ELSE cast(1 + pmod(xxhash64(transform(held, x -> x.t)), 65535) as int) END"
+    step = _bound(f"filter(s.held, x -> ({bit}) = 0)", "held", f"named_struct('held', held, 'out', concat(s.out, array({one})))")
+    start = f"named_struct('held', {terms}, 'out', cast(array() as array<int>))"
+    return f"flatten(transform(sequence(0, {FIELDS - 1}), f -> aggregate(sequence(0, {LEVELS - 1}), {start}, (s, l) -> {step}, s -> s.out)))"
 
 
 def likeness(left: str, right: str) -> str:
