@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import line_dedup, packing, quality_classifier, quality_rules, simhash
-from shelfmark.llm.common import fresh, stored, table
+from shelfmark.llm.common import fresh, narrow_batches, stored, table
 from shelfmark.llm.encoding import path
 
 
@@ -25,23 +25,27 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie within the cutoff of their language and source."""
+    narrow_batches(spark)
     judged, _, _, kept = quality_rules.judged(docs)
     return judged.where(F.col(kept)).select(*docs.columns)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, of every group of like lines one line; ``n_chars`` counts what is left."""
+    narrow_batches(spark)
     rewritten = line_dedup.deduplicated(docs)
     return rewritten.select(*(F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of near copies."""
+    narrow_batches(spark)
     return simhash.keep_first(docs, stored(simhash.simhash_groups(docs), "near"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document, with its place in a sequence."""
+    narrow_batches(spark)
     return packing.packed(docs, path("byte_bpe_50k.json"))
 
 
