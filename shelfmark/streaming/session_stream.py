@@ -79,10 +79,14 @@ class SessionMarker(StatefulProcessor):
 def attributed_stream(events: DataFrame, lateness: str = "1 hour") -> DataFrame:
     """Attributed order lines of a stream of session events (see ``session_events``).
 
-    Needs the RocksDB state store provider, which this kind of state is kept in.
+    Needs the RocksDB state store provider, which this kind of state is kept in. A mark has
+    no order, item or value; it gets zeros, because a column of longs with nulls would reach
+    Python as doubles and round ids and amounts.
     """
+    whole = {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in ("order_id", "item_id", "value_cents")}
     return (
-        events.withWatermark("ts", lateness)
+        events.withColumns(whole)
+        .withWatermark("ts", lateness)
         .groupBy("session_id")
         .transformWithStateInPandas(
             statefulProcessor=SessionMarker(), outputStructType=ATTRIBUTED_LINE, outputMode="append", timeMode="eventTime"

@@ -122,8 +122,11 @@ def test_slices_with_no_order_in_them(spark):
 
 def test_stream_equals_batch(spark, folder):
     marks, lines = random_events(3, sessions=5, n=300)
-    events = frames(spark, marks, lines)
+    # Amounts that a double cannot hold, beside marks that have none.
+    events = frames(spark, marks, lines).withColumn("value_cents", F.col("value_cents") + F.lit(2**53 + 1))
     expected = rows_of(A.attributed_lines(events))
+    values = [r.value_cents for r in A.attributed_lines(events).orderBy("order_id", "item_id", "value_cents").collect()]
+    assert any(v % 2 for v in values) and min(values) > 2**53
     cut = [at(0), at(15), at(30), at(400)]
     for part, (low, high) in enumerate(zip(cut, cut[1:])):
         chosen = events.where((F.col("ts") >= F.lit(low)) & (F.col("ts") < F.lit(high)))
@@ -139,7 +142,9 @@ def test_stream_equals_batch(spark, folder):
         .start()
     )
     query.awaitTermination()
-    assert rows_of(spark.read.parquet(f"{folder}/lines")) == expected
+    found = spark.read.parquet(f"{folder}/lines")
+    assert rows_of(found) == expected
+    assert [r.value_cents for r in found.orderBy("order_id", "item_id", "value_cents").collect()] == values
 
 
 def test_order_value_and_reports(spark):

@@ -165,3 +165,13 @@ def test_reports_expire_after_seven_days(spark):
     )
     now = F.timestamp_seconds(F.lit(7 * 86400 + 1))
     assert delivery.expiry_counts(rows, now).collect()[0].asDict() == {"kept": 1, "abandoned": 1}
+
+
+def test_positions_of_sparse_ids_of_64_bits(spark):
+    """Ids over the whole range of a long, with buckets far smaller than the range."""
+    rng = random.Random(8)
+    ids = sorted({rng.getrandbits(64) - (1 << 63) for _ in range(300)} | set(range(-5, 40)))
+    rows = spark.createDataFrame([(i,) for i in ids], "object_id bigint")
+    for bits in (13, 18):
+        found = {r.object_id: r.position for r in with_position(rows, "object_id", bits=bits).collect()}
+        assert found == {i: n for n, i in enumerate(ids)}

@@ -1,10 +1,13 @@
 """The change stream and the report stream, from files, against their batch forms."""
 
 import datetime as dt
+import json
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from shelfmark.operators.changes import merge_queue
+from shelfmark.operators.indexing import indexable
 from shelfmark.plans.queries import STORE, catalogue_of
 from shelfmark.plans.search_items import search_items, with_json
 from shelfmark.schemas import ATTRIBUTED_LINE, HELD, QUEUE
@@ -53,6 +56,29 @@ def test_change_stream_equals_batch(spark, shop, folder):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_every_batch_reads_the_catalogue_anew(spark, shop, folder):
+    """The tables change between two micro-batches, and the second one's documents show it."""
+    before, calls = catalogue_of(shop), []
+    after = replace(before, entity=before.entity.withColumn("sku", F.concat(F.lit("NEW-"), "sku")))
+
+    def reader():
+        calls.append(1)
+        return before if len(calls) == 1 else after
+
+    ids = [r.entity_id for r in indexable(before, STORE).orderBy("entity_id").limit(2).collect()]
+    for number, changed in enumerate(ids):
+        row = [(changed, dt.datetime(2026, 1, 20 + number))]
+        path = f"{folder}/in/{TABLES[0]}"
+        spark.createDataFrame(row, f"{WATCHED[TABLES[0]]} bigint, ts timestamp").coalesce(1).write.parquet(path, mode="append")
+    change_stream.start_refresh(
+        stream_changes(spark, f"{folder}/in", TABLES[:1], files_per_batch=1), reader, STORE,
+        f"{folder}/queue", f"{folder}/documents", f"{folder}/checkpoint", availableNow=True,
+    ).awaitTermination()
+    assert len(calls) == 2
+    skus = {r.id: json.loads(r.json)["data"]["sku"] for r in change_stream.read_documents(spark, f"{folder}/documents").collect()}
+    assert sorted(sku.startswith("NEW-") for sku in skus.values()) == [False, True]
+
+
 def test_replayed_batch_changes_nothing(spark, folder):
     rows = spark.createDataFrame([("product", 1, 0, "upsert", 5, "pending", 0, 1)], QUEUE)
     for _ in range(2):
