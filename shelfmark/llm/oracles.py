@@ -4,7 +4,7 @@ OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS d FROM pages),
 f AS (SELECT d, min(page_id) AS first_id FROM p GROUP BY d)
 SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     ((('0x' || substr(p.d, ((i // 4) * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '') AS payload_digest,
   CASE WHEN first_id IS NULL OR page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
