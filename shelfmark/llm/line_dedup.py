@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import fresh, stored
 from shelfmark.llm.components import UNITED_AT_ONCE, Forest, components
 
 SHINGLE_CHARS = 7
@@ -340,9 +340,10 @@ def deduplicated(docs: DataFrame, **settings) -> DataFrame:
     """
     known = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
     numbered = known.withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    gone = repeated_lines(numbered, **settings).select(F.col("doc_id").alias("_gone_id"), "line_hashes")
-    joined = known.join(gone, F.coalesce(known["doc_id"], F.lit((1 << 63) - 1)) == F.col("_gone_id"), "left")
+    gone_id, gone_lines, result = (fresh(docs, name) for name in ("gone_id", "gone_lines", "rewritten"))
+    gone = repeated_lines(numbered, **settings).select(F.col("doc_id").alias(gone_id), F.col("line_hashes").alias(gone_lines))
+    joined = known.join(gone, F.coalesce(known["doc_id"], F.lit((1 << 63) - 1)) == F.col(gone_id), "left")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
     rewritten = F.pandas_udf(_rewritten, "struct<text:string,n_lines:long,n_kept:long>")
-    done = joined.withColumn("_done", rewritten(F.col("text").cast("string"), F.col("line_hashes")))
-    return done.select(*(F.col("_done.text").alias(c) if c == "text" else F.col(c) for c in kept), "_done.n_lines", "_done.n_kept")
+    done = joined.withColumn(result, rewritten(F.col("text").cast("string"), F.col(gone_lines)))
+    return done.select(*(F.col(f"{result}.text").alias(c) if c == "text" else F.col(c) for c in kept), f"{result}.n_lines", f"{result}.n_kept")
