@@ -86,6 +86,17 @@ def test_scores_without_training_rows(spark):
     assert ppm.scored(frame(spark, [])).count() == 0
 
 
+def test_scores_use_every_context(spark):
+    """More contexts of orders 3 and 4 than a table of 32,768 holds."""
+    rng = random.Random(5)
+    rows = [(i, "".join(rng.choices("".join(map(chr, range(33, 97))), k=20_000))) for i in range(8)]
+    rows += [(20 + i, rows[i % 8][1][500 * i : 500 * i + 3000]) for i in range(20)]
+    model = PlainPPM([t.encode() for i, t in rows if trained(i)])
+    assert sum(len(context) == 3 for context in model.counts) > 60_000
+    found = {r.doc_id: r.score for r in ppm.scored(frame(spark, rows)).collect()}
+    assert found == {i: pytest.approx(model.score(t.encode()), rel=1e-9) for i, t in rows}
+
+
 def test_a_bounded_trie_stays_a_distribution(spark):
     grams = Counter()
     for _, t in texts():
