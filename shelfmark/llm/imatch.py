@@ -6,9 +6,8 @@ hashed. A lexicon of level l holds one term in 2**l, so for a document of any le
 of its terms: there two documents share a hash about as often as they share terms, while
 equal texts share all.
 
-Document frequencies are counted over all documents, for the terms that some lexicon can hold
-(one in ``LEXICON``). A document with fewer than ``LEAST`` of these is fingerprinted by all its terms; one with
-fewer than ``LEAST`` in the band also by its rarer terms, and one without those by the common ones too. Everything is DataFrame and SQL functions.
+Document frequencies are counted over all documents and for all terms. A document with fewer than ``LEAST`` terms in
+the band is fingerprinted also by its rarer terms, and one without those by the common ones too. Everything is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, whole_text
 
-LEXICON = 8
 LEAST = 8
 FIELDS = 12
 LEVELS = 10
@@ -49,29 +47,46 @@ def next_lower(ids: DataFrame) -> DataFrame:
 
 
 def _terms(text: str) -> str:
-    """Distinct hashes of the words of a text, A to Z lower-cased; only lexicon terms if there are enough."""
+    """Distinct hashes of the words of a text, A to Z lower-cased."""
     spaced = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' || '\\t\\n' || char(11) || '\\f\\r', 'abcdefghijklmnopqrstuvwxyz     ')"
     return f"array_distinct(transform(array_remove(split({spaced}, ' '), ''), w -> xxhash64(w)))"
 
 
-def _chosen(terms: str) -> str:
-    lexicon = f"filter(known, t -> pmod(t, {LEXICON}) = 0)"
-    return _bound(terms, "known", _bound(lexicon, "few", f"CASE WHEN size(few) >= {LEAST} THEN few ELSE known END"))
+def document_counts(docs: DataFrame) -> DataFrame:
+    """``term, df``: in how many documents each term is, of those in ``MIN_DOCS`` or more."""
+    terms = docs.select(F.explode(F.expr(_terms("text"))).alias("term"))
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= MIN_DOCS)
 
 
-def document_counts(docs: DataFrame) -> DataFrame:
-    """``term, df``: in how many documents each term of a lexicon is."""
-    terms = docs.select(F.explode(F.expr(f"filter({_terms('text')}, t -> pmod(t, {LEXICON}) = 0)")).alias("term"))
-    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
+    return keyed.withColumns({"bucket": F.expr(f"shiftright(key, {BUCKET_BITS})"), "ghost": F.lit(False)})
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    """Rows in descending order of doc_id, cut into buckets: ``bucket, at``; ``following`` text, null for a bucket's last row."""
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63)))).withColumn(
-        "bucket", F.expr(f"shiftright(key, {BUCKET_BITS})")
+    """Rows in descending order of doc_id, cut into buckets: ``bucket, at``, the ``following`` text, and where that is: ``next_bucket, next_at``.
+
+    Behind a bucket's last row its window holds a copy of the first text of the next bucket.
+    """
+    keyed = _keyed(docs)
+    tops = stored(keyed.groupBy("bucket").agg(F.max("key").alias("top")), "tops")
+    buckets = next_lower(tops.select(F.col("bucket").alias("id")))
+    highest = tops.agg(F.max("bucket")).first()[0]
+    steps = stored(buckets.select(F.col("id").alias("bucket"), F.coalesce("lower", F.lit(highest).cast("long")).alias("next_bucket")), "steps")
+    firsts = keyed.join(tops, "bucket").where("key = top").groupBy("bucket").agg(F.min("text").alias("text"))
+    ghosts = steps.join(firsts.withColumnRenamed("bucket", "next_bucket"), "next_bucket").selectExpr(
+        "cast(null as bigint) doc_id", "text", "cast(null as bigint) key", "bucket", "true ghost", "next_bucket"
+    )
+    order = Window.partitionBy("bucket").orderBy("ghost", F.col("key").desc(), "text")
+    ahead = {name: F.lead(name).over(order) for name in ("text", "ghost", "next_bucket")}
+    return (
+        keyed.withColumn("next_bucket", F.col("bucket"))
+        .select(*ghosts.columns)
+        .union(stored(ghosts, "ghosts"))
+        .withColumns({"at": F.row_number().over(order), "following": ahead["text"], "last": ahead["ghost"], "ahead": ahead["next_bucket"]})
+        .where("NOT ghost")
+        .selectExpr("doc_id", "text", "bucket", "at", "following", "ahead next_bucket", "CASE WHEN last THEN 1 ELSE at + 1 END next_at")
     )
-    order = Window.partitionBy("bucket").orderBy(F.col("key").desc(), "text")
-    return keyed.withColumns({"at": F.row_number().over(order), "following": F.lead("text").over(order)})
 
 
 def _edited(text: str, following: str) -> str:
@@ -118,62 +133,36 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     total = docs.count()
     counts = stored(document_counts(docs), "counts")
     own, edited = _terms("text"), _terms("edited")
+    place, facts = ["bucket", "at"], ["doc_id", "n_chars", "edited_sha256", "next_bucket", "next_at"]
     rows = (
         _placed(docs)
         .withColumn("edited", F.expr(_edited("text", "following")))
-        .selectExpr(
-            "doc_id",
-            "bucket",
-            "at",
-            "cast(char_length(text) as bigint) n_chars",
-            f"{_chosen(own)} terms",
-            f"{_chosen(edited)} edited_terms",
-            "sha2(edited, 256) edited_sha256",
-            # Only a bucket's first and last row keep their text, for the step to the next bucket.
-            "CASE WHEN at = 1 OR following IS NULL THEN text END edge",
-            "following IS NULL is_last",
-        )
+        .withColumns({"n_chars": F.expr("cast(char_length(text) as bigint)"), "edited_sha256": F.sha2("edited", 256)})
+        .selectExpr(*place, *facts, f"{own} terms", f"{edited} edited_terms")
     )
-    rows = stored(rows, "rows")
-    buckets = next_lower(rows.where("at = 1").select(F.col("bucket").alias("id")))
-    highest = rows.agg(F.max("bucket")).first()[0]
-    steps = buckets.select(F.col("id").alias("bucket"), F.coalesce("lower", F.lit(highest).cast("long")).alias("next_bucket"))
-    firsts = rows.where("at = 1").select(F.col("bucket").alias("next_bucket"), F.col("edge").alias("following"))
-    ends = (
-        rows.where("is_last")
-        .join(steps, "bucket")
-        .join(firsts, "next_bucket")
-        .withColumn("edited", F.expr(_edited("edge", "following")))
-        .selectExpr("doc_id", "bucket", "at", "n_chars", "terms", f"{_chosen(edited)} edited_terms", "sha2(edited, 256) edited_sha256", "next_bucket", "1 next_at")
-    )
-    inner = rows.where("NOT is_last").selectExpr(
-        "doc_id", "bucket", "at", "n_chars", "terms", "edited_terms", "edited_sha256", "bucket next_bucket", "at + 1 next_at"
-    )
-    rows = stored(inner.union(ends), "linked")
-
-    versions = "array(named_struct('v', 0, 'terms', terms), named_struct('v', 1, 'terms', edited_terms))"
-    pairs = rows.selectExpr("bucket", "at", f"inline({versions})").selectExpr("bucket", "at", "v", "explode(terms) term")
-    # 0: in the band, 1: in too few documents (or not counted, for short texts), 2: in too many.
-    band = (
-        f"CASE WHEN df > greatest({MIN_DOCS}, {MAX_SHARE} * {total}) THEN 2 WHEN df >= {MIN_DOCS} THEN 0 ELSE 1 END"
-    )
-    kept = (
-        pairs.join(counts, "term", "left")
-        .selectExpr("bucket", "at", "v", "term", f"{band} band")
-        .groupBy("bucket", "at", "v")
-        .agg(F.array_sort(F.collect_list(F.expr("named_struct('t', term, 'g', xxhash64(term), 'k', xxhash64(term, 1), 'band', band)"))).alias("all"))
-        .selectExpr("bucket", "at", "v", "filter(all, x -> x.band = 0) inside", "filter(all, x -> x.band < 2) rare", "all")
-        .selectExpr("bucket", "at", "v", f"CASE WHEN size(inside) >= {LEAST} THEN inside WHEN size(rare) > 0 THEN rare ELSE all END terms")
-        .selectExpr("bucket", "at", "v", f"{fingerprint_hashes('terms')} hashes")
-    )
-    kept = stored(kept, "hashes")
+    # Who has a term: 1 the text, 2 the edited text, 3 both.
+    shares = [("array_except(terms, edited_terms)", 1), ("array_except(edited_terms, terms)", 2), ("array_intersect(terms, edited_terms)", 3)]
+    held = ", ".join(f"transform({terms}, t -> named_struct('term', t, 'who', {who}))" for terms, who in shares)
+    pairs = rows.selectExpr(*place, *facts, f"inline_outer(concat({held}))")
+    # 0: in the band, 1: in too few documents, 2: in too many.
+    band = f"CASE WHEN df > greatest({MIN_DOCS}, {MAX_SHARE} * {total}) THEN 2 WHEN df >= {MIN_DOCS} THEN 0 ELSE 1 END"
+    listed = [
+        F.expr(f"collect_list(term) FILTER (WHERE who = {who} AND band = {b})").alias(f"t{who}{b}") for who in (1, 2, 3) for b in (0, 1, 2)
+    ]
+    kept = pairs.join(counts, "term", "left").selectExpr(*place, *facts, "term", "who", f"{band} band").groupBy(*place, *facts).agg(*listed)
+    for who in (1, 2):
+        inside, rare, common = (f"concat(t{who}{b}, t3{b})" for b in (0, 1, 2))
+        chosen = (
+            f"CASE WHEN size({inside}) >= {LEAST} THEN {inside} WHEN size({inside}) + size({rare}) > 0 THEN concat({inside}, {rare}) "
+            f"ELSE {common} END"
+        )
+        terms = f"transform(sort_array({chosen}), t -> named_struct('t', t, 'g', xxhash64(t), 'k', xxhash64(t, 1)))"
+        kept = kept.withColumn(f"h{who}", F.expr(_bound(terms, "terms", fingerprint_hashes("terms"))))
+    kept = stored(kept.selectExpr(*place, *facts, "h1 own", "h2 changed"), "hashes")
     none = f"array_repeat(0, {FIELDS * LEVELS})"
-    place = ["bucket", "at"]
-    of = lambda v, name: kept.where(F.col("v") == v).select(*place, F.col("hashes").alias(name))
-    known = rows.drop("terms", "edited_terms").join(of(0, "own"), place, "left").join(of(1, "changed"), place, "left")
-    following = of(0, "ahead").withColumnsRenamed({"bucket": "next_bucket", "at": "next_at"})
+    following = kept.selectExpr("bucket next_bucket", "at next_at", "own ahead")
     text = lambda c: f"concat_ws('', transform(coalesce({c}, {none}), h -> lower(lpad(hex(h), 4, '0'))))"
-    return known.join(following, ["next_bucket", "next_at"], "left").selectExpr(
+    return kept.join(following, ["next_bucket", "next_at"], "left").selectExpr(
         "doc_id",
         "n_chars",
         "edited_sha256",
