@@ -6,8 +6,8 @@ hashed. A lexicon of level l holds one term in 2**l, so for a document of any le
 of its terms: there two documents share a hash about as often as they share terms, while
 equal texts share all.
 
-Document frequencies are counted over all documents and for all terms. A document with fewer than ``LEAST`` terms in
-the band is fingerprinted also by its rarer terms, and one without those by the common ones too. Everything is DataFrame and SQL functions.
+Document frequencies are counted over all documents and for all terms. A document is
+fingerprinted by all its terms in the band; one without any by its rarer terms, and one without those by its common ones. Everything is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, whole_text
 
-LEAST = 8
 FIELDS = 12
 LEVELS = 10
 #: The band: in at least so many documents, and in at most this share of all.
@@ -152,10 +151,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     kept = pairs.join(counts, "term", "left").selectExpr(*place, *facts, "term", "who", f"{band} band").groupBy(*place, *facts).agg(*listed)
     for who in (1, 2):
         inside, rare, common = (f"concat(t{who}{b}, t3{b})" for b in (0, 1, 2))
-        chosen = (
-            f"CASE WHEN size({inside}) >= {LEAST} THEN {inside} WHEN size({inside}) + size({rare}) > 0 THEN concat({inside}, {rare}) "
-            f"ELSE {common} END"
-        )
+        chosen = f"CASE WHEN size({inside}) > 0 THEN {inside} WHEN size({rare}) > 0 THEN {rare} ELSE {common} END"
         terms = f"transform(sort_array({chosen}), t -> named_struct('t', t, 'g', xxhash64(t), 'k', xxhash64(t, 1)))"
         kept = kept.withColumn(f"h{who}", F.expr(_bound(terms, "terms", fingerprint_hashes("terms"))))
     kept = stored(kept.selectExpr(*place, *facts, "h1 own", "h2 changed"), "hashes")

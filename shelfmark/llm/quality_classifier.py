@@ -1,7 +1,8 @@
 """Compression classifier: a text is like the labelled texts whose dictionary shrinks it more.
 
 Two zstandard dictionaries are built, from good and from bad labelled texts. A text's score
-starts from (size with the bad dictionary - size with the good one) / size of the text, and a logistic
+starts from (size with the bad dictionary - size with the good one) / size of the text, summed over blocks of
+``BLOCK`` bytes that are each compressed afresh, so that a long text's history does not stand in for the dictionaries; a logistic
 curve, fitted to labelled texts that neither dictionary has seen, makes that a probability.
 
 The fit reads a bounded sample: of each label at most ``SAMPLE`` texts for the dictionary and as
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 SAMPLE = 1000
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 112_640
+BLOCK = 4096
 LEVEL = 3
 THRESHOLD = 0.3
 
@@ -50,7 +52,8 @@ class CompressionModel:
         ]
 
         def difference(text: bytes) -> float:
-            good, bad = (len(compressor.compress(text)) for compressor in pair)
+            blocks = [text[i : i + BLOCK] for i in range(0, len(text), BLOCK)] or [text]
+            good, bad = (sum(len(compressor.compress(block)) for block in blocks) for compressor in pair)
             return (bad - good) / max(1, len(text))
 
         return difference
