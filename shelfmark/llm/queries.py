@@ -5,8 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chunk_reuse, imatch, line_dedup, packing, ppm, quality_classifier, quality_rules, simhash, url_filters, warc
-from shelfmark.llm.common import scratch, table
+from shelfmark.llm import (
+    chunk_reuse,
+    exact_dedup,
+    imatch,
+    line_dedup,
+    merkle,
+    packing,
+    ppm,
+    quality_classifier,
+    quality_rules,
+    ranked_search,
+    simhash,
+    url_filters,
+    warc,
+)
+from shelfmark.llm.common import scratch, table, whole_text
 from shelfmark.llm.encoding import path
 from shelfmark.llm.oracles import ORACLES  # noqa: F401
 
@@ -68,6 +82,21 @@ def op10_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_groups(table(spark, folder, "documents"))
 
 
+def op11_bitmap_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.proven(table(spark, folder, "documents"), tampered)
+
+
+def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    digest = {"text_sha256": F.sha2(whole_text(), 256)}
+    groups = exact_dedup.exact_groups(table(spark, folder, "documents"), digest)
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 OPERATORS = (
     op1_robust_outliers,
     op2_best_fit_packing,
@@ -79,5 +108,8 @@ OPERATORS = (
     op8_chunk_reuse,
     op9_imatch,
     op10_simhash_bktree,
+    op11_bitmap_merkle,
+    op12_exact_dedup,
+    op13_ranked_search,
 )
 REGISTRY = {operator.__name__: operator for operator in OPERATORS}
