@@ -1,13 +1,16 @@
 """I-Match fingerprints: hashes of the sorted mid-frequency terms in randomised lexicons.
 
-The terms of a document that lie in a band of inverse document frequency are kept; for each of
-``FIELDS * LEVELS`` randomised lexicons those of them that the lexicon holds are sorted and
-hashed. A lexicon of level l holds one term in 2**l, so for a document of any length some levels hold about one
-of its terms: there two documents share a hash about as often as they share terms, while
-equal texts share all.
-
-Document frequencies are counted over all documents and for all terms. A document is
-fingerprinted by all its terms in the band; one without any by its rarer terms, and one without those by its common ones. Everything is DataFrame and SQL functions.
+The lexicon holds the terms within a band of inverse document frequency, counted over all documents. A
+document's terms of it are sorted and hashed, once all of them and once those of a subset from each of the
+``FIELDS`` parts into which the terms' own hashes split the lexicon. A part has subsets at random, each half of the one
+before; a document shows the smallest that still holds one of its terms. Two documents agree in a part about as often
+as they share terms, whatever their length; equal texts agree in all.
+
+The band is a share of the documents, so the lexicon has at most 1 / ``MIN_SHARE`` times as many terms as a
+document has on average, at any size of the corpus. It goes to the tasks as a bit set of ``BITS`` bits,
+and a text is fingerprinted where it is read: no term is shuffled but for the counts. A rarer term that
+falls on a set bit is taken for one of the lexicon, in all documents alike; that is one term in
+hundreds. Everything is DataFrame and SQL functions.
 """
 
 from __future__ import annotations
@@ -17,11 +20,13 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, whole_text
 
-FIELDS = 12
-LEVELS = 10
-#: The band: in at least so many documents, and in at most this share of all.
+FIELDS = 32
+#: The band: in at least so many documents and this share of all, and in at most that share.
 MIN_DOCS = 2
+MIN_SHARE = 0.0005
 MAX_SHARE = 0.125
+#: Bits of a set of terms: 2 MB.
+BITS = 1 << 24
 #: Bits of an id within a bucket, and groups of buckets; rows that one window orders at a time.
 BUCKET_BITS = 10
 ORDERED = 4096
@@ -57,35 +62,37 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= MIN_DOCS)
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    keyed = docs.withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
-    return keyed.withColumns({"bucket": F.expr(f"shiftright(key, {BUCKET_BITS})"), "ghost": F.lit(False)})
+def bit_set(terms: DataFrame) -> DataFrame:
+    """One row with an array of ``BITS / 64`` longs: the bits of the longs ``term``."""
+    at = f"pmod(term, {BITS})"
+    words = terms.selectExpr(f"{at} div 64 word", f"cast({at} % 64 as int) bit").groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
+    every = terms.sparkSession.range(BITS // 64).withColumnRenamed("id", "word").join(words, "word", "left").selectExpr("word", "coalesce(mask, 0L) mask")
+    return every.agg(F.expr("transform(sort_array(collect_list(struct(word, mask))), x -> x.mask)").alias("bits"))
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """Rows in descending order of doc_id, cut into buckets: ``bucket, at``, the ``following`` text, and where that is: ``next_bucket, next_at``.
+def _is_set(term: str, bits: str) -> str:
+    return f"getbit(element_at({bits}, cast(pmod({term}, {BITS}) div 64 as int) + 1), cast(pmod({term}, 64) as int)) = 1"
 
-    Behind a bucket's last row its window holds a copy of the first text of the next bucket.
-    """
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows with ``bucket, key``: descending, they give the order of documents. Null ids are spread by text below all others."""
+    spread = F.expr(f"xxhash64(text) & {(1 << 52) - 1}")
+    bucket = f"CASE WHEN doc_id IS NULL THEN {-(1 << 62)} + shiftright(key, {BUCKET_BITS}) ELSE shiftright(key, {BUCKET_BITS}) END"
+    return docs.withColumn("key", F.coalesce("doc_id", spread)).withColumns({"bucket": F.expr(bucket), "ghost": F.lit(False)})
+
+
+def _placed(docs: DataFrame) -> tuple[DataFrame, Window]:
+    """Rows by bucket and the window that orders those of one; where that window ends a ``ghost`` row repeats the first of the next bucket."""
     keyed = _keyed(docs)
     tops = stored(keyed.groupBy("bucket").agg(F.max("key").alias("top")), "tops")
     buckets = next_lower(tops.select(F.col("bucket").alias("id")))
     highest = tops.agg(F.max("bucket")).first()[0]
     steps = stored(buckets.select(F.col("id").alias("bucket"), F.coalesce("lower", F.lit(highest).cast("long")).alias("next_bucket")), "steps")
     firsts = keyed.join(tops, "bucket").where("key = top").groupBy("bucket").agg(F.min("text").alias("text"))
-    ghosts = steps.join(firsts.withColumnRenamed("bucket", "next_bucket"), "next_bucket").selectExpr(
-        "cast(null as bigint) doc_id", "text", "cast(null as bigint) key", "bucket", "true ghost", "next_bucket"
-    )
+    ghosts = steps.join(firsts.withColumnRenamed("bucket", "next_bucket"), "next_bucket")
+    ghosts = stored(ghosts.selectExpr("cast(null as bigint) doc_id", "text", "cast(null as bigint) key", "bucket", "true ghost"), "ghosts")
     order = Window.partitionBy("bucket").orderBy("ghost", F.col("key").desc(), "text")
-    ahead = {name: F.lead(name).over(order) for name in ("text", "ghost", "next_bucket")}
-    return (
-        keyed.withColumn("next_bucket", F.col("bucket"))
-        .select(*ghosts.columns)
-        .union(stored(ghosts, "ghosts"))
-        .withColumns({"at": F.row_number().over(order), "following": ahead["text"], "last": ahead["ghost"], "ahead": ahead["next_bucket"]})
-        .where("NOT ghost")
-        .selectExpr("doc_id", "text", "bucket", "at", "following", "ahead next_bucket", "CASE WHEN last THEN 1 ELSE at + 1 END next_at")
-    )
+    return keyed.select(*ghosts.columns).union(ghosts), order
 
 
 def _edited(text: str, following: str) -> str:
@@ -98,25 +105,42 @@ def _bound(value: str, name: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def chosen_terms(text: str, lexicon: str, common: str) -> str:
+    """Sorted terms of a text: those of the lexicon; where there is none its rarer terms, and else its common ones."""
+    inside, rare = f"filter(terms, t -> {_is_set('t', 'lexicon_set')})", f"filter(terms, t -> NOT {_is_set('t', 'common_set')})"
+    rest = _bound(rare, "rare", "CASE WHEN size(rare) > 0 THEN rare ELSE terms END")
+    chosen = _bound(inside, "inside", f"CASE WHEN size(inside) > 0 THEN inside ELSE {rest} END")
+    chosen = _bound(lexicon, "lexicon_set", _bound(common, "common_set", chosen))
+    return f"sort_array({_bound(_terms(text), 'terms', chosen)})"
+
+
 def fingerprint_hashes(terms: str) -> str:
-    """A hash for each lexicon of the sorted terms ``struct<t, g, k>`` that it holds, 0 where it holds none.
+    """The hash of all ``terms`` (sorted hashes), then that of those in the smallest subset of each part that holds one.
 
-    A field has ten bits of g or k; the lexicon of its level l holds a term if the first l of
-    them are 0, so each level is cut from the one before.
+    A part is a range of hashes, and its subset of level l the first 1 / 2**l of that range: both are
+    runs of the sorted terms, found between marks that are sorted among them. A value is 0 where there is no term, else the level in
+    the upper byte and 24 bits of hash.
     """
-    bit = "shiftrightunsigned(CASE WHEN f % 2 = 0 THEN x.g ELSE x.k END, cast(f div 2 * 10 + l as int)) & 1"
-    one = "CASE WHEN size(held) = 0 THEN 0 ELSE cast(1 + pmod(xxhash64(transform(held, x -> x.t)), 65535) as int) END"
-    step = _bound(f"filter(s.held, x -> ({bit}) = 0)", "held", f"named_struct('held', held, 'out', concat(s.out, array({one})))")
-    start = f"named_struct('held', {terms}, 'out', cast(array() as array<int>))"
-    return f"flatten(transform(sequence(0, {FIELDS - 1}), f -> aggregate(sequence(0, {LEVELS - 1}), {start}, (s, l) -> {step}, s -> s.out)))"
+    left = 64 - (FIELDS - 1).bit_length()
+    marks = ", ".join(f"shiftleft({f - FIELDS // 2}L, {left})" for f in range(FIELDS))
+    value = "cast(1 + pmod(xxhash64({0}), 16777215) as int)"
+    mark = f"shiftleft(cast(f - {FIELDS // 2} as bigint), {left})"
+    end = f"CASE WHEN f = {FIELDS - 1} THEN size(marked) + 1L ELSE array_position(marked, shiftleft(cast(f + 1 - {FIELDS // 2} as bigint), {left})) END"
+    first = _bound(f"array_position(marked, {mark})", "at", f"slice(marked, cast(at + 1 as int), cast(({end}) - at - 1 as int))")
+    width = f"CASE WHEN part[0] = {mark} THEN 0 ELSE length(bin(part[0] - {mark})) END"
+    held = f"filter(part, x -> x - {mark} < shiftleft(1L, width))"
+    level = _bound(width, "width", f"shiftleft({left} - width, 24) + {value.format(held)}")
+    part = _bound(first, "part", f"CASE WHEN size(part) = 0 THEN 0 ELSE {level} END")
+    parts = _bound(f"sort_array(concat(terms, array({marks})))", "marked", f"transform(sequence(0, {FIELDS - 1}), f -> {part})")
+    none = f"array_repeat(0, {FIELDS + 1})"
+    return _bound(terms, "terms", f"CASE WHEN size(terms) = 0 THEN {none} ELSE concat(array({value.format('terms')}), {parts}) END")
 
 
 def likeness(left: str, right: str) -> str:
-    """Share of lexicons with equal hashes, of those that hold a term of either; 1 where none holds any."""
-    pairs = f"zip_with({left}, {right}, (a, b) -> named_struct('a', a, 'b', b))"
-    held = f"filter({pairs}, x -> x.a <> 0 OR x.b <> 0)"
-    same = f"filter({pairs}, x -> x.a <> 0 AND x.a = x.b)"
-    return f"CASE WHEN size({held}) = 0 THEN 1D ELSE size({same}) / size({held}) END"
+    """Share of parts with equal hashes, of those that hold a term of either; 1 only if all terms are the same."""
+    pairs = f"slice(zip_with({left}, {right}, (a, b) -> named_struct('a', a, 'b', b)), 2, {FIELDS})"
+    share = _bound(f"filter({pairs}, x -> x.a <> 0 OR x.b <> 0)", "held", "least(size(filter(held, x -> x.a = x.b)) / size(held), size(held) / (size(held) + 1D))")
+    return f"CASE WHEN {left}[0] = {right}[0] THEN 1D ELSE {share} END"
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
@@ -124,46 +148,37 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 
     ``docs`` has ``doc_id, text``; a null text counts as empty. The next document is that of the next
     lower doc_id, after the lowest the highest; rows that repeat an id follow each other by text, and
-    null ids come last. An empty text, or one without words, has the fingerprint of no terms, that of
-    zeros; two of those are alike by 1. Other columns are not read, and an empty table gives
+    null ids come last, in the order of a hash of their text. An empty text, or one without words, has the fingerprint of no
+    terms, that of zeros; two of those are alike by 1. Other columns are not read, and an empty table gives
     an empty result.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     total = docs.count()
     counts = stored(document_counts(docs), "counts")
-    own, edited = _terms("text"), _terms("edited")
-    place, facts = ["bucket", "at"], ["doc_id", "n_chars", "edited_sha256", "next_bucket", "next_at"]
-    rows = (
-        _placed(docs)
-        .withColumn("edited", F.expr(_edited("text", "following")))
-        .withColumns({"n_chars": F.expr("cast(char_length(text) as bigint)"), "edited_sha256": F.sha2("edited", 256)})
-        .selectExpr(*place, *facts, f"{own} terms", f"{edited} edited_terms")
+    most = max(MIN_DOCS, MAX_SHARE * total)
+    lexicon = stored(bit_set(counts.where(F.col("df").between(MIN_SHARE * total, most))), "lexicon")
+    common = stored(bit_set(counts.where(F.col("df") > most)), "common")
+    sets = {"lexicon": lexicon.scalar(), "common": common.scalar()}
+
+    def hashed(rows: DataFrame, text: str, name: str) -> DataFrame:
+        """``rows`` and the hashes of a text. A set is named once in them, so that it becomes part of the expression and not of rows."""
+        return rows.withColumns(sets).withColumn(name, F.expr(fingerprint_hashes(chosen_terms(text, "lexicon", "common")))).drop(*sets)
+
+    rows, order = _placed(docs)
+    rows = hashed(rows.withColumn("following", F.lead("text").over(order)), "text", "own")
+    rows = rows.withColumn("ahead", F.lead("own").over(order)).where("NOT ghost").withColumn("edited", F.expr(_edited("text", "following")))
+    done = hashed(rows, "edited", "changed").selectExpr(
+        "doc_id", "cast(char_length(text) as bigint) n_chars", "sha2(edited, 256) edited_sha256", "own", "ahead", "changed"
     )
-    # Who has a term: 1 the text, 2 the edited text, 3 both.
-    shares = [("array_except(terms, edited_terms)", 1), ("array_except(edited_terms, terms)", 2), ("array_intersect(terms, edited_terms)", 3)]
-    held = ", ".join(f"transform({terms}, t -> named_struct('term', t, 'who', {who}))" for terms, who in shares)
-    pairs = rows.selectExpr(*place, *facts, f"inline_outer(concat({held}))")
-    # 0: in the band, 1: in too few documents, 2: in too many.
-    band = f"CASE WHEN df > greatest({MIN_DOCS}, {MAX_SHARE} * {total}) THEN 2 WHEN df >= {MIN_DOCS} THEN 0 ELSE 1 END"
-    listed = [
-        F.expr(f"collect_list(term) FILTER (WHERE who = {who} AND band = {b})").alias(f"t{who}{b}") for who in (1, 2, 3) for b in (0, 1, 2)
-    ]
-    kept = pairs.join(counts, "term", "left").selectExpr(*place, *facts, "term", "who", f"{band} band").groupBy(*place, *facts).agg(*listed)
-    for who in (1, 2):
-        inside, rare, common = (f"concat(t{who}{b}, t3{b})" for b in (0, 1, 2))
-        chosen = f"CASE WHEN size({inside}) > 0 THEN {inside} WHEN size({rare}) > 0 THEN {rare} ELSE {common} END"
-        terms = f"transform(sort_array({chosen}), t -> named_struct('t', t, 'g', xxhash64(t), 'k', xxhash64(t, 1)))"
-        kept = kept.withColumn(f"h{who}", F.expr(_bound(terms, "terms", fingerprint_hashes("terms"))))
-    kept = stored(kept.selectExpr(*place, *facts, "h1 own", "h2 changed"), "hashes")
-    none = f"array_repeat(0, {FIELDS * LEVELS})"
-    following = kept.selectExpr("bucket next_bucket", "at next_at", "own ahead")
-    text = lambda c: f"concat_ws('', transform(coalesce({c}, {none}), h -> lower(lpad(hex(h), 4, '0'))))"
-    return kept.join(following, ["next_bucket", "next_at"], "left").selectExpr(
+    # Stored, as each use of a column of expressions would compute it again.
+    done = stored(done, "hashes")
+    text = lambda c: f"concat_ws('', transform({c}, h -> lower(lpad(hex(h), 8, '0'))))"
+    return done.selectExpr(
         "doc_id",
         "n_chars",
         "edited_sha256",
         f"{text('own')} fingerprint",
         f"{text('changed')} edited_fingerprint",
-        f"{likeness(f'coalesce(own, {none})', f'coalesce(changed, {none})')} near_edited",
-        f"{likeness(f'coalesce(own, {none})', f'coalesce(ahead, {none})')} near_next",
+        f"{likeness('own', 'changed')} near_edited",
+        f"{likeness('own', 'ahead')} near_next",
     )

@@ -3,11 +3,13 @@
 import hashlib
 import math
 import random
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from shelfmark.llm import imatch, ppm
 
@@ -173,6 +175,70 @@ def test_imatch_has_one_rule_for_any_number_of_terms(spark, kept):
     assert found[301] == 1
 
 
+def signed_hash(data, seed=42):
+    value = xxhash.xxh64_intdigest(data, seed)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def array_hash(values):
+    seed = 42
+    for value in values:
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", value), seed)
+    return 1 + (seed - (1 << 64) if seed >> 63 else seed) % 16777215
+
+
+def plain_print(text, lexicon, common):
+    """The hash of all terms of the lexicon, then that of the smallest subset of every part."""
+    terms = {signed_hash(w) for w in bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode()).split()}
+    kept = {t for t in terms if t % imatch.BITS in lexicon} or {t for t in terms if t % imatch.BITS not in common} or terms
+    if not kept:
+        return [0] * (imatch.FIELDS + 1)
+    out = [array_hash(sorted(kept))]
+    span = (1 << 64) // imatch.FIELDS
+    for part in range(imatch.FIELDS):
+        low = -(1 << 63) + part * span
+        own = sorted(t for t in kept if low <= t < low + span)
+        if own:
+            width = (own[0] - low).bit_length()
+            level = (span.bit_length() - 1) - width
+            out.append(level * (1 << 24) + array_hash([t for t in own if t - low < 1 << width]))
+        else:
+            out.append(0)
+    return out
+
+
+def plain_likeness(left, right):
+    if left[0] == right[0]:
+        return 1.0
+    held = [(a, b) for a, b in zip(left[1:], right[1:], strict=True) if a or b]
+    return min(sum(a == b for a, b in held) / len(held), len(held) / (len(held) + 1))
+
+
+def test_imatch_as_plain(spark):
+    rng = random.Random(15)
+    words = [f"Word{i}" for i in range(300)] + ["é", "a\x00b"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    rows = [(i, " ".join(rng.choices(words, weights, k=rng.choice([0, 1, 4, 40, 200])))) for i in rng.sample(range(5000), 120)]
+    rows += [(9000, "only here"), (9001, rows[0][1]), (9002, None), (-4, "Word0 word1"), (9003, "solo " * 9000)]
+    df = Counter(t for _, text in rows for t in {signed_hash(w) for w in (text or "").lower().encode().split()})
+    most = max(imatch.MIN_DOCS, imatch.MAX_SHARE * len(rows))
+    least = max(imatch.MIN_DOCS, imatch.MIN_SHARE * len(rows))
+    lexicon = {t % imatch.BITS for t, n in df.items() if least <= n <= most}
+    common = {t % imatch.BITS for t, n in df.items() if n > most}
+    ordered = sorted(rows, key=lambda row: -row[0])
+    expected = {}
+    for at, (i, text) in enumerate(ordered):
+        text, following = text or "", ordered[(at + 1) % len(ordered)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        own, changed, ahead = (plain_print(t, lexicon, common) for t in (text, edited, following))
+        written = ["".join(f"{h:08x}" for h in hashes) for hashes in (own, changed)]
+        expected[i] = (*written, plain_likeness(own, changed), plain_likeness(own, ahead))
+    found = imatch.fingerprinted(frame(spark, rows)).collect()
+    assert {r.doc_id: (r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next) for r in found} == expected
+    assert {len(set(lexicon) & set(common)), bool(lexicon), bool(common)} == {0, True}
+
+
 def test_imatch_of_nothing(spark):
     assert imatch.fingerprinted(frame(spark, [])).count() == 0
 
