@@ -13,13 +13,15 @@ from shelfmark.session import ensure_checkpoint_dir
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
-#: Rows of whole texts that go to a Python worker at a time; it bounds memory, not results.
+#: Rows, and bytes, of whole texts that go to a Python worker at a time; they bound memory, not results.
 ROWS_AT_ONCE = 2000
+BYTES_AT_ONCE = 8 << 20
 
 
 def narrow_batches(spark: SparkSession) -> None:
     """Texts may be long, so fewer of them than usual travel to Python at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_AT_ONCE))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_AT_ONCE))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -10,8 +10,10 @@ component stays: that of the smallest doc_id, then of the smallest line number.
 
 Each distinct line is signed once for a task and compared once: equal lines meet in a
 combinable count, never in a group. A bucket of a band above ``tile`` lines is cut into
-tiles that meet in pairs, and within a pair of tiles lines that are already linked are not
-compared again, so a dense bucket costs about one comparison for each line. Buckets of the same
+tiles that meet in pairs. Within a pair of tiles a line is compared with components, until one member of
+each is like it, so a dense bucket costs about one comparison for each line. Most pairs that are not alike are told
+apart by a bitmap of their shingles, the others by sorted shingle hashes, and what these call alike is
+confirmed on the shingles themselves. Buckets of the same
 lines in several bands are compared once. Texts are fetched for candidates only: a bit set of
 fixed size tells the tasks which lines to send, and a join by hash takes out its false hits.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -34,13 +37,17 @@ SHINGLE_CHARS = 7
 SIMILARITY = 0.8
 BANDS = 12
 ROWS = 5
-TILE = 128
+TILE = 512
 #: Bits of the set that says which lines are candidates: 8 MB at any size of the corpus.
 HINT_BITS = 1 << 26
 #: Characters signed at a time, and lines a task remembers; they bound memory, not results.
 SIGNED_AT_ONCE = 1 << 15
 REMEMBERED = 1 << 17
-REMEMBERED_SETS = 2000
+#: Shingles whose hashes a task holds, of lines that may come again; 8 bytes each.
+HELD_SHINGLES = 1 << 21
+#: Cells of the bitmap of a line's shingles, and pairs found unlike that a task remembers.
+CELLS = 2048
+REMEMBERED_PAIRS = 1 << 17
 #: What the lines of one comparison have in common.
 GROUP = ("low", "bucket", "slot_a", "slot_b")
 
@@ -206,36 +213,99 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
     return lines.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
-def _verified(size: int, similarity: float):
-    def alike(left: set, right: set) -> bool:
-        small, large = (left, right) if len(left) <= len(right) else (right, left)
-        if len(small) < similarity * len(large):
+class Line(NamedTuple):
+    """A line as it is compared: its sorted shingle hashes and a bitmap of the cells these fall into."""
+
+    text: str
+    hashes: np.ndarray
+    cells: int
+
+    @staticmethod
+    def cut(lines: list[str], size: int) -> Iterator[Line]:
+        chars, batch = 0, []
+        for line in [*lines, None]:
+            if batch and (line is None or chars + len(line) > SIGNED_AT_ONCE):
+                hashes, owner = _shingle_hashes(batch, size)
+                order = np.lexsort((hashes, owner))
+                hashes, owner = hashes[order], owner[order]
+                first = np.ones(len(hashes), bool)
+                first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+                hashes, owner = hashes[first], owner[first]
+                cells = np.zeros((len(batch), CELLS), bool)
+                cells[owner, (hashes % np.uint64(CELLS)).astype(np.int64)] = True
+                edges = np.searchsorted(owner, np.arange(len(batch) + 1))
+                for i, bits in enumerate(np.packbits(cells, axis=1)):
+                    yield Line(batch[i], hashes[edges[i] : edges[i + 1]].copy(), int.from_bytes(bits.tobytes(), "big"))
+                chars, batch = 0, []
+            if line is not None:
+                batch.append(line)
+                chars += len(line)
+
+
+def _alike(similarity: float, size: int):
+    def alike(left: Line, right: Line) -> bool:
+        a, b = len(left.hashes), len(right.hashes)
+        # So many shingles at least are shared, so many at most on one side only; a cell that one side has alone holds such a one.
+        shared = similarity / (1 + similarity) * (a + b) * (1 - 1e-12)
+        if min(a, b) < shared or (left.cells & ~right.cells).bit_count() > a - shared or (right.cells & ~left.cells).bit_count() > b - shared:
+            return False
+        if len(np.intersect1d(left.hashes, right.hashes, assume_unique=True)) < shared:
             return False
-        shared = len(small & large)
-        return shared >= similarity * (len(small) + len(large) - shared)
+        own, other = shingle_set(left.text, size), shingle_set(right.text, size)
+        common = len(own & other)
+        return common >= similarity * (len(own) + len(other) - common)
+
+    return alike
+
+
+def _verified(size: int, similarity: float):
+    alike = _alike(similarity, size)
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[int, Line] = {}
+
         def rows():
+            held = 0
             for frame in frames:
-                yield from zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h", "line")), strict=True)
+                texts = dict(zip(frame["h"].tolist(), frame["line"].tolist(), strict=True))
+                new = [h for h in texts if h not in known]
+                if held > HELD_SHINGLES:
+                    known.clear()
+                    held, new = 0, list(texts)
+                known.update(zip(new, Line.cut([texts[h] for h in new], size), strict=True))
+                held += sum(len(known[h].hashes) for h in new)
+                for *group, slot, h in zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h")), strict=True):
+                    yield (*group, slot, h, known[h])
 
         # Buckets with the same lowest line come to the same task one after the other: what one
-        # has linked the next need not compare, and a line's shingles are cut once.
-        forest, sets = Forest(), {}
+        # has linked, or found unlike, the next need not compare.
+        forest, unlike = Forest(), set()
         for (_, _, slot_a, slot_b), group in groupby(rows(), key=lambda row: row[:4]):
-            lines = []
+            # Members met so far by component, and of two tiles by slot.
+            met: dict[int, list[tuple]] = {}
             for _, _, _, _, slot, h, line in group:
-                if h not in sets:
-                    if len(sets) >= REMEMBERED_SETS:
-                        sets.clear()
-                    sets[h] = shingle_set(line, size)
-                lines.append((slot, h, sets[h]))
-            for i, (slot, h, own) in enumerate(lines):
-                for other_slot, other, others in lines[:i]:
-                    if slot_a != slot_b and slot == other_slot:
+                joined = []
+                for root, members in met.items():
+                    if forest.find(h) == forest.find(root):
+                        joined.append(root)
                         continue
-                    if forest.find(h) != forest.find(other) and alike(own, others):
-                        forest.unite(h, other)
+                    for other_slot, other, others in members:
+                        if slot_a != slot_b and slot == other_slot:
+                            continue
+                        pair = (h, other) if h < other else (other, h)
+                        if pair in unlike:
+                            continue
+                        if alike(line, others):
+                            forest.unite(h, other)
+                            joined.append(root)
+                            break
+                        if len(unlike) >= REMEMBERED_PAIRS:
+                            unlike.clear()
+                        unlike.add(pair)
+                own = [(slot, h, line)]
+                for root in joined:
+                    own += met.pop(root)
+                met[h] = own
             if len(forest.parent) >= UNITED_AT_ONCE:
                 yield pd.DataFrame(forest.links(), columns=["a", "b"], dtype="int64")
                 forest = Forest()
