@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,8 @@ def claim(queue: DataFrame, limit: int, now: Column) -> DataFrame:
     )
 
 
-def queue_state(log: DataFrame) -> DataFrame:
-    """The rows left after a log of (seq, object_id, ts, kind, version).
+def queue_state(log: DataFrame, keys: Sequence[str] = ("object_id",)) -> DataFrame:
+    """The rows left after a log of (seq, keys, ts, kind, version).
 
     Kinds: enqueue (a change at ``version``), claim, complete and release (``version`` is
     the one sent). Versions grow with seq. A complete removes the row only when nothing
@@ -44,21 +46,22 @@ def queue_state(log: DataFrame) -> DataFrame:
     attempt; no number of attempts drops it. Claims and releases of a row that was since
     removed do not touch the row created after it.
     """
+    keys = list(keys)
     enqueue, complete = F.col("kind") == "enqueue", F.col("kind") == "complete"
-    seen = max_before(log, ["object_id"], "seq", F.when(enqueue, F.col("version")), "_queued")
-    gone = seen.groupBy("object_id").agg(
+    seen = max_before(log, keys, "seq", F.when(enqueue, F.col("version")), "_queued")
+    gone = seen.groupBy(*keys).agg(
         F.max(F.when(complete & (F.col("_queued") <= F.col("version")), F.col("seq"))).alias("_gone")
     )
-    later = log.join(gone, "object_id").where(F.col("_gone").isNull() | (F.col("seq") > F.col("_gone")))
-    rows = later.where(enqueue).groupBy("object_id").agg(
+    later = log.join(gone, keys).where(F.col("_gone").isNull() | (F.col("seq") > F.col("_gone")))
+    rows = later.where(enqueue).groupBy(*keys).agg(
         F.min("seq").alias("created_seq"),
         F.min("version").alias("_first_version"),
         F.max("version").alias("_last_version"),
     )
     sent = (F.col("seq") > F.col("created_seq")) & (F.col("version") >= F.col("_first_version"))
-    moves = later.where(~complete).join(rows, "object_id").where(enqueue | sent)
+    moves = later.where(~complete).join(rows, keys).where(enqueue | sent)
     return (
-        moves.groupBy("object_id", "created_seq", F.col("_last_version").alias("version"))
+        moves.groupBy(*keys, "created_seq", F.col("_last_version").alias("version"))
         .agg(
             F.count_if(F.col("kind") == "release").alias("attempts"),
             F.max_by(F.struct("kind", "ts"), "seq").alias("_last"),

@@ -173,6 +173,28 @@ SELECT l.* FROM o_life l JOIN (SELECT object_id, sum(CASE WHEN kind = 'complete'
 SELECT r.object_id, r.created_seq, r.version, CASE WHEN last_kind = 'claim' THEN 'sending' ELSE 'pending' END AS status, attempts, CASE WHEN last_kind = 'claim' THEN last_ts END AS claimed_at
  FROM o_row r JOIN (SELECT l.object_id, count(*) FILTER (l.kind = 'release') AS attempts, arg_max(l.kind, l.seq) AS last_kind, arg_max(l.ts, l.seq) AS last_ts FROM o_last_life l JOIN o_row r ON r.object_id = l.object_id
   WHERE l.kind <> 'complete' AND (l.kind = 'enqueue' OR (l.seq > r.created_seq AND l.version >= r.first_version)) GROUP BY l.object_id) m ON m.object_id = r.object_id""",
+    # The same by type, object and store.
+    "o_d_log": """
+SELECT *, max(CASE WHEN kind = 'enqueue' THEN version END) OVER (PARTITION BY object_type, object_id, store_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS queued FROM shop_drain_log""",
+    "o_d_life": """
+SELECT *, coalesce(sum(CASE WHEN kind = 'complete' AND queued <= version THEN 1 ELSE 0 END) OVER (PARTITION BY object_type, object_id, store_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life FROM o_d_log""",
+    "o_d_last": """
+SELECT * FROM (SELECT *, max(CASE WHEN kind = 'complete' AND queued <= version THEN life + 1 ELSE life END) OVER (PARTITION BY object_type, object_id, store_id) AS lives FROM o_d_life) x WHERE life = lives""",
+    "o_d_row": "SELECT object_type, object_id, store_id, min(seq) AS created_seq, min(version) AS first_version, max(version) AS version FROM o_d_last WHERE kind = 'enqueue' GROUP BY object_type, object_id, store_id",
+    "o_d_state": """
+SELECT r.object_type, r.object_id, r.store_id, r.created_seq, r.version, attempts,
+ CASE WHEN last_kind = 'claim' AND last_ts >= TIMESTAMP '2024-01-30 11:45:00' THEN 'sending' ELSE 'pending' END AS status,
+ CASE WHEN last_kind = 'claim' AND last_ts >= TIMESTAMP '2024-01-30 11:45:00' THEN last_ts END AS claimed_at
+ FROM o_d_row r JOIN (SELECT l.object_type, l.object_id, l.store_id, count(*) FILTER (l.kind = 'release') AS attempts, arg_max(l.kind, l.seq) AS last_kind, arg_max(l.ts, l.seq) AS last_ts
+  FROM o_d_last l JOIN o_d_row r USING (object_type, object_id, store_id)
+  WHERE l.kind <> 'complete' AND (l.kind = 'enqueue' OR (l.seq > r.created_seq AND l.version >= r.first_version)) GROUP BY l.object_type, l.object_id, l.store_id) m
+ USING (object_type, object_id, store_id)""",
+    "o_d_placed": """
+SELECT *, (place - 1) // 20 AS batch_no, (place - 1) % 20 AS slot FROM (
+ SELECT *, CASE WHEN status = 'pending' THEN row_number() OVER (PARTITION BY status ORDER BY created_seq) END AS place FROM o_d_state) x""",
+    "o_drained": """
+SELECT p.*, CASE WHEN batch_no IS NULL THEN 'held' WHEN batch_no > f.stop THEN 'waiting' WHEN batch_no = f.stop THEN 'released' ELSE 'completed' END AS outcome
+ FROM o_d_placed p, (SELECT min(batch_no) AS stop FROM o_d_placed WHERE object_id % 13 <> 0 AND batch_no % 4 = 2) f""",
     "o_resync": """
 SELECT *, bool_or(acted) OVER (PARTITION BY install_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM (
  SELECT *, token IS DISTINCT FROM lag(token) OVER (PARTITION BY install_id ORDER BY seq) AS acted FROM shop_resync_poll WHERE required AND token <> '') y""",
@@ -299,6 +321,10 @@ ORACLES: dict[str, str] = {
     "queue_health": """SELECT count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'sending') AS sending,
  min(CASE WHEN status = 'pending' THEN created_seq END) AS oldest_seq, max(attempts) AS max_attempts, (SELECT count(*) FROM shop_changelog) AS changelog_rows FROM o_state""",
     "queue_depth": "SELECT status, count(*) AS depth FROM o_state GROUP BY status",
+    "drain_round": """SELECT object_type, object_id, store_id, created_seq, version, status, attempts, epoch_us(claimed_at) // 1000 AS claimed_at, batch_no, CAST(slot AS INT) AS slot, outcome FROM o_drained""",
+    "drain_summary": """SELECT count(DISTINCT CASE WHEN outcome = 'completed' AND object_id % 13 <> 0 THEN batch_no END) AS batches, count(*) FILTER (outcome = 'completed' AND object_id % 13 <> 0) AS items,
+ bool_or(outcome = 'released') AS failed, count(*) FILTER (outcome = 'released') AS released, count(*) FILTER (outcome = 'waiting') AS waiting FROM o_drained""",
+    "drain_after": """SELECT object_type, object_id, store_id, created_seq, version, status, attempts + CASE WHEN outcome = 'released' THEN 1 ELSE 0 END AS attempts FROM o_drained WHERE outcome <> 'completed'""",
     "current_documents": """SELECT object_id, version, arrival, body, writes FROM (SELECT *, row_number() OVER (PARTITION BY object_id ORDER BY version DESC, arrival) AS nth,
  count(*) OVER (PARTITION BY object_id) AS writes FROM shop_document_write) x WHERE nth = 1""",
     "resync_tokens": """SELECT install_id, seq, token, pending, acted, acted AND (pending = 0 OR NOT coalesce(earlier, FALSE)) AS walk_started FROM o_resync""",

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions import money, text, wire
 from shelfmark.operators import (
-    attribution, batches, categories, changes, content, delivery, facets, indexing, locales, parents, popularity,
-    pricing, quality, queue, stock, variants,
+    attribution, batches, categories, changes, content, delivery, drain, facets, indexing, locales, parents,
+    popularity, pricing, quality, queue, stock, variants,
 )
 from shelfmark.operators.ids import normalise_ids
 from shelfmark.operators.scope import scoped_attribute
@@ -27,6 +27,9 @@ DEPOT = StoreView(website_code="depot")
 INSTALL = "install-1"
 # The latest moments in the given data, in place of the clock.
 EVENTS_NOW = "2024-01-31 00:00:00"
+# When the drain runs, and how many rows it takes at a time.
+DRAIN_NOW = "2024-01-30 12:00:00"
+DRAIN_SIZE = 20
 CURRENCIES = ("USD", "JPY", "KWD")
 WALK_VERSION = 1_700_000_000_000
 LOCALE_SUFFIXES = ("", "_DE", "-gb", "_US", "_Latn_CH", "_FR", "_419", "_x")
@@ -494,6 +497,37 @@ def queue_depth(shop):
     return queue.queue_depth(queue.queue_state(shop["queue_log"]))
 
 
+def drained(shop) -> DataFrame:
+    """A run over the queue by type, object and store, at the end of its log. Every 13th object makes no item; the third batch fails."""
+    state = queue.queue_state(shop["drain_log"].withColumn("ts", F.col("ts").cast("timestamp")), drain.QUEUE_KEYS)
+    in_line = delivery_run.claimed_round(state, F.lit(DRAIN_NOW).cast("timestamp"), (F.col("object_id") % 13 != 0).cast("int"), DRAIN_SIZE)
+    numbers = in_line.where(F.col("slot") == 0).select("batch_no")
+    return drain.drain_round(in_line, numbers.withColumn("status", F.when(F.col("batch_no") % 4 == 2, 503).otherwise(202)))
+
+
+@query
+def drain_round(shop):
+    return drained(shop).select(
+        *drain.QUEUE_KEYS, "created_seq", "version", "status", "attempts", F.unix_millis("claimed_at").alias("claimed_at"), "batch_no", "slot", "outcome"
+    )
+
+
+@query
+def drain_summary(shop):
+    return drain.round_summary(drained(shop))
+
+
+@query
+def drain_after(shop):
+    """The queue after the run, folded from its log with the run's own entries behind it."""
+    log = shop["drain_log"].withColumn("ts", F.col("ts").cast("timestamp"))
+    last = log.agg(F.max("seq")).scalar()
+    added = drain.round_log(drained(shop), last, F.lit(DRAIN_NOW).cast("timestamp"))
+    state = queue.queue_state(log.select(*added.columns).unionByName(added), drain.QUEUE_KEYS)
+    again = queue.requeue_stalled(state, F.lit(DRAIN_NOW).cast("timestamp"))
+    return again.select(*drain.QUEUE_KEYS, "created_seq", "version", "status", "attempts")
+
+
 @query
 def current_documents(shop):
     return changes.current_documents(shop["document_write"], "object_id", "version", "arrival", ["arrival", "body"])

@@ -118,6 +118,12 @@ SELECT event_id + 1 AS id, user_id AS store_id, ts, CASE CAST(event_id % 10 AS I
 SELECT event_id + 1 AS seq, (user_id * 13 + event_id) % 200 + 1 AS object_id, ts,
  CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 10 >= 5 THEN 'complete' ELSE 'release' END WHEN 'view' THEN 'claim' ELSE 'enqueue' END AS kind,
  CASE WHEN event_type IN ('purchase', 'view') THEN (event_id + 1 - (event_id % 7) * 150) * 1000 ELSE (event_id + 1) * 1000 END AS version FROM events""",
+    # The queue's log by type, object and store; there are as many objects as the tables give.
+    "shop_drain_log": """
+SELECT event_id + 1 AS seq, CASE WHEN event_id % 5 = 0 THEN 'page' ELSE 'product' END AS object_type,
+ (user_id * 31 + event_id) % (SELECT CAST(count(*) AS BIGINT) + 1 FROM part) + 1 AS object_id, CAST(event_id % 2 AS BIGINT) AS store_id, ts,
+ CASE event_type WHEN 'purchase' THEN CASE WHEN event_id % 10 >= 5 THEN 'complete' ELSE 'release' END WHEN 'view' THEN 'claim' ELSE 'enqueue' END AS kind,
+ CASE WHEN event_type IN ('purchase', 'view') THEN (event_id + 1 - (event_id % 3) * 200) * 1000 ELSE (event_id + 1) * 1000 END AS version FROM events""",
     "shop_watched_change": """
 SELECT CAST(event_id % 14 AS INT) AS table_no, (user_id * 13 + event_id) % 200 + 1 AS changed_id, ts FROM events""",
     "shop_config": """
