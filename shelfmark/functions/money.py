@@ -17,7 +17,6 @@ EXPONENTS = {
     "XAF": 0, "XOF": 0, "XPF": 0, "YER": 0, "ZMK": 0, "ZWD": 0,
 }
 DEFAULT_EXPONENT = 2
-MAX_EXPONENT = max(EXPONENTS.values())
 
 
 def currency_code(currency: Column) -> Column:
@@ -34,48 +33,79 @@ def order_currency(order_code: Column, base_code: Column) -> Column:
     return F.when(code != "", code).otherwise(currency_code(F.coalesce(base_code, F.lit(""))))
 
 
-def _by_exponent(currency: Column, value_of) -> Column:
+def exponent_of(currency: Column) -> Column:
+    """Decimal places of the currency's minor unit. Wherever several amounts of a row are scaled, project it once
+    and pass it on as ``places``."""
     code = currency_code(currency)
-    result = value_of(DEFAULT_EXPONENT)
+    result = F.lit(DEFAULT_EXPONENT)
     for exponent in sorted(set(EXPONENTS.values())):
         members = [name for name, places in EXPONENTS.items() if places == exponent]
-        result = F.when(code.isin(members), value_of(exponent)).otherwise(result)
+        result = F.when(code.isin(members), exponent).otherwise(result)
     return result
 
 
-def exponent_of(currency: Column) -> Column:
-    return _by_exponent(currency, F.lit)
-
-
-def _scale_of(currency: Column) -> Column:
+def _scale_of(places: Column) -> Column:
     """10 ** exponent as a decimal; ``power`` would return a double."""
-    return _by_exponent(currency, lambda places: F.lit(10**places).cast("decimal(5,0)"))
+    result = F.lit(10**DEFAULT_EXPONENT).cast("decimal(5,0)")
+    for exponent in sorted(set(EXPONENTS.values())):
+        result = F.when(places == exponent, F.lit(10**exponent).cast("decimal(5,0)")).otherwise(result)
+    return result
 
 
-def round_minor(amount: Column, currency: Column) -> Column:
+def round_minor(amount: Column, currency: Column, places: Column | None = None) -> Column:
     """A decimal amount in minor units, rounded half away from zero. A stored amount,
     DECIMAL(12,4), scales to 18 digits, which Spark computes as a long."""
-    return F.round(amount * _scale_of(currency), 0).try_cast("bigint")
+    return F.round(amount * _scale_of(exponent_of(currency) if places is None else places), 0).try_cast("bigint")
 
 
-def round_minor_text(amount: Column, currency: Column) -> Column:
-    """The same for text. What is not a plain decimal counts as 0; what is one but has
-    more minor units than a long holds is null.
+def amount_parts(amount: Column) -> Column:
+    """A text amount as a struct of its digits; null unless it is a plain decimal.
 
-    The digits up to the exponent are joined as text, so no amount is too long to be
-    exact; rounding looks at the one digit after them.
+    The same for every currency, so a row that is asked in several reads its text once. ``units`` is the whole part
+    where that and four places fit a long for certain, ``first`` the first five digits after the point.
     """
-    text = F.coalesce(trimmed(amount), F.lit(""))
-    places = exponent_of(currency)
-    negative = text.startswith("-")
-    whole = F.substring_index(F.ltrim(text, F.lit("-")), ".", 1)
-    spare = F.when(F.instr(text, ".") > 0, F.substring_index(text, ".", -1)).otherwise("")
-    digits = F.concat(whole, F.rpad(F.substring(spare, F.lit(1), places), places, F.lit("0")))
-    up = F.when(F.substring(spare, places + 1, F.lit(1)) >= "5", 1).otherwise(0)
-    size = digits.try_cast("decimal(38,0)").cast("decimal(38,0)")
-    minor = F.try_add(size, up.cast("decimal(1,0)"))
-    signed = F.when(negative, -minor).otherwise(minor).try_cast("bigint")
-    return F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?\z"), signed).otherwise(F.lit(0).cast("bigint"))
+    text = trimmed(amount)
+    bare = F.ltrim(text, F.lit("-"))
+    whole = F.substring_index(bare, ".", 1)
+    spare = F.when(F.instr(bare, ".") > 0, F.substring_index(bare, ".", -1)).otherwise("")
+    parts = F.struct(
+        text.startswith("-").alias("negative"),
+        whole.alias("whole"),
+        spare.alias("spare"),
+        F.when(F.length(whole) <= 14, whole.try_cast("bigint")).alias("units"),
+        F.rpad(F.substring(spare, 1, 5), 5, "0").try_cast("bigint").alias("first"),
+    )
+    return F.when(text.rlike(r"^-?[0-9]+(\.[0-9]+)?\z"), parts)
+
+
+def _power_of(places: Column, most: int = 0) -> Column:
+    """10 ** places, or 10 ** (most - places), as a long."""
+    result = F.lit(10 ** abs(most - DEFAULT_EXPONENT))
+    for exponent in sorted(set(EXPONENTS.values())):
+        result = F.when(places == exponent, 10 ** abs(most - exponent)).otherwise(result)
+    return result.cast("bigint")
+
+
+def minor_of(parts: Column, places: Column) -> Column:
+    """The minor units of ``amount_parts``, rounded half away from zero. No amount is 0; one of more minor units than a long holds is null.
+
+    Rounding looks at the one digit after the exponent. Where the whole part is too long for a long, digits are joined as
+    text up to the exponent, so that no amount is too long to be exact.
+    """
+    most = max(EXPONENTS.values())
+    short = parts["units"] * _power_of(places) + F.floor((F.floor(parts["first"] / _power_of(places, most)) + 5) / 10)
+    digits = F.concat(parts["whole"], F.rpad(F.substring(parts["spare"], F.lit(1), places), places, F.lit("0")))
+    up = F.when(F.substring(parts["spare"], places + 1, F.lit(1)) >= "5", 1).otherwise(0)
+    wide = F.try_add(digits.try_cast("decimal(38,0)").cast("decimal(38,0)"), up.cast("decimal(1,0)"))
+    wide = F.when(parts["negative"], -wide).otherwise(wide).try_cast("bigint")
+    minor = F.when(parts["units"].isNotNull(), F.when(parts["negative"], -short).otherwise(short)).otherwise(wide)
+    return F.when(parts.isNotNull(), minor).otherwise(F.lit(0).cast("bigint"))
+
+
+def round_minor_text(amount: Column, currency: Column, places: Column | None = None) -> Column:
+    """The same for text. What is not a plain decimal counts as 0; what is one but has
+    more minor units than a long holds is null."""
+    return minor_of(amount_parts(F.coalesce(amount, F.lit(""))), exponent_of(currency) if places is None else places)
 
 
 def strict_minor_reject(amount: Column, currency: Column) -> Column:
@@ -107,8 +137,8 @@ def minor_input_reject(minor: Column, currency: Column) -> Column:
     )
 
 
-def line_value(total: Column, discount: Column, currency: Column) -> Column:
+def line_value(total: Column, discount: Column, currency: Column, places: Column | None = None) -> Column:
     """What was paid for one order line: both amounts are scaled first, then subtracted."""
     nothing = F.lit(0).cast("decimal(12,4)")
-    paid = round_minor(F.coalesce(total, nothing), currency) - round_minor(F.coalesce(discount, nothing), currency)
-    return F.greatest(F.lit(0).cast("bigint"), paid)
+    minor = lambda amount: round_minor(F.coalesce(amount, nothing), currency, places)
+    return F.greatest(F.lit(0).cast("bigint"), minor(total) - minor(discount))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.money import line_value, order_currency
+from shelfmark.functions.money import exponent_of, line_value, order_currency
 from shelfmark.functions.wire import join_ids
 from shelfmark.session import ensure_checkpoint_dir
 
@@ -39,14 +39,14 @@ def paid_lines(lines: DataFrame, orders: DataFrame, tax: str = "incl") -> DataFr
     total = F.coalesce("row_total_incl_tax", "row_total") if tax == "incl" else F.col("row_total")
     head = orders.select(
         "order_id", "session_id", order_currency(F.col("order_currency"), F.col("base_currency")).alias("currency")
-    )
+    ).withColumn("places", exponent_of(F.col("currency")))
     return parent_lines(lines).join(head, "order_id").select(
         "order_id",
         "session_id",
         "item_id",
         "product_id",
         "currency",
-        line_value(total, F.col("discount_amount"), F.col("currency")).alias("value_cents"),
+        line_value(total, F.col("discount_amount"), F.col("currency"), F.col("places")).alias("value_cents"),
     )
 
 

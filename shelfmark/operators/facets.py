@@ -38,10 +38,14 @@ def pushed_ids(catalogue: Catalogue) -> dict[str, list[int]] | None:
     """The facet ids per value table, read when the plan is built, so that the scans skip
     the rest of the value tables; None when there are too many to push, and the join that
     follows does the work alone."""
-    rows = filterable(catalogue.attribute).select("backend_type", "attribute_id").take(PUSHED_IDS + 1)
-    if len(rows) > PUSHED_IDS:
-        return None
-    return {backend: [row[1] for row in rows if row[0] == backend] for backend in FACET_BACKENDS}
+
+    def read() -> dict[str, list[int]] | None:
+        rows = filterable(catalogue.attribute).select("backend_type", "attribute_id").take(PUSHED_IDS + 1)
+        if len(rows) > PUSHED_IDS:
+            return None
+        return {backend: [row[1] for row in rows if row[0] == backend] for backend in FACET_BACKENDS}
+
+    return catalogue.once("facet ids", read)
 
 
 def facet_attributes(catalogue: Catalogue, store: StoreView) -> DataFrame:
@@ -52,14 +56,26 @@ def facet_attributes(catalogue: Catalogue, store: StoreView) -> DataFrame:
     ).where(F.col("label") != "")
 
 
-def option_labels(catalogue: Catalogue, store: StoreView) -> DataFrame:
-    """(attribute_id, option_id, label): the store's label over the admin one, decoded,
-    each option under the attribute that owns it."""
-    values = catalogue.option_value.where(in_scope(store.store_id)).withColumnRenamed("option_id", "entity_id")
-    labels = resolve_scope(values, ["entity_id"], store.store_id)
-    return labels.join(catalogue.option.withColumnRenamed("option_id", "entity_id"), "entity_id").select(
-        "attribute_id", F.col("entity_id").alias("option_id"), plain_text("value").alias("label")
+def option_texts(catalogue: Catalogue, store: StoreView) -> DataFrame:
+    """(attribute_id, option_id, text, shown) of every option under the attribute that owns it.
+
+    ``text`` is the store's label over the admin one, either being enough; ``shown`` is the
+    same decoded, and null where there is no admin label.
+    """
+    values = catalogue.option_value.where(in_scope(store.store_id)).groupBy("option_id")
+    has_default = F.expr("max(store_id = 0) AS _has_default")
+    labels = values.agg(*own_and_default(store.store_id), has_default).selectExpr(
+        "option_id", "coalesce(_own, _default) AS text", "_has_default"
     )
+    return labels.join(catalogue.option, "option_id").select(
+        "attribute_id", "option_id", "text", F.when(F.col("_has_default"), plain_text("text")).alias("shown")
+    )
+
+
+def option_labels(catalogue: Catalogue, store: StoreView) -> DataFrame:
+    """(attribute_id, option_id, label): the decoded label of every option that has an admin one."""
+    found = option_texts(catalogue, store)
+    return found.select("attribute_id", "option_id", F.col("shown").alias("label")).where(F.col("label").isNotNull())
 
 
 def brands(catalogue: Catalogue, store: StoreView, code: str = "manufacturer") -> DataFrame:

@@ -14,20 +14,19 @@ ENABLED = 1
 SEARCHABLE = (3, 4)
 
 
+def members(catalogue: Catalogue, store: StoreView) -> DataFrame:
+    """(entity_id, sku, type_id) of the products in the store's website."""
+    placed = catalogue.website.where(F.col("website_id") == store.website_id).select(F.col("product_id").alias("entity_id"))
+    return catalogue.entity.select("entity_id", "sku", "type_id").join(placed, "entity_id", "left_semi")
+
+
 def indexable(catalogue: Catalogue, store: StoreView) -> DataFrame:
     """Products in the store's website that are enabled and visible in search there."""
     codes = ("status", "visibility")
     flags = scoped_wide(catalogue.eav_int, catalogue.ids(*codes), store.store_id, either=codes).where(
         (F.col("status") == ENABLED) & F.col("visibility").isin(*SEARCHABLE)
     )
-    members = catalogue.website.where(F.col("website_id") == store.website_id).select(
-        F.col("product_id").alias("entity_id")
-    )
-    return (
-        catalogue.entity.select("entity_id", "sku", "type_id")
-        .join(members, "entity_id", "left_semi")
-        .join(flags.select("entity_id"), "entity_id")
-    )
+    return members(catalogue, store).join(flags.select("entity_id"), "entity_id")
 
 
 def indexable_products(catalogue: Catalogue, store: StoreView) -> DataFrame:

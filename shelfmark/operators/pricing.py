@@ -38,6 +38,8 @@ def with_headline_price(rows: DataFrame, currency: Column, type_id: Column) -> D
     The amount is rounded to the currency's own exponent.
     """
     amount = headline_amount(type_id, F.col("final_price"), F.col("min_price"))
+    rows = rows.withColumns({"_amount": amount, "_places": exponent_of(currency)})
+    amount, places = F.col("_amount"), F.col("_places")
     reject = (
         F.when(amount.isNull(), F.lit(None).cast("string"))
         .when(~F.coalesce(is_currency(currency), F.lit(False)), "bad currency")
@@ -46,13 +48,13 @@ def with_headline_price(rows: DataFrame, currency: Column, type_id: Column) -> D
     sendable = amount.isNotNull() & reject.isNull()
     return rows.withColumns(
         {
-            "_minor": F.when(sendable, round_minor(amount, currency)),
+            "_minor": F.when(sendable, round_minor(amount, currency, places)),
             "currency": F.when(sendable, currency_code(currency)),
-            "price_exponent": F.when(sendable, exponent_of(currency)),
+            "price_exponent": F.when(sendable, places),
             "on_sale": on_sale(F.col("price"), F.col("final_price")),
             "price_reject": reject,
         }
-    ).drop("price", "final_price", "min_price").withColumnRenamed("_minor", "price")
+    ).drop("price", "final_price", "min_price", "_amount", "_places").withColumnRenamed("_minor", "price")
 
 
 def headline_prices(price: DataFrame, entity: DataFrame, store: StoreView, currency: Column | None = None) -> DataFrame:

@@ -23,15 +23,16 @@ def own_and_default(store_id: int, value: str = "value") -> list[Column]:
     ]
 
 
-def resolve_scope(rows: DataFrame, keys: list[str], store_id: int) -> DataFrame:
+def resolve_scope(rows: DataFrame, keys: list[str], store_id: int, either: Column | None = None) -> DataFrame:
     """One value per ``keys``: the store's value unless that is null, then the default.
 
-    The default row must exist: a store row alone gives nothing. A blank store value does
+    The default row must exist: a store row alone gives nothing, except where ``either`` holds. A blank store value does
     override, because only null falls back.
     """
     has_default = F.expr(f"max(store_id = {DEFAULT_STORE}) AS _has_default")
     found = rows.groupBy(*keys).agg(*own_and_default(store_id), has_default)
-    return found.where("_has_default").selectExpr(*keys, "coalesce(_own, _default) AS value")
+    enough = F.col("_has_default") if either is None else F.col("_has_default") | either
+    return found.where(enough).selectExpr(*keys, "coalesce(_own, _default) AS value")
 
 
 def has_attribute(attribute_id: int | None) -> Column:

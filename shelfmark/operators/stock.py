@@ -43,7 +43,8 @@ def stock_id_of(channel: DataFrame | None, website_code: str) -> int:
 def stock_of(catalogue: Catalogue, store: StoreView, products: DataFrame) -> DataFrame:
     """(entity_id, in_stock) for ``products`` (entity_id, sku). A custom stock that has a
     table answers by SKU; the default stock and everything else answers by product."""
-    stock_id = stock_id_of(catalogue.stock_channel, store.website_code)
+    code = store.website_code
+    stock_id = catalogue.once(f"stock of {code}", lambda: stock_id_of(catalogue.stock_channel, code))
     if stock_id > DEFAULT_STOCK and stock_id in catalogue.inventory_stock:
         return stock_by_sku(catalogue.inventory_stock[stock_id], products)
     return legacy_stock(catalogue.stock_status)

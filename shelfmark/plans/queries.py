@@ -136,15 +136,21 @@ def on_sale(shop):
 
 @query
 def minor_units(shop):
-    code = F.col("currency")
-    return shop["order_item"].select("order_id", "item_id", "row_total_incl_tax", "discount_amount", each_currency().alias("currency")).select(
+    """Every line's amounts in several currencies: a text amount is read once for a line, an exponent once for a currency."""
+    discount = F.concat(F.lit(" -"), F.col("discount_amount").cast("string"))
+    lines = shop["order_item"].select(
+        "order_id", "item_id", "row_total_incl_tax", "discount_amount", money.amount_parts(discount).alias("parts")
+    )
+    code, places = F.col("currency"), F.col("exponent")
+    exponents = F.array(*(F.struct(F.lit(c).alias("currency"), money.exponent_of(F.lit(c)).alias("exponent")) for c in CURRENCIES))
+    return lines.select("*", F.inline(exponents)).select(
         "order_id",
         "item_id",
         "currency",
-        money.exponent_of(code).alias("exponent"),
-        money.round_minor(F.col("row_total_incl_tax"), code).alias("total_minor"),
-        money.round_minor_text(F.concat(F.lit(" -"), F.col("discount_amount").cast("string")), code).alias("discount_minor"),
-        money.line_value(F.col("row_total_incl_tax"), F.col("discount_amount"), code).alias("value_minor"),
+        "exponent",
+        money.round_minor(F.col("row_total_incl_tax"), code, places).alias("total_minor"),
+        money.minor_of(F.col("parts"), places).alias("discount_minor"),
+        money.line_value(F.col("row_total_incl_tax"), F.col("discount_amount"), code, places).alias("value_minor"),
     )
 
 

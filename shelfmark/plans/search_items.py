@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from shelfmark.functions.text import null_if_blank
 from shelfmark.operators.batches import item_json
 from shelfmark.operators.categories import category_names
-from shelfmark.operators.content import descriptions, image_url, permalink
-from shelfmark.operators.facets import brands, facet_maps
-from shelfmark.operators.indexing import indexable
+from shelfmark.operators.content import image_url, permalink
+from shelfmark.operators.indexing import ENABLED, SEARCHABLE, members
 from shelfmark.operators.popularity import popularity
 from shelfmark.operators.pricing import price_rows, with_headline_price
-from shelfmark.operators.scope import scoped_wide
+from shelfmark.operators.product_values import product_values
 from shelfmark.operators.stock import stock_of
 from shelfmark.operators.variants import nested_variants
 from shelfmark.sources.catalogue import Catalogue, StoreView
@@ -28,23 +27,15 @@ FIELDS = (
 def documents(catalogue: Catalogue, store: StoreView) -> DataFrame:
     """One document per searchable product, keyed by entity_id.
 
-    Starts from the searchable products and adds each field by a left join on entity_id.
+    All stored values come from one pass (``product_values``); each further field is a left join on entity_id.
     Every side is grouped by entity_id, so large sides meet without a further shuffle.
     """
-    texts = scoped_wide(
-        catalogue.eav_varchar,
-        catalogue.ids("name", "url_key", "small_image", "image"),
-        store.store_id,
-        either=("name",),
-    ).withColumnRenamed("image", "full_image")
-    base = indexable(catalogue, store)
+    values = product_values(catalogue, store).withColumnRenamed("image", "full_image")
+    searchable = (F.col("status") == ENABLED) & F.col("visibility").isin(*SEARCHABLE)
+    base = members(catalogue, store).join(values.where(searchable).drop("status", "visibility"), "entity_id")
     rows = base.join(price_rows(catalogue.price, store), "entity_id", "left")
     rows = with_headline_price(rows, F.lit(store.currency), F.col("type_id"))
-    rows = rows.join(texts, "entity_id", "left")
-    rows = rows.join(stock_of(catalogue, store, base.select("entity_id", "sku")), "entity_id", "left")
-    rows = rows.join(descriptions(catalogue, store), "entity_id", "left")
-    rows = rows.join(brands(catalogue, store), "entity_id", "left")
-    rows = rows.join(facet_maps(catalogue, store), "entity_id", "left")
+    rows = rows.join(stock_of(catalogue, store, catalogue.entity), "entity_id", "left")
     if catalogue.category_product is not None and catalogue.category_varchar is not None:
         rows = rows.join(category_names(catalogue, store), "entity_id", "left")
     if catalogue.bestsellers is not None:

@@ -69,6 +69,13 @@ class Catalogue:
         rows = self.attribute.where(named).select("entity_type_code", "attribute_code", "attribute_id").collect()
         return {(row[0], row[1]): row[2] for row in rows}
 
+    def once(self, name: str, read: Callable):
+        """What ``read`` found in the tables when a plan of this bundle first asked; a new bundle reads anew."""
+        found = self.__dict__.setdefault("_once", {})
+        if name not in found:
+            found[name] = read()
+        return found[name]
+
     def ids(self, *codes: str, entity_type: str = "catalog_product") -> dict[str, int | None]:
         return {code: self.attribute_ids.get((entity_type, code)) for code in codes}
 
