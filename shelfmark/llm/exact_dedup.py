@@ -14,35 +14,18 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.bits import BITS, bit_words, marked
 from shelfmark.llm.common import fresh, stored, whole_text
 
-#: Characters of a beginning, and bits of a set: 2**17 words of 16 bytes are broadcast.
+#: Characters of a beginning.
 PREFIX_CHARS = 256
-BITS = 1 << 23
 #: Parts in which a group is counted and given its result, so that a hot one is no one task's work.
 LOTS = 64
 
 
-def _placed(key: Column, bits: int) -> tuple[Column, Column]:
-    """Word and bit of a long key in a bit set."""
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
-    return F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
-
-
 def shared_keys(keys: DataFrame, bits: int = BITS) -> DataFrame:
-    """``word, mask``: the bits of every long ``key`` that occurs more than once; ``bits / 64`` rows at most."""
-    word, bit = _placed(F.col("key"), bits)
-    twice = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return twice.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("mask"))
-
-
-def _marked(rows: DataFrame, key: str, words: DataFrame, bits: int, name: str) -> DataFrame:
-    """``rows`` and whether the bit of their ``key`` is set; that of a null key is not."""
-    word, bit = _placed(F.col(key), bits)
-    word_name, bit_name, mask = f"{name}_word", f"{name}_bit", f"{name}_mask"
-    placed = rows.withColumns({word_name: F.when(F.col(key).isNotNull(), word), bit_name: bit})
-    joined = placed.join(F.broadcast(words.select(F.col("word").alias(word_name), F.col("mask").alias(mask))), word_name, "left")
-    return joined.withColumn(name, F.expr(f"coalesce(getbit({mask}, {bit_name}) = 1, false)")).drop(word_name, bit_name, mask)
+    """``word, mask``: the bits of every long ``key`` that occurs more than once."""
+    return bit_words(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), bits)
 
 
 def exact_groups(
@@ -61,13 +44,13 @@ def exact_groups(
     rows = rows.withColumn(own["length"], F.octet_length(own["text"]).cast("long"))
     lengths = stored(shared_keys(rows.select(F.col(own["length"]).alias("key")), bits), "lengths")
 
-    rows = _marked(rows, own["length"], lengths, bits, own["known"])
+    rows = marked(rows, own["length"], lengths, own["known"], bits)
     begin = F.xxhash64(F.col(own["length"]), F.expr(f"left(`{own['text']}`, {prefix_chars})"))
     rows = rows.withColumn(own["begin"], F.when(F.col(own["known"]), begin))
     begins = rows.where(F.col(own["known"])).select(F.col(own["begin"]).alias("key"))
     begins = stored(shared_keys(begins, bits), "beginnings")
 
-    rows = _marked(rows, own["begin"], begins, bits, own["whole"])
+    rows = marked(rows, own["begin"], begins, own["whole"], bits)
     digest = F.when(F.col(own["whole"]), F.unhex(F.sha2(F.col(own["text"]), 256)))
     row = stored(
         rows.select(

@@ -12,8 +12,7 @@ Each distinct line is signed once for a task and compared once: equal lines meet
 combinable count, never in a group. A bucket of a band above ``tile`` lines is cut into
 tiles that meet in pairs. Within a pair of tiles a line is compared with components, until one member of
 each is like it, so a dense bucket costs about one comparison for each line. Most pairs that are not alike are told
-apart by a bitmap of their shingles, the others by sorted shingle hashes, and what these call alike is
-confirmed on the shingles themselves. Buckets of the same
+apart by bitmaps of their shingles, the others are compared by the shingles themselves. Buckets of the same
 lines in several bands are compared once. Texts are fetched for candidates only: a bit set of
 fixed size tells the tasks which lines to send, and a join by hash takes out its false hits.
 """
@@ -30,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.bits import bit_words, marked
 from shelfmark.llm.common import fresh, stored
 from shelfmark.llm.components import UNITED_AT_ONCE, Forest, components
 
@@ -43,8 +43,8 @@ HINT_BITS = 1 << 26
 #: Characters signed at a time, and lines a task remembers; they bound memory, not results.
 SIGNED_AT_ONCE = 1 << 15
 REMEMBERED = 1 << 17
-#: Shingles whose hashes a task holds, of lines that may come again; 8 bytes each.
-HELD_SHINGLES = 1 << 21
+#: Characters of lines that a task holds because they may come again.
+HELD_CHARS = 1 << 23
 #: Cells of the bitmap of a line's shingles, and pairs found unlike that a task remembers.
 CELLS = 2048
 REMEMBERED_PAIRS = 1 << 17
@@ -130,7 +130,7 @@ def _signed(size: int, bands: int, rows: int):
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for frame in frames:
-            ids, numbers, hashes, at, fresh, chars = [], [], [], [], [], 0
+            ids, numbers, hashes, at, fresh, chars, repeats = [], [], [], [], [], 0, []
             keys: list = []
 
             def sign(fresh, keys):
@@ -141,11 +141,13 @@ def _signed(size: int, bands: int, rows: int):
                 if not text:
                     continue
                 own: set[int] = set()
+                start = len(ids)
                 for number, line in enumerate(text.split("\n")):
                     if not (line := normalised(line)):
                         continue
                     h = line_hash(line)
                     if h in own:
+                        repeats.append(start)
                         continue
                     own.add(h)
                     if h not in seen:
@@ -165,8 +167,11 @@ def _signed(size: int, bands: int, rows: int):
             column = np.full(len(ids), None, object)
             for i, key in zip(at, keys, strict=True):
                 column[i] = key
+            # On a document's first row: whether one of its lines comes again in it.
+            again = np.zeros(len(ids), bool)
+            again[repeats] = True
             yield pd.DataFrame(
-                {"id": pd.Series(ids, dtype=object), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column}
+                {"id": pd.Series(ids, dtype=object), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column, "again": again}
             )
 
     return mapped
@@ -214,10 +219,11 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
 
 
 class Line(NamedTuple):
-    """A line as it is compared: its sorted shingle hashes and a bitmap of the cells these fall into."""
+    """A line as it is compared: how many shingles it has with repeats, a bitmap of the cells these fall into, and its cells."""
 
     text: str
-    hashes: np.ndarray
+    shingles: int
+    bitmap: int
     cells: int
 
     @staticmethod
@@ -226,16 +232,11 @@ class Line(NamedTuple):
         for line in [*lines, None]:
             if batch and (line is None or chars + len(line) > SIGNED_AT_ONCE):
                 hashes, owner = _shingle_hashes(batch, size)
-                order = np.lexsort((hashes, owner))
-                hashes, owner = hashes[order], owner[order]
-                first = np.ones(len(hashes), bool)
-                first[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
-                hashes, owner = hashes[first], owner[first]
                 cells = np.zeros((len(batch), CELLS), bool)
                 cells[owner, (hashes % np.uint64(CELLS)).astype(np.int64)] = True
-                edges = np.searchsorted(owner, np.arange(len(batch) + 1))
+                shingles, filled = np.bincount(owner).tolist(), cells.sum(axis=1).tolist()
                 for i, bits in enumerate(np.packbits(cells, axis=1)):
-                    yield Line(batch[i], hashes[edges[i] : edges[i + 1]].copy(), int.from_bytes(bits.tobytes(), "big"))
+                    yield Line(batch[i], shingles[i], int.from_bytes(bits.tobytes(), "big"), filled[i])
                 chars, batch = 0, []
             if line is not None:
                 batch.append(line)
@@ -243,13 +244,15 @@ class Line(NamedTuple):
 
 
 def _alike(similarity: float, size: int):
+    most, least = 1 / (1 + similarity), similarity / (1 + similarity)
+
     def alike(left: Line, right: Line) -> bool:
-        a, b = len(left.hashes), len(right.hashes)
-        # So many shingles at least are shared, so many at most on one side only; a cell that one side has alone holds such a one.
-        shared = similarity / (1 + similarity) * (a + b) * (1 - 1e-12)
-        if min(a, b) < shared or (left.cells & ~right.cells).bit_count() > a - shared or (right.cells & ~left.cells).bit_count() > b - shared:
+        # At the similarity one side has at most so many shingles that the other lacks; each cell that only it fills holds one.
+        spare = most * left.shingles - least * right.cells + 1e-6
+        if (left.bitmap & ~right.bitmap).bit_count() > spare:
             return False
-        if len(np.intersect1d(left.hashes, right.hashes, assume_unique=True)) < shared:
+        spare = most * right.shingles - least * left.cells + 1e-6
+        if (right.bitmap & ~left.bitmap).bit_count() > spare:
             return False
         own, other = shingle_set(left.text, size), shingle_set(right.text, size)
         common = len(own & other)
@@ -269,11 +272,11 @@ def _verified(size: int, similarity: float):
             for frame in frames:
                 texts = dict(zip(frame["h"].tolist(), frame["line"].tolist(), strict=True))
                 new = [h for h in texts if h not in known]
-                if held > HELD_SHINGLES:
+                if held > HELD_CHARS:
                     known.clear()
                     held, new = 0, list(texts)
                 known.update(zip(new, Line.cut([texts[h] for h in new], size), strict=True))
-                held += sum(len(known[h].hashes) for h in new)
+                held += sum(len(texts[h]) for h in new)
                 for *group, slot, h in zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h")), strict=True):
                     yield (*group, slot, h, known[h])
 
@@ -321,7 +324,10 @@ def line_links(
     banded = signed.where("bands IS NOT NULL").select("h", F.explode("bands").alias("bucket"))
     # A line may have been signed in several tasks; a bucket needs two different ones.
     shared = banded.groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
-    members = stored(banded.join(shared.select("bucket"), "bucket").distinct(), "bands")
+    shared = stored(shared.select("bucket"), "shared")
+    hint = stored(bit_words(shared.withColumnRenamed("bucket", "key")), "shared_bits")
+    near = marked(banded, "bucket", hint, "shared").where("shared").select("h", "bucket")
+    members = stored(near.join(shared, "bucket", "left_semi").distinct(), "bands")
     # Buckets that hold the same lines in several bands are compared once.
     sizes = (
         members.groupBy("bucket")
@@ -346,20 +352,19 @@ def line_links(
     )
 
 
+def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``id, line_no, h, bands, again`` of the distinct normalised lines of every document, stored."""
+    schema = "id string, line_no long, h long, bands array<long>, again boolean"
+    return stored(_texts(docs).mapInPandas(_signed(size, bands, rows), schema), "lines")
+
+
 def repeated_lines(
-    docs: DataFrame,
-    similarity: float = SIMILARITY,
-    size: int = SHINGLE_CHARS,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    tile: int = TILE,
-    hint_bits: int = HINT_BITS,
+    docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_CHARS, tile: int = TILE, hint_bits: int = HINT_BITS
 ) -> DataFrame:
     """``doc_id, line_hashes``: of each document the normalised lines whose group stays elsewhere.
 
     Repeats within a document are not listed; ``deduplicated`` drops them by itself.
     """
-    signed = stored(_texts(docs).mapInPandas(_signed(size, bands, rows), "id string, line_no long, h long, bands array<long>"), "lines")
     roots = stored(components(line_links(docs, signed, similarity, size, tile, hint_bits)), "roots").withColumnRenamed("node", "h")
     found = signed.selectExpr("cast(id as bigint) doc_id", "h")
     counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
@@ -400,20 +405,42 @@ def _rewritten(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "n_lines", "n_kept"]).astype({"n_lines": "int64", "n_kept": "int64"})
 
 
-def deduplicated(docs: DataFrame, **settings) -> DataFrame:
+def deduplicated(
+    docs: DataFrame,
+    similarity: float = SIMILARITY,
+    size: int = SHINGLE_CHARS,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    tile: int = TILE,
+    hint_bits: int = HINT_BITS,
+) -> DataFrame:
     """Every row of ``docs`` with its text rewritten, then ``n_lines`` and ``n_kept`` (long).
 
     Lines without a letter or sign stay as they are. A null text stays null, an empty one
     empty. Rows that repeat a doc_id count as one document: what stays in one stays in
     all. A null doc_id comes after every other. Further columns are passed on; columns named
-    ``n_lines`` or ``n_kept`` are replaced. An empty table gives an empty result.
+    ``n_lines`` or ``n_kept``, in any case, are replaced. An empty table gives an empty result.
+
+    Only documents that lose a line, as a bit set of their ids tells, are joined with the lines they lose; the
+    others pass where they are read.
     """
     known = docs.withColumn("doc_id", F.col("doc_id").cast("bigint"))
-    numbered = known.withColumn("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
-    gone_id, gone_lines, result = (fresh(docs, name) for name in ("gone_id", "gone_lines", "rewritten"))
-    gone = repeated_lines(numbered, **settings).select(F.col("doc_id").alias(gone_id), F.col("line_hashes").alias(gone_lines))
-    joined = known.join(gone, F.coalesce(known["doc_id"], F.lit((1 << 63) - 1)) == F.col(gone_id), "left")
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
+    own_id, gone_id, gone_lines, result, touched = (fresh(docs, name) for name in ("own_id", "gone_id", "gone_lines", "rewritten", "touched"))
+    key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    numbered = known.withColumn("doc_id", key)
+    signed = signed_lines(numbered, size, bands, rows)
+    gone = stored(repeated_lines(numbered, signed, similarity, size, tile, hint_bits), "gone")
+    ids = gone.select(F.col("doc_id").alias("key")).union(signed.where("again").selectExpr("cast(id as bigint) key"))
+    known = marked(known.withColumn(own_id, key), own_id, stored(bit_words(ids), "touched"), touched)
+
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
+    gone = gone.select(F.col("doc_id").alias(gone_id), F.col("line_hashes").alias(gone_lines))
     rewritten = F.pandas_udf(_rewritten, "struct<text:string,n_lines:long,n_kept:long>")
-    done = joined.withColumn(result, rewritten(F.col("text").cast("string"), F.col(gone_lines)))
-    return done.select(*(F.col(f"{result}.text").alias(c) if c == "text" else F.col(c) for c in kept), f"{result}.n_lines", f"{result}.n_kept")
+    changed = known.where(touched).join(gone, F.col(own_id) == F.col(gone_id), "left")
+    changed = changed.withColumn(result, rewritten(F.col("text").cast("string"), F.col(gone_lines)))
+    text = F.col("text").cast("string")
+    lines = F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long")
+    same = known.where(~F.col(touched)).select(*(text.alias(c) if c == "text" else F.col(c) for c in kept), lines.alias("n_lines"), lines.alias("n_kept"))
+    return same.union(
+        changed.select(*(F.col(f"{result}.text").alias(c) if c == "text" else F.col(c) for c in kept), f"{result}.n_lines", f"{result}.n_kept")
+    )
