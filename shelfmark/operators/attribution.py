@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.money import exponent_of, line_value, order_currency
 from shelfmark.functions.wire import join_ids
+from shelfmark.operators.scans import last_before
 from shelfmark.session import ensure_checkpoint_dir
 
 # Seconds a marker lives after its last mark, products it holds, length of
@@ -33,6 +34,17 @@ def sharing_stores(rows: DataFrame, settings: DataFrame) -> DataFrame:
     return rows.join(willing.select("store_id"), "store_id", "left_semi")
 
 
+def consenting(events: DataFrame, changes: DataFrame, at: str = "ts") -> DataFrame:
+    """Only events of stores that were connected and shared search data when they happened.
+
+    ``changes`` (store_id, ``at``, seq, connected, share_search_data) is the history of the settings; before its
+    first change a store is not connected.
+    """
+    history = changes.select("store_id", at, "seq", "connected", "share_search_data")
+    asked = last_before(events, history, ["store_id"], at, "_consent")
+    return asked.where("_consent.connected AND _consent.share_search_data").drop("_consent")
+
+
 def paid_lines(lines: DataFrame, orders: DataFrame, tax: str = "incl") -> DataFrame:
     """Parent lines with their currency and value in minor units. ``tax`` chooses the
     line total with or without tax."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.wire import classify, is_retry, order_ref, split_ids, wire_timestamp
@@ -69,3 +69,42 @@ def delivered_prefix(answers: DataFrame, per: str | None = None) -> DataFrame:
     firsts = retries.groupBy(per).agg(F.min("id").alias("_first"))
     before = F.col("_first").isNull() | (F.col("id") < F.col("_first"))
     return answers.join(firsts, per, "left").where(before).drop("_first")
+
+
+def report_flush(
+    reports: DataFrame, settings: DataFrame, answers: DataFrame, now: Column, limit: int = FLUSH_LIMIT
+) -> DataFrame:
+    """One flush of every store's reports (store_id, id, occurred_at, stored): each row and its ``outcome``.
+
+    A store that is not connected, or does not share, sends nothing: ``gated``. Reports older than the limit are ``abandoned``
+    first. Of the rest the first ``limit`` of a store are taken in id order; ``stored`` is the timestamp as it is kept, and one that cannot be
+    read is ``unreadable`` and goes. The others are sent up to the first answer that says "ask again": ``sent`` (accepted), ``dropped``
+    (refused on its merits), ``retry``. What is behind that, or beyond the limit, is ``waiting``. ``answers`` is (id, status); none is a retry.
+    """
+    willing = settings.where(F.col("connected") & F.col("share_search_data")).select("store_id", F.lit(True).alias("_open"))
+    open_ = F.coalesce("_open", F.lit(False))
+    rows = with_expiry(reports.join(willing, "store_id", "left"), now).withColumn("_takes", open_ & ~F.col("abandoned"))
+    # A rank with a limit: Spark keeps the first of each store in every task before it shuffles them.
+    in_line = Window.partitionBy("store_id").orderBy("id")
+    head = rows.where("_takes").select("store_id", "id", "stored").withColumn("_nth", F.row_number().over(in_line)).where(F.col("_nth") <= limit)
+    head = head.withColumn("_readable", wire_timestamp(F.col("stored")).isNotNull()).join(answers.select("id", "status"), "id", "left")
+    again = F.col("_readable") & F.coalesce(is_retry(F.col("status")), F.lit(True))
+    stopped = F.min(F.when(again, F.col("id"))).over(Window.partitionBy("store_id"))
+    head = head.withColumns({"_stop": stopped, "_again": again}).select("store_id", "id", "status", "_readable", "_stop", "_again")
+    reached = F.col("_readable").isNotNull() & (F.col("_stop").isNull() | (F.col("id") <= F.col("_stop")))
+    outcome = (
+        F.when(~open_, "gated")
+        .when(F.col("abandoned"), "abandoned")
+        .when(~F.coalesce(reached, F.lit(False)), "waiting")
+        .when(~F.col("_readable"), "unreadable")
+        .when(F.col("_again"), "retry")
+        .when(F.col("status").between(200, 299), "sent")
+        .otherwise("dropped")
+    )
+    flushed = rows.join(head, ["store_id", "id"], "left")
+    return flushed.select(*reports.columns, outcome.alias("outcome"))
+
+
+def reports_left(flushed: DataFrame) -> DataFrame:
+    """What a flush leaves, each row exactly as it was: the next attempt sends the same payload."""
+    return flushed.where(F.col("outcome").isin("gated", "waiting", "retry")).drop("outcome")

@@ -73,3 +73,27 @@ def max_before(
         .withColumn(name, F.greatest("_carried", "_inside"))
         .drop("_bucket", "_value", "_inside", "_carried")
     )
+
+
+def last_before(facts: DataFrame, changes: DataFrame, keys: list[str], at: str, name: str, bits: int = 36) -> DataFrame:
+    """``facts`` with the struct ``name`` of the change in force at their time: the last one of the same keys at or
+    before it, null where there is none.
+
+    ``at`` is a timestamp of both; of changes at one time the one with the greatest further columns counts. Time is cut
+    into buckets of 2**bits microseconds, so that no window holds more of a key than one bucket's rows
+    or one row for each of its buckets.
+    """
+    others = [column for column in changes.columns if column not in (*keys, at)]
+    state = F.struct(F.unix_micros(at).alias("_at"), *others)
+    moment = F.unix_micros(at)
+    cut = lambda rows: rows.withColumns({"_moment": moment, "_bucket": F.shiftright(moment, bits)})
+    held = cut(changes).select(*keys, "_moment", "_bucket", state.alias("_state"), F.lit(False).alias("_fact"))
+    rows = cut(facts).withColumns({"_state": F.lit(None).cast(held.schema["_state"].dataType), "_fact": F.lit(True)})
+    both = rows.unionByName(held, allowMissingColumns=True)
+    tops = both.groupBy(*keys, "_bucket").agg(F.max("_state").alias("_top"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*keys, "_bucket", F.max("_top").over(earlier).alias("_carried"))
+    inside = Window.partitionBy(*keys, "_bucket").orderBy("_moment", "_fact").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_inside", F.max("_state").over(inside)).where("_fact").join(carried, [*keys, "_bucket"])
+    force = F.coalesce("_inside", "_carried")
+    return found.select(*facts.columns, F.when(force.isNotNull(), F.struct(*(force[c].alias(c) for c in others))).alias(name))

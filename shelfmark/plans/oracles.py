@@ -333,6 +333,23 @@ ORACLES: dict[str, str] = {
     "order_line_values": "SELECT order_id, currency, count(*) AS lines, CAST(sum(without_tax) AS BIGINT) AS value_cents FROM o_line GROUP BY order_id, currency",
     "consent_gate": """SELECT event_id, session_id % 25 AS store_id, kind FROM shop_session_event
  WHERE session_id % 25 IN (SELECT store_id FROM shop_store_settings WHERE connected AND share_search_data)""",
+    "consent_as_of": """SELECT event_id, store_id, kind FROM (SELECT *, session_id % 25 AS store_id FROM shop_session_event) e
+ WHERE (SELECT connected AND share_search_data FROM shop_settings_change c WHERE c.store_id = e.store_id AND c.ts <= e.ts ORDER BY c.ts DESC, c.seq DESC LIMIT 1)""",
+    "store_views": """SELECT store_id, website_id, website_code, root_category_id, rtrim(base, '/') || '/' AS base_url, coalesce(nullif(media, ''), rtrim(base, '/') || '/media/') AS media_url,
+ upper(currency) AS currency, coalesce(nullif(suffix, ''), '.html') AS url_suffix FROM (SELECT s.*, """
+    + ", ".join(
+        f"coalesce((SELECT value FROM shop_scoped_config c WHERE c.scope = 'stores' AND c.scope_id = s.store_id AND c.path = '{path}'), "
+        f"(SELECT value FROM shop_scoped_config c WHERE c.scope = 'websites' AND c.scope_id = s.website_id AND c.path = '{path}'), "
+        f"(SELECT value FROM shop_scoped_config c WHERE c.scope = 'default' AND c.path = '{path}')) AS {name}"
+        for name, path in (("base", "web/secure/base_url"), ("media", "web/secure/base_media_url"),
+                           ("currency", "currency/options/default"), ("suffix", "catalog/seo/product_url_suffix"))
+    )
+    + " FROM shop_store s) x",
+    "report_flush": f"""SELECT store_id, id, CASE WHEN NOT willing THEN 'gated' WHEN old THEN 'abandoned' WHEN nth > 10 OR stops > 1 OR (stops = 1 AND NOT again) THEN 'waiting'
+ WHEN spoilt THEN 'unreadable' WHEN again THEN 'retry' WHEN status BETWEEN 200 AND 299 THEN 'sent' ELSE 'dropped' END AS outcome
+ FROM (SELECT *, sum(CASE WHEN again AND takes AND nth <= 10 THEN 1 ELSE 0 END) OVER (PARTITION BY store_id, takes ORDER BY id) AS stops
+  FROM (SELECT *, willing AND NOT old AS takes, row_number() OVER (PARTITION BY store_id, willing AND NOT old ORDER BY id) AS nth, NOT spoilt AND {_retry} AS again
+   FROM (SELECT r.*, r.occurred_at < TIMESTAMP '2024-01-18 00:00:00' AS old, r.store_id IN (SELECT store_id FROM shop_store_settings WHERE connected AND share_search_data) AS willing FROM shop_report r) a) b) c""",
     "session_attribution": "SELECT session_id, order_id, item_id, product_id, currency, value_cents, q, epoch_us(ts) // 1000 AS ts FROM o_attributed",
     "order_reports": f"""SELECT *, {_order_ref} AS order_ref FROM (SELECT CAST(floor(order_id / 500) AS BIGINT) AS order_id, epoch_us(arg_min(ts, order_id)) // 1000 AS occurred_at, arg_min(currency, order_id) AS currency,
  arg_max(value_cents, order_id) AS value_cents, arg_max(CAST(product_id AS VARCHAR), order_id) AS item_ids, arg_max(q, order_id) AS q, count(*) AS writes FROM o_attributed GROUP BY 1) x""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions import money, text, wire
 from shelfmark.operators import (
     attribution, batches, categories, changes, content, delivery, drain, facets, indexing, locales, parents,
-    popularity, pricing, quality, queue, stock, variants,
+    popularity, pricing, quality, queue, settings, stock, variants,
 )
 from shelfmark.operators.ids import normalise_ids
 from shelfmark.operators.scope import scoped_attribute
@@ -30,6 +30,8 @@ EVENTS_NOW = "2024-01-31 00:00:00"
 # When the drain runs, and how many rows it takes at a time.
 DRAIN_NOW = "2024-01-30 12:00:00"
 DRAIN_SIZE = 20
+# When reports are flushed.
+FLUSH_NOW = "2024-01-25 00:00:00"
 CURRENCIES = ("USD", "JPY", "KWD")
 WALK_VERSION = 1_700_000_000_000
 LOCALE_SUFFIXES = ("", "_DE", "-gb", "_US", "_Latn_CH", "_FR", "_419", "_x")
@@ -579,6 +581,33 @@ def consent_gate(shop):
     return attribution.sharing_stores(rows, shop["store_settings"]).select("event_id", "store_id", "kind")
 
 
+@query
+def consent_as_of(shop):
+    """Session events of stores whose settings allowed it at that moment."""
+    at = {"ts": F.col("ts").cast("timestamp")}
+    rows = shop["session_event"].withColumns(at | {"store_id": F.col("session_id") % 25})
+    return attribution.consenting(rows, shop["settings_change"].withColumns(at)).select("event_id", "store_id", "kind")
+
+
+@query
+def store_views(shop):
+    return settings.store_views(shop["store"], shop["scoped_config"])
+
+
+def flushed(shop) -> DataFrame:
+    written = F.date_format("occurred_at", "yyyy-MM-dd HH:mm:ss")
+    reports = shop["report"].select(
+        "store_id", "id", "order_id", F.col("occurred_at").cast("timestamp").alias("occurred_at"),
+        F.when(F.col("spoilt"), F.replace(written, F.lit("-"), F.lit("/"))).otherwise(written).alias("stored"),
+    )
+    return delivery.report_flush(reports, shop["store_settings"], shop["report"], F.lit(FLUSH_NOW).cast("timestamp"))
+
+
+@query
+def report_flush(shop):
+    return flushed(shop).select("store_id", "id", "outcome")
+
+
 @query
 def session_attribution(shop):
     return session_lines(shop).withColumn("ts", wire.version_ms(F.col("ts")))

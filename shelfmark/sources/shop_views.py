@@ -130,6 +130,21 @@ SELECT CAST(event_id % 14 AS INT) AS table_no, (user_id * 13 + event_id) % 200 +
 SELECT * FROM (VALUES ('catalog/seo/product_url_suffix', 0, '.htm'), ('catalog/seo/product_url_suffix', 1, ''), ('web/secure/base_url', 0, 'x')) AS t(path, scope_id, value)""",
     "shop_store_settings": """
 SELECT n_nationkey AS store_id, n_nationkey % 3 <> 0 AS connected, n_nationkey % 5 <> 0 AS share_search_data FROM nation""",
+    "shop_settings_change": """
+SELECT user_id % 25 AS store_id, ts, event_id AS seq, event_id % 4 <> 0 AS connected, event_id % 3 <> 0 AS share_search_data FROM events WHERE event_type IN ('error', 'signup')""",
+    "shop_report": """
+SELECT user_id % 25 AS store_id, event_id + 1 AS id, event_id + 1 AS order_id, ts AS occurred_at, event_id % 9 = 0 AS spoilt,
+ CASE WHEN event_id % 23 = 1 THEN 429 WHEN event_id % 7 = 1 THEN 422 ELSE 202 END AS status FROM events WHERE event_type = 'purchase'""",
+    "shop_store": """
+SELECT n_nationkey AS store_id, n_regionkey AS website_id, concat('site', CAST(n_regionkey AS STRING)) AS website_code, n_nationkey % 3 + 2 AS root_category_id FROM nation""",
+    "shop_scoped_config": """
+SELECT 'default' AS scope, CAST(0 AS BIGINT) AS scope_id, path, value FROM (VALUES ('web/secure/base_url', 'https://shop.example'), ('currency/options/default', 'usd'),
+ ('catalog/seo/product_url_suffix', '.html')) AS t(path, value)
+ UNION ALL SELECT 'websites', r_regionkey, 'web/secure/base_url', concat('https://', lower(replace(r_name, ' ', '-')), '.example/') FROM region WHERE r_regionkey % 2 = 0
+ UNION ALL SELECT 'websites', r_regionkey, 'currency/options/default', CASE WHEN r_regionkey = 3 THEN 'EUR' ELSE 'JPY' END FROM region WHERE r_regionkey > 1
+ UNION ALL SELECT 'stores', n_nationkey, 'catalog/seo/product_url_suffix', CASE WHEN n_nationkey % 4 = 0 THEN '' ELSE '.htm' END FROM nation WHERE n_nationkey % 2 = 0
+ UNION ALL SELECT 'stores', n_nationkey, 'currency/options/default', CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE 'KWD' END FROM nation WHERE n_nationkey % 3 = 0
+ UNION ALL SELECT 'stores', n_nationkey, 'web/secure/base_media_url', concat('https://cdn', CAST(n_nationkey AS STRING), '.example/') FROM nation WHERE n_nationkey % 7 = 0""",
     "shop_document_write": """
 SELECT event_id + 1 AS arrival, (user_id * 13 + event_id) % 200 + 1 AS object_id, (event_id * 7919) % 1009 AS version, event_type AS body FROM events""",
     "shop_resync_poll": """
