@@ -503,6 +503,19 @@ def _low_counts(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": [_steps(codes)], "b": [_packed(counts.astype("<i8").tobytes())]})
 
 
+def _short(lengths: np.ndarray) -> bytes:
+    """Code lengths as their distinct values and the number of each: a bucket has few of them."""
+    values, at = np.unique(lengths, return_inverse=True)
+    kind = "<u2" if len(values) <= 1 << 16 else "<u4"
+    return _packed(np.array([len(values)], "<i8").tobytes() + values.astype("<f8").tobytes() + at.astype(kind).tobytes())
+
+
+def _lengths(short: bytes) -> np.ndarray:
+    raw = _unpacked(short)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    return np.frombuffer(raw, "<f8", n, 8)[np.frombuffer(raw, "<u2" if n <= 1 << 16 else "<u4", offset=8 + 8 * n)]
+
+
 def _measured(low):
     """Sums of one bucket of grams, and for each batch its grams with their code lengths."""
 
@@ -512,7 +525,7 @@ def _measured(low):
         five = Level(codes[known], counts[known])
         four = five.shorter(4)
         lengths = code_lengths(codes, [*low.value, four.shorter(3), four, five])
-        found = [_packed(lengths[np.searchsorted(codes, _codes(own))].astype("<f8").tobytes()) for own in rows["a"]]
+        found = [_short(lengths[np.searchsorted(codes, _codes(own))]) for own in rows["a"]]
         return pd.DataFrame({"batch": rows["batch"], "bucket": rows["bucket"], "a": rows["a"], "b": found})
 
     return answered
@@ -573,7 +586,7 @@ def _based(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 "n_tokens": sizes,
                 "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts),
                 "logs": np.add.reduceat(np.log10(counts + 1.0)[tokens], starts),
-                "score": _scores(texts, grams, np.concatenate([_unpacked(b, "<f8") for _, b in measured])),
+                "score": _scores(texts, grams, np.concatenate([_lengths(b) for _, b in measured])),
             }
         )
 
