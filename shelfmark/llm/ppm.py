@@ -9,7 +9,7 @@ with exclusion). A text's end is one more symbol, a zero byte.
 No context is dropped. A batch of texts sends each of its distinct grams once, with its count in training texts, to the
 bucket of the gram's last three context bytes; there stand all longer contexts with that ending, so the bucket adds up,
 finds the exact code length of every gram and answers every batch. Counts of order 2 and less, at most 2**24, are
-broadcast. ``Trie`` is a bounded table for use without Spark; ``scored`` does not use it.
+broadcast.
 
 Beside it stands a word baseline: add-one unigram counts of the training words. Words are counted by
 batches: a batch sends each of its distinct words once, to the bucket of the word's hash; buckets add
@@ -34,8 +34,6 @@ from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, whole_text
 
-CONTEXTS = {3: 16_384, 4: 32_768}
-NODES = 1 << 22
 ORDER = 5
 #: Words whose counts travel together; it bounds memory and leaves the result as it is.
 BATCH_TOKENS = 1_500_000
@@ -46,8 +44,6 @@ GRAMS_AT_ONCE = 1 << 21
 SCORED_AT_ONCE = 1 << 16
 #: Parts in which counts of order 2 are added up.
 LOW_PARTS = 16
-#: Parts in which contexts of order 5 are turned into values.
-DEEP_PARTS = 64
 #: Bytes of stored input for one bucket of words.
 BUCKET_BYTES = 16 << 20
 MAX_BUCKETS = 1 << 17
@@ -98,24 +94,6 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return codes[starts], np.add.reduceat(counts, starts)
 
 
-def rows_of(counts: list[np.ndarray]) -> np.ndarray:
-    """Probabilities of the 256 symbols for each row: ``counts`` from the longest context to the shortest."""
-    n = max(len(c) for c in counts)
-    found = np.zeros((n, 256))
-    left, open_symbols = np.ones((n, 1)), np.ones((n, 256), bool)
-    for table in counts:
-        seen = np.where(open_symbols, table, 0)
-        total, distinct = seen.sum(axis=1, keepdims=True), (seen > 0).sum(axis=1, keepdims=True)
-        # The last symbols that are open need no escape behind them; a context that says nothing is passed over.
-        halves = np.where(distinct == open_symbols.sum(axis=1, keepdims=True), 0, 0.5)
-        total = np.maximum(total, 1)
-        found = np.where(seen > 0, left * (seen - halves) / total, found)
-        left = np.where(distinct > 0, left * halves * distinct / total, left)
-        open_symbols &= seen == 0
-    rest = open_symbols.sum(axis=1, keepdims=True)
-    return np.where(open_symbols, left / np.maximum(rest, 1), found)
-
-
 class Level:
     """Counts of one order: ``codes`` (a context's bytes and a symbol), upwards, and sums by ``contexts``."""
 
@@ -187,197 +165,6 @@ def code_lengths(grams: np.ndarray, levels: list[Level]) -> np.ndarray:
     return np.log10(np.where(done, found, left / max(1, rest)))
 
 
-class Trie:
-    """Code lengths (log10 of probabilities) of a symbol after the longest known context.
-
-    ``low``: rows of the 256 contexts of order 1, then by order ``codes`` and ``rows``. ``deep``: for each context of
-    order 5 its code, the factor of symbols that its suffix has not seen, and the values of those it has.
-    """
-
-    def __init__(self, low: np.ndarray, codes: dict[int, np.ndarray], rows: dict[int, np.ndarray], seen: np.ndarray, deep: list[tuple]) -> None:
-        self.codes = codes
-        self.first = {2: 256, 3: 256 + len(codes[2]), 4: 256 + len(codes[2]) + len(codes[3])}
-        self.rows = np.concatenate([low, rows[2], rows[3], rows[4]]).astype(np.float32)
-        # For contexts of order 4 which of its symbols, counted upwards, a symbol is; 255 if it is none.
-        order = np.cumsum(seen, axis=1) - 1
-        self.ranks = np.where(seen, order, 255).astype(np.uint8)
-        self.deep_codes = np.array([code for code, _, _ in deep], np.int64)
-        self.deep_rest = np.array([rest for _, rest, _ in deep] or [0], np.float32)
-        sizes = np.array([len(values) for _, _, values in deep], np.int64)
-        self.deep_start = np.cumsum(sizes) - sizes
-        self.deep_values = np.frombuffer(b"".join(v.tobytes() for _, _, v in deep) or b"\0\0\0\0", np.float32)
-
-    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """By three bytes a row, or below 0 a node of order 3; by such a node and a byte a row; by a row of order 4 and a byte a deep context."""
-        of2 = np.tile(np.arange(256, dtype=np.int32), 256)
-        of2[self.codes[2]] = self.first[2] + np.arange(len(self.codes[2]))
-        of3 = np.tile(of2, 256)
-        of3[self.codes[3]] = -1 - np.arange(len(self.codes[3]))
-        child = np.repeat(self.first[3] + np.arange(len(self.codes[3]), dtype=np.int32), 256).reshape(-1, 256)
-        parent = -1 - of3[self.codes[4] & 0xFFFFFF]
-        held = parent >= 0
-        child[parent[held], self.codes[4][held] >> 24] = (self.first[4] + np.arange(len(self.codes[4])))[held]
-        deep = np.full((max(1, len(self.codes[4])), 256), -1, np.int32)
-        if len(self.deep_codes):
-            at = np.searchsorted(self.codes[4], self.deep_codes & 0xFFFFFFFF)
-            deep[at, self.deep_codes >> 32] = np.arange(len(self.deep_codes))
-        return of3, child if len(child) else np.zeros((1, 256), np.int32), deep
-
-    def values(self, grams: np.ndarray, tables: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        of3, child, deep = tables
-        symbol = (grams & np.uint64(255)).astype(np.int64)
-        row = of3[((grams >> np.uint64(8)) & np.uint64(0xFFFFFF)).astype(np.int64)]
-        inner = np.flatnonzero(row < 0)
-        row[inner] = child[-1 - row[inner], ((grams[inner] >> np.uint64(32)) & np.uint64(255)).astype(np.int64)]
-        found = self.rows[row, symbol].astype(np.float64)
-        fourth = np.flatnonzero(row >= self.first[4])
-        node = deep[row[fourth] - self.first[4], (grams[fourth] >> np.uint64(40)).astype(np.int64)]
-        fourth, node = fourth[node >= 0], node[node >= 0]
-        rank = self.ranks[row[fourth] - self.first[4], symbol[fourth]]
-        known = rank < 255
-        found[fourth[known]] = self.deep_values[self.deep_start[node[known]] + rank[known]]
-        found[fourth[~known]] += self.deep_rest[node[~known]]
-        return found
-
-    def scores(self, texts: list[bytes], tables: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-        """log10 of the probability of each text with its end."""
-        out = np.zeros(len(texts))
-        for i, text in enumerate(texts):
-            data = START + text + END
-            for at in range(0, len(data) - ORDER, SCORED_AT_ONCE):
-                out[i] += self.values(_grams(data[at : at + SCORED_AT_ONCE + ORDER]), tables).sum()
-        return out
-
-
-def _suffix_rows(low: np.ndarray, lowest: np.ndarray):
-    """Rows of all contexts of orders 2 to 4 that end in the same two bytes, from their five-byte grams."""
-
-    def built(counts: pd.DataFrame) -> pd.DataFrame:
-        gram, n = counts["gram"].to_numpy(), counts["n"].to_numpy()
-        symbol = gram & 255
-        suffix = int((gram[0] >> 8) & 0xFFFF)
-        two = np.zeros((1, 256))
-        np.add.at(two[0], symbol, n)
-        below = [low[None, suffix & 255], lowest[None]]
-        out = [(2, suffix, np.log10(rows_of([two, *below])[0]), b"")]
-        codes3, at3 = np.unique((gram >> 8) & 0xFFFFFF, return_inverse=True)
-        three = np.zeros((len(codes3), 256))
-        np.add.at(three, (at3, symbol), n)
-        chosen3 = np.zeros(len(codes3), bool)
-        chosen3[at3] = counts["chosen3"].to_numpy()
-        if chosen3.any():
-            rows = np.log10(rows_of([three[chosen3], two, *below]))
-            out += [(3, int(code), row, b"") for code, row in zip(codes3[chosen3], rows, strict=True)]
-        own = counts["chosen4"].to_numpy()
-        if own.any():
-            codes4, at4 = np.unique(gram[own] >> 8, return_inverse=True)
-            four = np.zeros((len(codes4), 256))
-            four[at4, symbol[own]] = n[own]
-            parents = three[np.searchsorted(codes3, codes4 & 0xFFFFFF)]
-            rows = np.log10(rows_of([four, parents, two, *below]))
-            out += [(4, int(code), row, np.packbits(seen > 0).tobytes()) for code, row, seen in zip(codes4, rows, four, strict=True)]
-        columns = {"kind": [o[0] for o in out], "code": [o[1] for o in out], "row": [o[2].astype("<f4").tobytes() for o in out]}
-        return pd.DataFrame(columns | {"seen": [o[3] for o in out]})
-
-    return built
-
-
-def _deep_rows(counts: pd.DataFrame) -> pd.DataFrame:
-    """Contexts of order 5 from rows of their six-byte grams, and of the five-byte grams (``deep`` false) of their suffixes."""
-    own = counts[~counts["deep"]].sort_values("gram")
-    grams4, n4 = own["gram"].to_numpy(), own["n"].to_numpy().astype(float)
-    codes4, start4, width4 = np.unique(grams4 >> 8, return_index=True, return_counts=True)
-    deep = counts[counts["deep"]].sort_values("gram")
-    grams5, n5 = deep["gram"].to_numpy(), deep["n"].to_numpy().astype(float)
-    codes5, at5, distinct = np.unique(grams5 >> 8, return_inverse=True, return_counts=True)
-    parent = np.searchsorted(codes4, codes5 & 0xFFFFFFFF)
-    width = width4[parent]
-    start = np.cumsum(width) - width
-    # A place for each symbol of the suffix, in its order.
-    owner = np.repeat(np.arange(len(codes5)), width)
-    beside = n4[np.arange(len(owner)) - start[owner] + start4[parent][owner]]
-    rank = np.searchsorted(grams4, grams5 & 0xFFFFFFFFFF) - start4[parent][at5]
-    seen = np.zeros(len(owner))
-    seen[start[at5] + rank] = n5
-    total = np.bincount(at5, n5, len(codes5))
-    escape = distinct / (2 * total)
-    left = np.bincount(owner, np.where(seen > 0, 0, beside), len(codes5))
-    left_symbols = width - distinct
-    values = np.where(seen > 0, (seen - 0.5) / total[owner], escape[owner] * (beside - 0.5) / np.maximum(left[owner], 1))
-    rest = np.where(left_symbols > 0, escape * left_symbols / (2 * np.maximum(left, 1)), escape)
-    # The suffix's own row has its escape in it already.
-    total4 = np.add.reduceat(n4, start4)[parent]
-    rest = np.log10(rest * 2 * total4 / width)
-    logs = np.log10(values).astype("<f4")
-    cut = [logs[a : a + b].tobytes() for a, b in zip(start.tolist(), width.tolist(), strict=True)]
-    return pd.DataFrame({"code": codes5, "rest": rest, "vals": cut})
-
-
-def _frequent(contexts: DataFrame, most: int) -> DataFrame:
-    return stored(contexts.orderBy(F.desc("total"), "context").limit(most).select("context"), "contexts")
-
-
-def _at_most(contexts: DataFrame, nodes: int) -> DataFrame:
-    """Contexts (``context, total, size``) down to the frequency, a power of two, at which their sizes add up to ``nodes``."""
-    sizes = contexts.groupBy(F.expr("cast(floor(log2(total)) as int)").alias("level")).agg(F.sum("size").alias("size")).collect()
-    least, held = 64, 0
-    for row in sorted(sizes, key=lambda row: -row["level"]):
-        held += row["size"]
-        if held > nodes:
-            break
-        least = row["level"]
-    return contexts.where(F.expr(f"floor(log2(total)) >= {least}")).select("context")
-
-
-def trie_of(grams: DataFrame, contexts: dict[int, int] | None = None, nodes: int = NODES) -> Trie:
-    """A trie from ``gram, n``; what reaches the driver is what the bounds of ``contexts`` and ``nodes`` allow."""
-    contexts = contexts or CONTEXTS
-    fives = stored(grams.groupBy(F.expr("gram & 1099511627775").alias("gram")).agg(F.sum("n").alias("n")), "fives")
-    last = fives.groupBy(F.expr("gram & 65535").alias("pair")).agg(F.sum("n").alias("n")).toPandas()
-    low = np.zeros((256, 256))
-    low[last["pair"].to_numpy() >> 8, last["pair"].to_numpy() & 255] = last["n"].to_numpy()
-    lowest = low.sum(axis=0)
-    three, four = "shiftright(gram, 8) & 16777215", "shiftright(gram, 8)"
-    totals = lambda code: fives.groupBy(F.expr(code).alias("context")).agg(F.sum("n").alias("total"))
-    chosen3 = _frequent(totals(three), contexts[3])
-    # A node of order 4 hangs on one of order 3.
-    below = totals(four).join(chosen3.select(F.col("context").alias("below")), F.expr("context & 16777215") == F.col("below"), "left_semi")
-    chosen4 = _frequent(below, contexts[4])
-    marked = (
-        fives.withColumns({"c3": F.expr(three), "c4": F.expr(four)})
-        .join(chosen3.select(F.col("context").alias("c3"), F.lit(True).alias("chosen3")), "c3", "left")
-        .join(chosen4.select(F.col("context").alias("c4"), F.lit(True).alias("chosen4")), "c4", "left")
-        .na.fill(False, ["chosen3", "chosen4"])
-    )
-    built = (
-        marked.select("gram", "n", "chosen3", "chosen4", F.expr("shiftright(gram, 8) & 65535").alias("suffix"))
-        .groupBy("suffix")
-        .applyInPandas(_suffix_rows(low, lowest), "kind int, code long, row binary, seen binary")
-        .toPandas()
-        .sort_values(["kind", "code"])
-    )
-    # What a deep context costs is a value for each symbol that its suffix has seen.
-    six = grams.withColumns({"context": F.expr("shiftright(gram, 8)"), "c4": F.expr("shiftright(gram, 8) & 4294967295")})
-    own4 = fives.withColumn("c4", F.expr(four)).join(chosen4.select(F.col("context").alias("c4")), "c4")
-    widths = own4.groupBy("c4").agg(F.count(F.lit(1)).alias("size"))
-    deep = six.groupBy("context", "c4").agg(F.sum("n").alias("total")).join(widths, "c4").select("context", "total", "size")
-    deep = _at_most(stored(deep, "deep"), nodes)
-    rows = six.join(deep, "context").select("c4", "gram", "n", F.lit(True).alias("deep"))
-    rows = rows.union(own4.join(deep.select(F.expr("context & 4294967295").alias("c4")).distinct(), "c4", "left_semi").select("c4", "gram", "n", F.lit(False)))
-    # The number of all these rows is bounded by ``nodes`` and ``contexts``, so a share of them is too.
-    found = rows.groupBy(F.pmod(F.xxhash64("c4"), F.lit(DEEP_PARTS)).alias("part")).applyInPandas(_deep_rows, "code long, rest double, vals binary").toPandas()
-    kinds = {kind: built[built["kind"] == kind] for kind in (2, 3, 4)}
-    table = {kind: np.frombuffer(b"".join(own["row"]), "<f4").reshape(-1, 256) for kind, own in kinds.items()}
-    bits = np.frombuffer(b"".join(kinds[4]["seen"]), np.uint8).reshape(-1, 32)
-    return Trie(
-        np.log10(rows_of([low, np.tile(lowest, (256, 1))])),
-        {kind: own["code"].to_numpy(np.int64) for kind, own in kinds.items()},
-        table,
-        np.unpackbits(bits, axis=1).astype(bool),
-        [(code, rest, np.frombuffer(values, "<f4")) for code, rest, values in zip(found["code"], found["rest"], found["vals"], strict=True)],
-    )
-
-
 def _text(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 

@@ -99,19 +99,19 @@ def test_scores_use_every_context(spark):
     assert found == {i: pytest.approx(model.score(t.encode()), rel=1e-9) for i, t in rows}
 
 
-def test_a_bounded_trie_stays_a_distribution(spark):
+def test_code_lengths_are_a_distribution():
+    """After every context, met or not, the probabilities of all symbols add up to 1."""
     grams = Counter()
     for _, t in texts():
         data = b"\0" * 5 + (t or "").encode()[:500] + b"\0"
         grams.update(int.from_bytes(data[i : i + 6], "big") for i in range(len(data) - 5))
-    table = spark.createDataFrame(list(grams.items()), "gram long, n long")
-    trie = ppm.trie_of(table, {3: 40, 4: 25}, 200)
-    assert len(trie.codes[3]) == 40 and len(trie.codes[4]) == 25 and 0 < len(trie.deep_values) <= 200
-    tables = trie.tables()
-    for gram in random.Random(1).sample(sorted(grams), 200):
-        context = np.uint64(gram & ~255)
-        values = trie.values(context + np.arange(256, dtype=np.uint64), tables)
-        assert (10.0**values).sum() == pytest.approx(1, abs=1e-4)
+    codes = np.array(sorted(grams), np.int64)
+    levels = [ppm.Level(codes, np.array([grams[c] for c in codes.tolist()], np.int64))]
+    for order in range(4, -1, -1):
+        levels.insert(0, levels[0].shorter(order))
+    for gram in random.Random(1).sample(codes.tolist(), 200):
+        lengths = ppm.code_lengths((gram & ~255) + np.arange(256, dtype=np.int64), levels)
+        assert (10.0**lengths).sum() == pytest.approx(1, abs=1e-9)
 
 
 def plain_edited(rows):
