@@ -12,7 +12,8 @@ Each distinct line is signed once for a task and compared once: equal lines meet
 combinable count, never in a group. A bucket of a band above ``tile`` lines is cut into
 tiles that meet in pairs. Within a pair of tiles a line is compared with components, until one member of
 each is like it, so a dense bucket costs about one comparison for each line. Most pairs that are not alike are told
-apart by bitmaps of their shingles, the others are compared by the shingles themselves. Buckets of the same
+apart by bitmaps of their shingles, the others are compared by the shingles' 64-bit hashes, and near the threshold by the
+shingles themselves. Buckets of the same
 lines in several bands are compared once. Texts are fetched for candidates only: a bit set of
 fixed size tells the tasks which lines to send, and a join by hash takes out its false hits.
 """
@@ -21,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import groupby
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -218,13 +218,19 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
     return lines.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
-class Line(NamedTuple):
-    """A line as it is compared: how many shingles it has with repeats, a bitmap of the cells these fall into, and its cells."""
+class Line:
+    """A line as it is compared: the hashes of its shingles, a bitmap of the cells these fall into, and how many cells."""
 
-    text: str
-    shingles: int
-    bitmap: int
-    cells: int
+    __slots__ = ("bitmap", "cells", "hashes", "sorted", "text")
+
+    def __init__(self, text: str, hashes: np.ndarray, bitmap: int, cells: int) -> None:
+        self.text, self.hashes, self.bitmap, self.cells, self.sorted = text, hashes, bitmap, cells, False
+
+    def distinct(self) -> np.ndarray:
+        """Sorted distinct hashes, made when first asked for."""
+        if not self.sorted:
+            self.hashes, self.sorted = np.unique(self.hashes), True
+        return self.hashes
 
     @staticmethod
     def cut(lines: list[str], size: int) -> Iterator[Line]:
@@ -234,9 +240,10 @@ class Line(NamedTuple):
                 hashes, owner = _shingle_hashes(batch, size)
                 cells = np.zeros((len(batch), CELLS), bool)
                 cells[owner, (hashes % np.uint64(CELLS)).astype(np.int64)] = True
-                shingles, filled = np.bincount(owner).tolist(), cells.sum(axis=1).tolist()
+                ends, filled = np.cumsum(np.bincount(owner)).tolist(), cells.sum(axis=1).tolist()
                 for i, bits in enumerate(np.packbits(cells, axis=1)):
-                    yield Line(batch[i], shingles[i], int.from_bytes(bits.tobytes(), "big"), filled[i])
+                    own = hashes[ends[i - 1] if i else 0 : ends[i]].copy()
+                    yield Line(batch[i], own, int.from_bytes(bits.tobytes(), "big"), filled[i])
                 chars, batch = 0, []
             if line is not None:
                 batch.append(line)
@@ -248,12 +255,18 @@ def _alike(similarity: float, size: int):
 
     def alike(left: Line, right: Line) -> bool:
         # At the similarity one side has at most so many shingles that the other lacks; each cell that only it fills holds one.
-        spare = most * left.shingles - least * right.cells + 1e-6
-        if (left.bitmap & ~right.bitmap).bit_count() > spare:
+        if (left.bitmap & ~right.bitmap).bit_count() > most * len(left.hashes) - least * right.cells + 1e-6:
+            return False
+        if (right.bitmap & ~left.bitmap).bit_count() > most * len(right.hashes) - least * left.cells + 1e-6:
             return False
-        spare = most * right.shingles - least * left.cells + 1e-6
-        if (right.bitmap & ~left.bitmap).bit_count() > spare:
+        a, b = left.distinct(), right.distinct()
+        if min(len(a), len(b)) < 0.99 * similarity * max(len(a), len(b)):
             return False
+        at = np.searchsorted(a, b)
+        shared = int((a[np.minimum(at, len(a) - 1)] == b).sum())
+        found = shared / (len(a) + len(b) - shared)
+        if abs(found - similarity) > 0.01:
+            return found > similarity
         own, other = shingle_set(left.text, size), shingle_set(right.text, size)
         common = len(own & other)
         return common >= similarity * (len(own) + len(other) - common)
