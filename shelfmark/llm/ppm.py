@@ -206,12 +206,18 @@ def _dealt(kind: str, name: str, of: np.ndarray, codes: np.ndarray, counts: np.n
     ]
 
 
+def _by_bucket(words: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every word, and the order in which a batch sends its words."""
+    of = np.fromiter((zlib.crc32(word) % buckets for word in words), np.int64, len(words))
+    return of, np.argsort(of, kind="stable")
+
+
 def _gathered(folds: int, held_fold: int, buckets: int):
     """Batches: their texts, their grams and words by bucket, and the word numbers of their documents."""
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         numbers: dict[bytes, int] = {b"": 0}
-        tokens, trained, docs = array("I"), array("I"), []
+        trained, docs, n_tokens = array("I"), [], 0
         texts: list[bytes] = []
         learnt: list[bool] = []
         size = 0
@@ -227,14 +233,11 @@ def _gathered(folds: int, held_fold: int, buckets: int):
             return [*rows, ("texts", name, -1, _packed(b"".join(texts)), _packed(sizes.tobytes()))]
 
         def batch() -> list[tuple]:
-            nonlocal numbers, tokens, trained, docs, size
+            nonlocal numbers, trained, docs, size, n_tokens
             if not docs:
                 return []
             name, words = uuid.uuid4().hex, list(numbers)
-            of = np.fromiter((zlib.crc32(word) % buckets for word in words), np.int64, len(words))
-            order = np.argsort(of, kind="stable")
-            rank = np.empty(len(words), np.uint32)
-            rank[order] = np.arange(len(words), dtype=np.uint32)
+            of, order = _by_bucket(words, buckets)
             counts = np.bincount(np.frombuffer(trained, np.uint32), minlength=len(words)) if trained else np.zeros(len(words), np.int64)
             ends = np.append(np.flatnonzero(np.diff(of[order])) + 1, len(words))
             rows, start = [], 0
@@ -243,10 +246,8 @@ def _gathered(folds: int, held_fold: int, buckets: int):
                 text = b"\n".join([words[i] for i in own])
                 rows.append(("words", name, int(of[own[0]]), _packed(text), _packed(counts[own].astype("<u4").tobytes())))
                 start = end
-            head = json.dumps([doc_id for doc_id, _ in docs]).encode()
-            body = np.array([n for _, n in docs], "<u4").tobytes() + rank[np.frombuffer(tokens, np.uint32)].astype("<u4").tobytes()
-            rows.append(("docs", name, -1, _packed(head), _packed(body)))
-            numbers, tokens, trained, docs = {b"": 0}, array("I"), array("I"), []
+            rows.append(("docs", name, -1, _packed(json.dumps(docs).encode()), None))
+            numbers, trained, docs, n_tokens = {b"": 0}, array("I"), [], 0
             rows += grams(name)
             texts.clear()
             learnt.clear()
@@ -261,14 +262,14 @@ def _gathered(folds: int, held_fold: int, buckets: int):
                 words = data.lower().split()
                 own = array("I", [numbers.setdefault(word, len(numbers)) for word in words])
                 own.append(0)
-                tokens.extend(own)
-                docs.append((doc_id, len(own)))
+                n_tokens += len(own)
+                docs.append(doc_id)
                 texts.append(data)
                 size += len(data)
                 learnt.append(zlib.crc32((doc_id or "").encode()) % folds != held_fold)
                 if learnt[-1]:
                     trained.extend(own)
-                if len(tokens) >= BATCH_TOKENS:
+                if n_tokens >= BATCH_TOKENS:
                     yield pd.DataFrame(batch(), columns=["kind", "batch", "bucket", "a", "b"])
         yield pd.DataFrame(batch(), columns=["kind", "batch", "bucket", "a", "b"])
 
@@ -347,35 +348,54 @@ def _scores(texts: list[bytes], grams: pd.Index, lengths: np.ndarray) -> np.ndar
     return out
 
 
-def _based(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The results of a batch: rows come sorted by batch and part, documents, sums of their words, texts, code lengths of their grams."""
+def _based(buckets: int):
+    """The results of a batch: rows come sorted by batch and part, ids, sums of the words, texts, code lengths of the grams.
 
-    def rows():
-        for frame in frames:
-            yield from zip(frame["batch"], frame["part"], frame["a"], frame["b"], strict=True)
-
-    for _, group in groupby(rows(), key=lambda row: row[0]):
-        parts: dict[int, list[tuple]] = {part: [] for part in range(4)}
-        for _, part, a, b in group:
-            parts[part].append((a, b))
-        ((head, body),), answers, ((joined, lengths),), measured = parts.values()
-        docs = json.loads(_unpacked(head))
-        values = _unpacked(body, "<u4")
-        sizes, tokens = values[: len(docs)].astype(np.int64), values[len(docs) :]
-        counts = np.concatenate([_unpacked(a, "<i8") for a, _ in answers])
-        starts = np.cumsum(sizes) - sizes
-        whole, ends = _unpacked(joined), np.cumsum(_unpacked(lengths, "<i8")).tolist()
-        texts = [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        grams = pd.Index(np.concatenate([_codes(a) for a, _ in measured]))
-        yield pd.DataFrame(
-            {
-                "id": pd.Series(docs, dtype=object),
-                "n_tokens": sizes,
-                "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts),
-                "logs": np.add.reduceat(np.log10(counts + 1.0)[tokens], starts),
-                "score": _scores(texts, grams, np.concatenate([_lengths(b) for _, b in measured])),
-            }
-        )
+    What a text can tell again, its words and their numbers, is not sent beside it.
+    """
+
+    def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of tokens of each text, and the place of every token's word among the sums."""
+        numbers: dict[bytes, int] = {b"": 0}
+        tokens, sizes = array("I"), []
+        for text in texts:
+            words = text.lower().split()
+            tokens.extend([numbers.setdefault(word, len(numbers)) for word in words])
+            tokens.append(0)
+            sizes.append(len(words) + 1)
+        _, order = _by_bucket(list(numbers), buckets)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return np.array(sizes, np.int64), rank[np.frombuffer(tokens, np.uint32)]
+
+    def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def rows():
+            for frame in frames:
+                yield from zip(frame["batch"], frame["part"], frame["a"], frame["b"], strict=True)
+
+        for _, group in groupby(rows(), key=lambda row: row[0]):
+            parts: dict[int, list[tuple]] = {part: [] for part in range(4)}
+            for _, part, a, b in group:
+                parts[part].append((a, b))
+            ((head, _),), answers, ((joined, lengths),), measured = parts.values()
+            docs = json.loads(_unpacked(head))
+            whole, ends = _unpacked(joined), np.cumsum(_unpacked(lengths, "<i8")).tolist()
+            texts = [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+            sizes, tokens = tokens_of(texts)
+            counts = np.concatenate([_unpacked(a, "<i8") for a, _ in answers])
+            starts = np.cumsum(sizes) - sizes
+            grams = pd.Index(np.concatenate([_codes(a) for a, _ in measured]))
+            yield pd.DataFrame(
+                {
+                    "id": pd.Series(docs, dtype=object),
+                    "n_tokens": sizes,
+                    "n_known": np.add.reduceat((counts > 0)[tokens].astype(np.int64), starts),
+                    "logs": np.add.reduceat(np.log10(counts + 1.0)[tokens], starts),
+                    "score": _scores(texts, grams, np.concatenate([_lengths(b) for _, b in measured])),
+                }
+            )
+
+    return mapped
 
 
 def scored(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
@@ -410,7 +430,7 @@ def scored(docs: DataFrame, folds: int = 7, held_fold: int = 2) -> DataFrame:
     parts = [part.withColumn("part", F.lit(i)) for i, part in enumerate((of("docs"), answers, of("texts"), measured))]
     both = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
     based = both.repartition("batch").sortWithinPartitions("batch", "part", "bucket")
-    based = based.mapInPandas(_based, "id string, n_tokens long, n_known long, logs double, score double")
+    based = based.mapInPandas(_based(buckets), "id string, n_tokens long, n_known long, logs double, score double")
     return based.select(
         F.col("id").cast("long").alias("doc_id"),
         (F.pmod(F.crc32(F.coalesce("id", F.lit(""))), F.lit(folds)) == held_fold).alias("held_out"),
