@@ -40,11 +40,12 @@ ROWS = 5
 TILE = 512
 #: Bits of the set that says which lines are candidates: 8 MB at any size of the corpus.
 HINT_BITS = 1 << 26
-#: Characters signed at a time, and lines a task remembers; they bound memory, not results.
+#: Characters signed at a time, lines sent on at a time and lines a task remembers; they bound memory, not results.
 SIGNED_AT_ONCE = 1 << 15
+LINES_AT_ONCE = 1 << 14
 REMEMBERED = 1 << 17
 #: Characters of lines that a task holds because they may come again.
-HELD_CHARS = 1 << 23
+HELD_CHARS = 1 << 20
 #: Cells of the bitmap of a line's shingles, and pairs found unlike that a task remembers.
 CELLS = 2048
 REMEMBERED_PAIRS = 1 << 17
@@ -127,52 +128,54 @@ def bands_of(lines: list[str], size: int = SHINGLE_CHARS, bands: int = BANDS, ro
 
 
 def _signed(size: int, bands: int, rows: int):
+    def signed(seen: set[int], texts: Iterator[tuple[str, str]]) -> pd.DataFrame:
+        """The distinct lines of the next documents, until they are ``LINES_AT_ONCE``."""
+        ids, numbers, hashes, at, fresh, chars, repeats = [], [], [], [], [], 0, []
+        keys: list[np.ndarray] = []
+        for doc_id, text in texts:
+            own: set[int] = set()
+            start = len(ids)
+            for number, line in enumerate(text.split("\n")):
+                if not (line := normalised(line)):
+                    continue
+                h = line_hash(line)
+                if h in own:
+                    repeats.append(start)
+                    continue
+                own.add(h)
+                if h not in seen:
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(h)
+                    at.append(len(ids))
+                    fresh.append(line)
+                    chars += len(line)
+                    if chars >= SIGNED_AT_ONCE:
+                        keys.append(bands_of(fresh, size, bands, rows))
+                        fresh, chars = [], 0
+                ids.append(doc_id)
+                numbers.append(number)
+                hashes.append(h)
+            if len(ids) >= LINES_AT_ONCE:
+                break
+        if fresh:
+            keys.append(bands_of(fresh, size, bands, rows))
+        column = np.full(len(ids), None, object)
+        for i, key in zip(at, (key for block in keys for key in block), strict=True):
+            column[i] = key
+        # On a document's first row: whether one of its lines comes again in it.
+        again = np.zeros(len(ids), bool)
+        again[repeats] = True
+        return pd.DataFrame(
+            {"id": pd.Series(ids, dtype=object), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column, "again": again}
+        )
+
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for frame in frames:
-            ids, numbers, hashes, at, fresh, chars, repeats = [], [], [], [], [], 0, []
-            keys: list = []
-
-            def sign(fresh, keys):
-                if fresh:
-                    keys.extend(bands_of(fresh, size, bands, rows).tolist())
-
-            for doc_id, text in zip(frame["id"], frame["text"], strict=True):
-                if not text:
-                    continue
-                own: set[int] = set()
-                start = len(ids)
-                for number, line in enumerate(text.split("\n")):
-                    if not (line := normalised(line)):
-                        continue
-                    h = line_hash(line)
-                    if h in own:
-                        repeats.append(start)
-                        continue
-                    own.add(h)
-                    if h not in seen:
-                        if len(seen) >= REMEMBERED:
-                            seen.clear()
-                        seen.add(h)
-                        at.append(len(ids))
-                        fresh.append(line)
-                        chars += len(line)
-                        if chars >= SIGNED_AT_ONCE:
-                            sign(fresh, keys)
-                            fresh, chars = [], 0
-                    ids.append(doc_id)
-                    numbers.append(number)
-                    hashes.append(h)
-            sign(fresh, keys)
-            column = np.full(len(ids), None, object)
-            for i, key in zip(at, keys, strict=True):
-                column[i] = key
-            # On a document's first row: whether one of its lines comes again in it.
-            again = np.zeros(len(ids), bool)
-            again[repeats] = True
-            yield pd.DataFrame(
-                {"id": pd.Series(ids, dtype=object), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column, "again": again}
-            )
+            texts = ((doc_id, text) for doc_id, text in zip(frame["id"], frame["text"], strict=True) if text)
+            while len(found := signed(seen, texts)):
+                yield found
 
     return mapped
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -182,3 +183,20 @@ def test_band_recall():
             keys = line_dedup.bands_of([a, b])
             met += bool((keys[0] == keys[1]).any())
     assert met / total >= 0.97
+
+
+def test_signing_sends_lines_on_in_parts_without_losing_any(monkeypatch):
+    texts = ["one line\ntwo line\none  line", " \n", None, "", "two line\nthree line\nfour line", "\t", "five\nfive\nsix"]
+    frame = pd.DataFrame({"id": [str(i) for i in range(len(texts))], "text": texts})
+
+    def rows():
+        signed = pd.concat(line_dedup._signed(7, 12, 5)(iter([frame, frame.iloc[:0], frame])))
+        bands = [None if b is None else tuple(b) for b in signed["bands"]]
+        return list(zip(signed["id"], signed["line_no"], signed["h"], bands, signed["again"], strict=True))
+
+    whole = rows()
+    monkeypatch.setattr(line_dedup, "LINES_AT_ONCE", 1)
+    assert rows() == whole
+    assert [row[4] for row in whole[:7]] == [True, False, False, False, False, True, False]
+    assert len(whole) == 14
+    assert sum(row[3] is not None for row in whole) == 6
