@@ -62,9 +62,24 @@ def normalised(line: str) -> str:
     return " ".join(line.lower().split())
 
 
+#: What a text holds where one of its lines has white space to collapse; the white space outside ASCII.
+_UNEVEN = ("  ", " \n", "\n ", "\t", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "\x1f")
+_WIDE = tuple(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace())
+
+
+def normalised_lines(text: str) -> list[str]:
+    """``normalised`` of every line; a text whose lines stand as they are is lower-cased whole."""
+    lowered = text.lower()
+    even = lowered[:1] != " " and lowered[-1:] != " " and not any(part in lowered for part in _UNEVEN)
+    if even and (lowered.isascii() or not any(space in lowered for space in _WIDE)):
+        return lowered.split("\n")
+    return [" ".join(line.split()) for line in lowered.split("\n")]
+
+
 def line_hash(line: str) -> int:
     """The signed 64-bit hash of a normalised line."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))).view(np.int64))
+    h = xxhash.xxh3_64_intdigest(line.encode("utf-8", "surrogatepass"))
+    return h if h < 1 << 63 else h - (1 << 64)
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -135,8 +150,8 @@ def _signed(size: int, bands: int, rows: int):
         for doc_id, text in texts:
             own: set[int] = set()
             start = len(ids)
-            for number, line in enumerate(text.split("\n")):
-                if not (line := normalised(line)):
+            for number, line in enumerate(normalised_lines(text)):
+                if not line:
                     continue
                 h = line_hash(line)
                 if h in own:
@@ -206,8 +221,8 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
         for frame in frames:
             found = []
             for text in frame["text"]:
-                for line in text.split("\n") if text else ():
-                    if line := normalised(line):
+                for line in normalised_lines(text) if text else ():
+                    if line:
                         h = line_hash(line)
                         bit = h % bits
                         if h not in sent and int(hint.value[bit >> 6]) >> (bit & 63) & 1:
@@ -411,8 +426,8 @@ def _rewritten(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
             continue
         dropped = set() if hashes is None else set(hashes)
         lines, kept = text.split("\n"), []
-        for line in lines:
-            if short := normalised(line):
+        for line, short in zip(lines, normalised_lines(text), strict=True):
+            if short:
                 if (h := line_hash(short)) in dropped:
                     continue
                 dropped.add(h)

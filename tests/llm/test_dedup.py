@@ -200,3 +200,13 @@ def test_signing_sends_lines_on_in_parts_without_losing_any(monkeypatch):
     assert [row[4] for row in whole[:7]] == [True, False, False, False, False, True, False]
     assert len(whole) == 14
     assert sum(row[3] is not None for row in whole) == 6
+
+
+def test_lines_of_a_whole_text_are_those_of_its_lines():
+    rng = random.Random(4)
+    parts = ["Ab", "c", "ΑΣ", "ΣΑ", "İ", " ", "  ", "\n", "\n\n", "\t", "\r", "　", "\x85", "\x1c", "\x0b", ".", "ß"]
+    plain = ["Ab", "c", " ", "\n", ".", "X"]
+    for pool in (parts, plain):
+        for _ in range(4000):
+            text = "".join(rng.choice(pool) for _ in range(rng.randrange(12)))
+            assert line_dedup.normalised_lines(text) == [line_dedup.normalised(line) for line in text.split("\n")], repr(text)
