@@ -10,8 +10,9 @@ component stays: that of the smallest doc_id, then of the smallest line number.
 
 Each distinct line is signed once for a task and compared once: equal lines meet in a
 combinable count, never in a group. A bucket of a band above ``tile`` lines is cut into
-tiles that meet in pairs. Within a pair of tiles a line is compared with components, until one member of
-each is like it, so a dense bucket costs about one comparison for each line. Most pairs that are not alike are told
+tiles. First every tile is compared by itself and with the bucket's lowest line; then only the lines outside the
+bucket's largest component meet each other and that component, in pairs of tiles. Within a tile, or a pair, a line is compared
+with components, until one member of each is like it, so a dense bucket costs about one comparison, and is sent about once, for each line. Most pairs that are not alike are told
 apart by bitmaps of their shingles, the others are compared by the shingles' 64-bit hashes, and near the threshold by the
 shingles themselves. Buckets of the same
 lines in several bands are compared once. Texts are fetched for candidates only: a bit set of
@@ -308,8 +309,8 @@ def _verified(size: int, similarity: float):
                     held, new = 0, list(texts)
                 known.update(zip(new, Line.cut([texts[h] for h in new], size), strict=True))
                 held += sum(len(texts[h]) for h in new)
-                for *group, slot, h in zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h")), strict=True):
-                    yield (*group, slot, h, known[h])
+                for *group, slot, h, root in zip(*(frame[c].tolist() for c in (*GROUP, "slot", "h", "root")), strict=True):
+                    yield (*group, slot, h, root, known[h])
 
         # Buckets with the same lowest line come to the same task one after the other: what one
         # has linked, or found unlike, the next need not compare.
@@ -317,11 +318,11 @@ def _verified(size: int, similarity: float):
         for (_, _, slot_a, slot_b), group in groupby(rows(), key=lambda row: row[:4]):
             # Members met so far by component, and of two tiles by slot.
             met: dict[int, list[tuple]] = {}
-            for _, _, _, _, slot, h, line in group:
+            for _, _, _, _, slot, h, root, line in group:
                 joined = []
-                for root, members in met.items():
-                    if forest.find(h) == forest.find(root):
-                        joined.append(root)
+                for above, members in met.items():
+                    if forest.find(root) == forest.find(above):
+                        joined.append(above)
                         continue
                     for other_slot, other, others in members:
                         if slot_a != slot_b and slot == other_slot:
@@ -330,16 +331,16 @@ def _verified(size: int, similarity: float):
                         if pair in unlike:
                             continue
                         if alike(line, others):
-                            forest.unite(h, other)
-                            joined.append(root)
+                            forest.unite(root, above)
+                            joined.append(above)
                             break
                         if len(unlike) >= REMEMBERED_PAIRS:
                             unlike.clear()
                         unlike.add(pair)
                 own = [(slot, h, line)]
-                for root in joined:
-                    own += met.pop(root)
-                met[h] = own
+                for above in joined:
+                    own += met.pop(above)
+                met[root] = own
             if len(forest.parent) >= UNITED_AT_ONCE:
                 yield pd.DataFrame(forest.links(), columns=["a", "b"], dtype="int64")
                 forest = Forest()
@@ -348,10 +349,48 @@ def _verified(size: int, similarity: float):
     return mapped
 
 
-def line_links(
+def _links(dealt: DataFrame, lines: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Forest links ``a, b`` between the ``root`` values of like lines that were dealt to the same pair of tiles."""
+    return (
+        dealt.join(lines, "h")
+        .repartition("low", "slot_a", "slot_b")
+        .sortWithinPartitions(*GROUP, "slot", "h")
+        .mapInPandas(_verified(size, similarity), "a long, b long")
+    )
+
+
+def _by_themselves(members: DataFrame) -> DataFrame:
+    """Every tile by itself, and in each tile of a bucket the bucket's lowest line: a row for each line, and one for each tile."""
+    own = members.selectExpr("low", "bucket", "slot slot_a", "slot slot_b", "slot", "h", "h root")
+    lowest = members.where("h = low AND tiles > 1").selectExpr("low", "bucket", "slot", "h", "explode(sequence(0, tiles - 1)) other")
+    return own.union(lowest.where("slot <> other").selectExpr("low", "bucket", "other slot_a", "other slot_b", "other slot", "h", "h root"))
+
+
+def _still_apart(members: DataFrame, roots: DataFrame, tile: int) -> DataFrame:
+    """Of buckets with several tiles the lines outside the bucket's largest component, in pairs of tiles with
+    each other and with that component; a bucket of one component has no row."""
+    wide = members.where("tiles > 1").select("low", "bucket", "h")
+    placed = stored(wide.join(roots.withColumnRenamed("node", "h"), "h", "left").select("low", "bucket", "h", F.coalesce("root", "h").alias("root")), "placed")
+    counted = placed.groupBy("low", "bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    largest = (
+        counted.groupBy("low", "bucket")
+        .agg(F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("all"))
+        .where("all > most.n")
+        .selectExpr("low", "bucket", "most.root largest", f"cast(ceil((all - most.n) / {tile}) as int) apart", f"cast(ceil(most.n / {tile}) as int) joined")
+    )
+    return (
+        placed.join(largest, ["low", "bucket"])
+        .withColumn("outside", F.expr("root <> largest"))
+        .withColumn("slot", F.expr("cast(if(outside, pmod(xxhash64(h), apart), apart + pmod(xxhash64(h), joined)) as int)"))
+        .selectExpr("low", "bucket", "slot", "h", "root", "explode(sequence(0, if(outside, apart + joined, apart) - 1)) other")
+        .selectExpr("low", "bucket", "least(slot, other) slot_a", "greatest(slot, other) slot_b", "slot", "h", "root")
+    )
+
+
+def line_roots(
     docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_CHARS, tile: int = TILE, hint_bits: int = HINT_BITS
 ) -> DataFrame:
-    """Verified forest links ``a, b`` between hashes of distinct like lines."""
+    """``node, root`` for the hash of every distinct line that is like another, stored."""
     banded = signed.where("bands IS NOT NULL").select("h", F.explode("bands").alias("bucket"))
     # A line may have been signed in several tasks; a bucket needs two different ones.
     shared = banded.groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
@@ -367,20 +406,14 @@ def line_links(
         .agg(F.min("bucket").alias("bucket"))
         .selectExpr("low", "bucket", f"cast(ceil(n / {tile}) as int) tiles")
     )
-    dealt = stored(
-        members.join(sizes, "bucket")
-        .selectExpr("low", "bucket", "h", "cast(pmod(xxhash64(h), tiles) as int) slot", "tiles")
-        .selectExpr("low", "bucket", "h", "slot", "explode(sequence(0, tiles - 1)) other")
-        .selectExpr("low", "bucket", "least(slot, other) slot_a", "greatest(slot, other) slot_b", "slot", "h"),
-        "dealt",
-    )
-    lines = _candidate_lines(docs, dealt.select("h").distinct(), hint_bits)
-    return (
-        dealt.join(lines, "h")
-        .repartition("low", "slot_a", "slot_b")
-        .sortWithinPartitions(*GROUP, "slot", "h")
-        .mapInPandas(_verified(size, similarity), "a long, b long")
-    )
+    members = stored(members.join(sizes, "bucket").selectExpr("low", "bucket", "h", "cast(pmod(xxhash64(h), tiles) as int) slot", "tiles"), "members")
+    lines = stored(_candidate_lines(docs, members.select("h").distinct(), hint_bits), "candidates")
+    roots = stored(components(_links(_by_themselves(members), lines, similarity, size)), "roots")
+    apart = stored(_still_apart(members, roots, tile), "apart")
+    if apart.isEmpty():
+        return roots
+    more = _links(apart, lines, similarity, size)
+    return stored(components(roots.selectExpr("root a", "node b").union(more)), "roots")
 
 
 def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -396,7 +429,7 @@ def repeated_lines(
 
     Repeats within a document are not listed; ``deduplicated`` drops them by itself.
     """
-    roots = stored(components(line_links(docs, signed, similarity, size, tile, hint_bits)), "roots").withColumnRenamed("node", "h")
+    roots = line_roots(docs, signed, similarity, size, tile, hint_bits).withColumnRenamed("node", "h")
     found = signed.selectExpr("cast(id as bigint) doc_id", "h")
     counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
     counted = stored(counted.join(roots, "h", "left").where("n > 1 OR root IS NOT NULL").select("h", F.coalesce("root", "h").alias("root"), "first_id"), "counted")

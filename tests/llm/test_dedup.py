@@ -210,3 +210,38 @@ def test_lines_of_a_whole_text_are_those_of_its_lines():
         for _ in range(4000):
             text = "".join(rng.choice(pool) for _ in range(rng.randrange(12)))
             assert line_dedup.normalised_lines(text) == [line_dedup.normalised(line) for line in text.split("\n")], repr(text)
+
+
+def test_a_bucket_of_like_lines_is_sent_once(spark):
+    """20,000 like lines in one bucket: rows grow with the lines, and no second pass is needed."""
+    n, tile = 20_000, 512
+    rows = spark.range(n).selectExpr("0L low", "7L bucket", "id h", f"cast(pmod(id, {-(-n // tile)}) as int) slot", f"{-(-n // tile)} tiles")
+    assert line_dedup._by_themselves(rows).count() == n + -(-n // tile) - 1
+    one = spark.range(1, n).selectExpr("id node", "0L root")
+    assert line_dedup._still_apart(rows, one, tile).count() == 0
+    # Three lines stay apart: the others meet them once.
+    most = one.where("node > 3")
+    assert line_dedup._still_apart(rows, most, tile).count() == (n - 3) + 3 * (1 + -(-(n - 3) // tile))
+
+
+def test_large_buckets_lose_no_link(spark):
+    """Many families of like lines that share a bucket, in tiles of 4: groups are those of all pairs."""
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    texts = []
+    for family in range(6):
+        base = "".join(rng.choice(letters) for _ in range(200))
+        for _ in range(25):
+            copy = list(base)
+            for _ in range(rng.randrange(5)):
+                copy[rng.randrange(200)] = rng.choice(letters)
+            texts.append((len(texts), "".join(copy)))
+    lines = sorted({line_dedup.normalised(text) for _, text in texts})
+    found = [(line_dedup.line_hash(line), line, line_dedup.shingle_set(line)) for line in lines]
+    expected = union([h for h, _, _ in found], [(a, b) for a, _, x in found for b, _, y in found if a < b and len(x & y) >= 0.8 * len(x | y)])
+    members = spark.createDataFrame([(min(expected), 7, h, i % 38, 38) for i, (h, _, _) in enumerate(found)], "low long, bucket long, h long, slot int, tiles int")
+    texts = spark.createDataFrame([(h, line) for h, line, _ in found], "h long, line string")
+    roots = components(line_dedup._links(line_dedup._by_themselves(members), texts, 0.8, 7))
+    more = line_dedup._links(line_dedup._still_apart(members, roots, 4), texts, 0.8, 7)
+    roots = {r.node: r.root for r in components(roots.selectExpr("root a", "node b").union(more)).collect()}
+    assert {h: roots.get(h, h) for h in expected} == expected
