@@ -26,6 +26,7 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,7 +145,7 @@ def bands_of(lines: list[str], size: int = SHINGLE_CHARS, bands: int = BANDS, ro
 
 
 def _signed(size: int, bands: int, rows: int):
-    def signed(seen: set[int], texts: Iterator[tuple[str, str]]) -> pd.DataFrame:
+    def signed(seen: set[int], texts: Iterator[tuple], kind) -> pd.DataFrame:
         """The distinct lines of the next documents, until they are ``LINES_AT_ONCE``."""
         ids, numbers, hashes, at, fresh, chars, repeats = [], [], [], [], [], 0, []
         keys: list[np.ndarray] = []
@@ -183,21 +184,38 @@ def _signed(size: int, bands: int, rows: int):
         again = np.zeros(len(ids), bool)
         again[repeats] = True
         return pd.DataFrame(
-            {"id": pd.Series(ids, dtype=object), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column, "again": again}
+            {"id": pd.Series(ids, dtype=kind), "line_no": np.array(numbers, np.int64), "h": np.array(hashes, np.int64), "bands": column, "again": again}
         )
 
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for frame in frames:
-            texts = ((doc_id, text) for doc_id, text in zip(frame["id"], frame["text"], strict=True) if text)
-            while len(found := signed(seen, texts)):
+            texts = ((doc_id, text) for doc_id, text in zip(frame["id"].tolist(), frame["text"], strict=True) if text)
+            while len(found := signed(seen, texts, frame["id"].dtype)):
                 yield found
 
     return mapped
 
 
+def _signed_batches(size: int, bands: int, rows: int):
+    """``_signed`` over Arrow batches; the keys leave in one block and not line by line."""
+    signed = _signed(size, bands, rows)
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in signed(batch.to_pandas() for batch in batches):
+            keys = found["bands"].to_numpy()
+            has = np.array([key is not None for key in keys])
+            flat = np.concatenate([np.zeros(0, np.int64), *keys[has]])
+            ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=np.append(~has, False)), pa.array(flat))
+            columns = [pa.array(found[name].to_numpy()) if name != "bands" else lists for name in found]
+            yield pa.RecordBatch.from_arrays(columns, names=list(found))
+
+    return mapped
+
+
 def _texts(ids: DataFrame) -> DataFrame:
-    return ids.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
+    return ids.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
 
 
 def bit_hint(hashes: DataFrame, bits: int) -> np.ndarray:
@@ -417,9 +435,9 @@ def line_roots(
 
 
 def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id, line_no, h, bands, again`` of the distinct normalised lines of every document, stored."""
-    schema = "id string, line_no long, h long, bands array<long>, again boolean"
-    return stored(_texts(docs).mapInPandas(_signed(size, bands, rows), schema), "lines")
+    """``id`` (not null), ``line_no, h, bands, again`` of the distinct normalised lines of every document, stored."""
+    schema = "id long, line_no long, h long, bands array<long>, again boolean"
+    return stored(_texts(docs).mapInArrow(_signed_batches(size, bands, rows), schema), "lines")
 
 
 def repeated_lines(
@@ -430,11 +448,11 @@ def repeated_lines(
     Repeats within a document are not listed; ``deduplicated`` drops them by itself.
     """
     roots = line_roots(docs, signed, similarity, size, tile, hint_bits).withColumnRenamed("node", "h")
-    found = signed.selectExpr("cast(id as bigint) doc_id", "h")
+    found = signed.selectExpr("id doc_id", "h")
     counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
     counted = stored(counted.join(roots, "h", "left").where("n > 1 OR root IS NOT NULL").select("h", F.coalesce("root", "h").alias("root"), "first_id"), "counted")
     # In one document several lines of a group may stand: the first of them stays.
-    placed = signed.selectExpr("cast(id as bigint) doc_id", "line_no", "h").join(counted.select("h", "root"), "h")
+    placed = signed.selectExpr("id doc_id", "line_no", "h").join(counted.select("h", "root"), "h")
     firsts = counted.groupBy("root").agg(F.min("first_id").alias("first_id"))
     kept = (
         placed.join(firsts, "root")
@@ -494,7 +512,7 @@ def deduplicated(
     numbered = known.withColumn("doc_id", key)
     signed = signed_lines(numbered, size, bands, rows)
     gone = stored(repeated_lines(numbered, signed, similarity, size, tile, hint_bits), "gone")
-    ids = gone.select(F.col("doc_id").alias("key")).union(signed.where("again").selectExpr("cast(id as bigint) key"))
+    ids = gone.select(F.col("doc_id").alias("key")).union(signed.where("again").selectExpr("id key"))
     known = marked(known.withColumn(own_id, key), own_id, stored(bit_words(ids), "touched"), touched)
 
     kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_kept")]
