@@ -99,9 +99,3 @@ def received_stream(reports: DataFrame) -> DataFrame:
     return reports.withWatermark("occurred_at", "7 days").dropDuplicatesWithinWatermark(
         ["store_id", "order_ref", "occurred_at"]
     )
-
-
-def fresh_reports(reports: DataFrame, now: str = "now") -> DataFrame:
-    """Reports young enough to send, judged against the clock of each micro-batch."""
-    clock = F.current_timestamp() if now == "now" else F.lit(now).cast("timestamp")
-    return reports.where(F.col("occurred_at") >= clock - F.expr("INTERVAL 7 DAYS"))
