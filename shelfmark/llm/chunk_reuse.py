@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, whole_text
-from shelfmark.llm.encoding import Encoder
+from shelfmark.llm.encoding import Encoder, tokenizer
 from shelfmark.llm.line_dedup import bit_hint
 
 #: A cut where so many low bits of the rolling hash are zero: chunks of 1024 bytes on average.
@@ -45,14 +45,21 @@ def _gear() -> np.ndarray:
     return np.array([xxhash.xxh64_intdigest(bytes([i]), 7) for i in range(256)], np.uint64)
 
 
+def _rolled(mixed: np.ndarray, window: int) -> np.ndarray:
+    """For every ``window`` numbers in a row their sum, each shifted by its distance from the last; halves make wholes."""
+    if window == 1:
+        return mixed
+    half = window // 2
+    halves = _rolled(mixed, half)
+    pairs = (halves[:-half] << np.uint64(half)) + halves[half:]
+    return pairs if window % 2 == 0 else (pairs[:-1] << np.uint64(1)) + mixed[window - 1 :]
+
+
 def cuts(data: bytes, bits: int = CUT_BITS, window: int = WINDOW) -> list[int]:
     """Ends of the content-defined chunks of UTF-8 bytes, never within a character; the last is the end."""
     if len(data) <= window:
         return [len(data)] if data else []
-    mixed = _GEAR[np.frombuffer(data, np.uint8)]
-    rolling = np.zeros(len(data) - window + 1, np.uint64)
-    for i in range(window):
-        rolling += mixed[i : i + len(rolling)] << np.uint64(window - 1 - i)
+    rolling = _rolled(_GEAR[np.frombuffer(data, np.uint8)], window)
     # The top bits depend on every byte of the window.
     hits = np.flatnonzero((rolling >> np.uint64(window)) & np.uint64((1 << bits) - 1) == 0) + window
     ends = []
@@ -96,9 +103,9 @@ class Joiner:
     def __init__(self, encoder: Encoder) -> None:
         self.encoder = encoder
 
-    def body(self, words: str) -> bytes:
-        """Ids of whole words with white space around them."""
-        return self.encoder.encode(words.strip(" \n")) if words else b""
+    def bodies(self, all_words: list[str]) -> Iterator[bytes]:
+        """Ids of each of many runs of whole words with white space around them."""
+        return self.encoder.encode_all([words.strip(" \n") for words in all_words])
 
     def repaired(self, cut: str, before: list[str], after: list[str]) -> bytes:
         """Ids of the word ``cut`` from encoding it with neighbours, until theirs agree with their own ids."""
@@ -174,7 +181,7 @@ def _local(file: str, hint, bits: int):
         import uuid
 
         encoder = Encoder(file, _DTYPE, spaced=False)
-        joiner, digester = Joiner(encoder), Digester(encoder.tokenizer)
+        digester = Digester(tokenizer(file))
         task, count, sent = uuid.uuid4().hex, 0, set()
 
         def shared(h: int) -> bool:
@@ -182,7 +189,8 @@ def _local(file: str, hint, bits: int):
             return bool(int(hint.value[bit >> 6]) >> (bit & 63) & 1)
 
         for frame in frames:
-            rows = []
+            # What is encoded here waits for the frame's end: rows, and for each the text its ids are of.
+            rows, waiting, to_encode = [], [], []
             for doc_id, text in zip(frame["id"], frame["text"], strict=True):
                 plain = _PLAIN.fullmatch(text) is not None
                 chunks = chunks_of(text) if plain else []
@@ -191,7 +199,8 @@ def _local(file: str, hint, bits: int):
                 count += 1
                 uid = f"{task}-{count}"
                 if not any(marked):
-                    rows.append((uid, doc_id, None, *digester.digest(encoder.encode(text))) + (None,) * 8)
+                    waiting.append((uid, doc_id, None))
+                    to_encode.append(text)
                     continue
                 seq = 0
                 for is_shared, group in groupby(zip(marked, hashes, chunks, strict=True), key=lambda x: x[0]):
@@ -206,9 +215,11 @@ def _local(file: str, hint, bits: int):
                                 rows.append((None,) * 6 + (h, chunk) + (None,) * 6)
                     else:
                         own = "".join(chunk for _, _, chunk in group)
-                        ids = joiner.body(edges(own)[1])
-                        rows.append((uid, doc_id, seq, None, None, None, None, None, *_part(own), ids))
+                        waiting.append((uid, doc_id, seq, None, None, None, None, None, *_part(own)))
+                        to_encode.append(edges(own)[1].strip(" \n"))
                         seq += 1
+            for row, ids in zip(waiting, encoder.encode_all(to_encode), strict=True):
+                rows.append((*row, *digester.digest(ids)) + (None,) * 8 if len(row) == 3 else (*row, ids))
             yield pd.DataFrame(rows, columns=_COLUMNS)
 
     return mapped
@@ -218,7 +229,7 @@ def _encoded(file: str):
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         joiner = Joiner(Encoder(file, _DTYPE, spaced=False))
         for frame in frames:
-            yield pd.DataFrame({"h": frame["h"], "shared_ids": [joiner.body(edges(chunk)[1]) for chunk in frame["chunk"]]})
+            yield pd.DataFrame({"h": frame["h"], "shared_ids": list(joiner.bodies([edges(chunk)[1] for chunk in frame["chunk"]]))})
 
     return mapped
 
@@ -226,7 +237,7 @@ def _encoded(file: str):
 def _assembled(file: str):
     def mapped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(file, _DTYPE, spaced=False)
-        joiner, digester = Joiner(encoder), Digester(encoder.tokenizer)
+        joiner, digester = Joiner(encoder), Digester(tokenizer(file))
 
         def rows():
             for frame in frames:

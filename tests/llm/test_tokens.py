@@ -31,6 +31,41 @@ def test_encoder_is_the_tokenizer(name, dtype, spaced):
         assert np.frombuffer(encoder.encode(text or ""), dtype).tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)[:80]
 
 
+@pytest.mark.parametrize(("name", "dtype", "spaced"), [(BYTE, "<u4", True), (WORD, "<u2", False)])
+def test_many_texts_together_are_the_tokenizer(name, dtype, spaced):
+    """With every plain character beside letters, digits, signs and line ends, and with a memory of a few pieces."""
+    latin = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x250)]]
+    many = [t or "" for _, t in texts()] + [f"a{c}b {c} {c}{c}'s 1{c}2{c}! {c}\n{c}a {c.upper()}'RE" for c in latin]
+    plain = [one.ids for one in tokenizer(path(name)).encode_batch(many, add_special_tokens=False)]
+    encoder = Encoder(path(name), dtype, spaced)
+    for _ in range(2):
+        assert [np.frombuffer(ids, dtype).tolist() for ids in encoder.encode_all(many)] == plain
+    assert [np.frombuffer(encoder.encode(text), dtype).tolist() for text in many] == plain
+    assert list(encoder.encode_all([])) == []
+
+
+def test_equal_words_are_encoded_once(monkeypatch):
+    """A text's words reach the engine once, whatever the number of texts; a word tokenizer's model meets equal parts once."""
+    for name, dtype, spaced in [(BYTE, "<u4", True), (WORD, "<u2", False)]:
+        encoder, seen = Encoder(path(name), dtype, spaced), []
+        engine = encoder.engine
+        encoder.engine = lambda piece: seen.append(piece) or engine(piece)
+        found = list(encoder.encode_all(["the house of the Seas", "the house of, the seas"] * 50))
+        assert len(found) == 100 and len(set(found)) == 2
+        assert len([piece for piece in seen if "house" in piece]) == 1
+    assert {"house", "of", ",", "seas"} <= set(engine.known) and "Seas" not in engine.known
+
+
+def test_rolling_hash_by_halves():
+    rng = random.Random(4)
+    numbers = np.array([rng.getrandbits(64) for _ in range(200)], np.uint64)
+    for window in (1, 2, 3, 7, 32, 33):
+        plain = np.zeros(201 - window, np.uint64)
+        for i in range(window):
+            plain += numbers[i : i + len(plain)] << np.uint64(window - 1 - i)
+        assert chunk_reuse._rolled(numbers, window).tolist() == plain.tolist()
+
+
 @pytest.mark.parametrize("bits", [26, 6])
 def test_chunk_reuse_is_the_tokenizer(spark, bits):
     """With a hint of 64 bits every chunk counts as shared: all joins are repaired."""
