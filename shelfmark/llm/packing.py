@@ -107,8 +107,8 @@ def _first_round(file: str, sequence: int, open_bins: int, end_id: int):
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             done = []
-            for doc_id, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                ids = np.frombuffer(encoder.encode(text) + end, "<u4")
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), encoder.encode_all(batch["text"]), strict=True):
+                ids = np.frombuffer(found + end, "<u4")
                 for piece, start, length, crc in pieces_of(ids, sequence):
                     item = (doc_id, piece, start, length, crc)
                     done += [(False, content) for content in packer.add(item, length)]
