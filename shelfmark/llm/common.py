@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,28 @@ def narrow_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES_AT_ONCE))
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library hold for later use.
+
+    Python workers outlive their tasks, and several wait beside each executor: what they keep adds up.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def thrifty(mapped: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``mapped``, a function over batches, giving back memory before and after its task."""
+
+    def wrapped(batches: Iterator) -> Iterator:
+        give_back()
+        yield from mapped(batches)
+        give_back()
+
+    return wrapped
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     narrow_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")

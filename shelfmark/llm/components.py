@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import stored, thrifty
 
 #: Links that a task unites at a time; it bounds memory and leaves the result as it is.
 UNITED_AT_ONCE = 200_000
@@ -70,7 +70,7 @@ def components(links: DataFrame) -> DataFrame:
     labels = None
     links = links.where("a <> b")
     while True:
-        links = stored(links.mapInPandas(_united, "a long, b long"), "links")
+        links = stored(links.mapInPandas(thrifty(_united), "a long, b long"), "links")
         if links.isEmpty():
             break
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.bits import bit_words, marked
-from shelfmark.llm.common import fresh, stored
+from shelfmark.llm.common import fresh, give_back, stored, thrifty
 from shelfmark.llm.components import UNITED_AT_ONCE, Forest, components
 
 SHINGLE_CHARS = 7
@@ -251,7 +251,7 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
                             found.append((h, line))
             yield pd.DataFrame(found, columns=["h", "line"]).astype({"h": "int64"})
 
-    lines = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(mapped, "h long, line string")
+    lines = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(thrifty(mapped), "h long, line string")
     return lines.join(wanted, "h", "left_semi").dropDuplicates(["h"])
 
 
@@ -373,7 +373,7 @@ def _links(dealt: DataFrame, lines: DataFrame, similarity: float, size: int) ->
         dealt.join(lines, "h")
         .repartition("low", "slot_a", "slot_b")
         .sortWithinPartitions(*GROUP, "slot", "h")
-        .mapInPandas(_verified(size, similarity), "a long, b long")
+        .mapInPandas(thrifty(_verified(size, similarity)), "a long, b long")
     )
 
 
@@ -437,7 +437,7 @@ def line_roots(
 def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``id`` (not null), ``line_no, h, bands, again`` of the distinct normalised lines of every document, stored."""
     schema = "id long, line_no long, h long, bands array<long>, again boolean"
-    return stored(_texts(docs).mapInArrow(_signed_batches(size, bands, rows), schema), "lines")
+    return stored(_texts(docs).mapInArrow(thrifty(_signed_batches(size, bands, rows)), schema), "lines")
 
 
 def repeated_lines(
@@ -470,6 +470,7 @@ def repeated_lines(
 
 
 def _rewritten(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
+    give_back()
     out = []
     for text, hashes in zip(texts, gone, strict=True):
         if text is None:

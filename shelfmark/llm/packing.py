@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, whole_text
+from shelfmark.llm.common import stored, thrifty, whole_text
 from shelfmark.llm.encoding import Encoder
 
 SEQUENCE = 1024
@@ -115,7 +115,7 @@ def _first_round(file: str, sequence: int, open_bins: int, end_id: int):
             yield _batch(done)
         yield _batch([(True, content) for content in packer.rest()])
 
-    return mapped
+    return thrifty(mapped)
 
 
 def _further_round(sequence: int, open_bins: int):
@@ -129,7 +129,7 @@ def _further_round(sequence: int, open_bins: int):
             yield _batch(done)
         yield _batch([(True, sum(parts, [])) for parts in packer.rest()])
 
-    return mapped
+    return thrifty(mapped)
 
 
 def packed(

@@ -21,6 +21,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import thrifty
+
 SAMPLE = 1000
 SAMPLE_BYTES = 16_384
 DICTIONARY_BYTES = 112_640
@@ -146,6 +148,7 @@ def score(text: Column, model: CompressionModel) -> Column:
             yield pd.Series(model.probability(np.array(x, np.float64)))
 
     # pandas_udf needs the hints as types, and this module keeps them as text.
+    scored = thrifty(scored)
     scored.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(scored, "double")(text.cast("string"))
 

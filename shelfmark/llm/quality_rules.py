@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import fresh, stored
+from shelfmark.llm.common import fresh, give_back, stored
 from shelfmark.operators.lookups import lookup_join
 
 #: Fixed values of the base rules.
@@ -99,6 +99,7 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` and a column ``name`` with the statistics of the text."""
 
     def counted(texts: pd.Series) -> pd.DataFrame:
+        give_back()
         return pd.DataFrame([statistics_of(text) for text in texts], columns=list(COUNTS), dtype="int64")
 
     return docs.withColumn(name, F.pandas_udf(counted, STATS)(F.col("text").cast("string")))

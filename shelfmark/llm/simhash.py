@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored, words_of
+from shelfmark.llm.common import stored, thrifty, words_of
 from shelfmark.llm.components import Forest, components
 
 SHINGLE_WORDS = 3
@@ -93,7 +93,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
 
     return (
         docs.select(F.col("doc_id").cast("string").alias("id"), F.col("text").cast("string").alias("text"))
-        .mapInPandas(mapped, "id string, fp long")
+        .mapInPandas(thrifty(mapped), "id string, fp long")
         .select(F.col("id").cast("long").alias("doc_id"), "fp")
     )
 
@@ -184,7 +184,7 @@ def near_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS, tree_size:
         raise ValueError("four quarters find fingerprints within 3 bits")
     groups = ["shard", "slot_a", "slot_b"]
     dealt = _shards(distinct, tree_size).repartition(*groups).sortWithinPartitions(*groups, "slot", "fp")
-    return dealt.mapInPandas(_linked(max_bits), "a long, b long")
+    return dealt.mapInPandas(thrifty(_linked(max_bits)), "a long, b long")
 
 
 def simhash_groups(

@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 import pytest
 
-from shelfmark.llm import chunk_reuse, packing
+from shelfmark.llm import chunk_reuse, common, packing
 from shelfmark.llm.encoding import Encoder, path, tokenizer
 
 BYTE, WORD = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -56,6 +56,26 @@ def test_equal_words_are_encoded_once(monkeypatch):
     assert {"house", "of", ",", "seas"} <= set(engine.known) and "Seas" not in engine.known
 
 
+def test_workers_give_memory_back():
+    """Freed blocks of many sizes go back to the system when a task ends; what it returns stays as it is."""
+
+    def resident() -> int:
+        with open("/proc/self/statm") as file:
+            return int(file.read().split()[1]) * 4096
+
+    def mapped(batches):
+        for batch in batches:
+            blocks = [bytearray(600 + i % 50_000) for i in range(8000)]
+            pinned.append(bytearray(100_000))  # above the freed blocks, so that they stay with the C library
+            yield len(blocks) + batch
+
+    pinned = []
+    assert list(mapped([1, 2])) == [8001, 8002]
+    held = resident()
+    assert list(common.thrifty(mapped)([1, 2])) == [8001, 8002] and len(pinned) == 4
+    assert resident() < held - (10 << 20)
+
+
 def test_rolling_hash_by_halves():
     rng = random.Random(4)
     numbers = np.array([rng.getrandbits(64) for _ in range(200)], np.uint64)
