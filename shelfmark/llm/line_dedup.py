@@ -9,7 +9,8 @@ similarity of the shingle sets, links go to distributed union-find, and the firs
 component stays: that of the smallest doc_id, then of the smallest line number.
 
 Each distinct line is signed once for a task and compared once: equal lines meet in a
-combinable count, never in a group. A bucket of a band above ``tile`` lines is cut into
+combinable count, never in a group. Band keys are dealt out in blocks, a row for each range of keys, and of a key that many
+lines of a block have only the lowest and the highest line are sent; a bit set of fixed size then finds the lines of the keys that two lines share. A bucket of a band above ``tile`` lines is cut into
 tiles. First every tile is compared by itself and with the bucket's lowest line; then only the lines outside the
 bucket's largest component meet each other and that component, in pairs of tiles. Within a tile, or a pair, a line is compared
 with components, until one member of each is like it, so a dense bucket costs about one comparison, and is sent about once, for each line. Most pairs that are not alike are told
@@ -40,12 +41,15 @@ SIMILARITY = 0.8
 BANDS = 12
 ROWS = 5
 TILE = 512
-#: Bits of the set that says which lines are candidates: 8 MB at any size of the corpus.
+#: Bits of each of the sets that say which band keys are shared and which lines are candidates: 8 MB at any size of the corpus.
 HINT_BITS = 1 << 26
 #: Characters signed at a time, lines sent on at a time and lines a task remembers; they bound memory, not results.
 SIGNED_AT_ONCE = 1 << 15
 LINES_AT_ONCE = 1 << 14
 REMEMBERED = 1 << 17
+#: Band keys that a task deals out at a time, and about how many different ones make a part of them; they bound memory, not results.
+BUCKETS_AT_ONCE = 1 << 18
+BUCKETS_OF_PART = 1 << 16
 #: Characters of lines that a task holds because they may come again.
 HELD_CHARS = 1 << 20
 #: Cells of the bitmap of a line's shingles, and pairs found unlike that a task remembers.
@@ -69,10 +73,17 @@ _UNEVEN = ("  ", " \n", "\n ", "\t", "\r", "\v", "\f", "\x1c", "\x1d", "\x1e", "
 _WIDE = tuple(chr(c) for c in range(0x80, 0x3001) if chr(c).isspace())
 
 
+def _apart(text: str) -> bool:
+    """Whether spaces and newlines stand apart and no other control character is in the text; it then holds nothing of ``_UNEVEN``."""
+    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+    low = data <= 32
+    return not np.count_nonzero(low[1:] & low[:-1]) and np.count_nonzero(data < 32) == text.count("\n")
+
+
 def normalised_lines(text: str) -> list[str]:
     """``normalised`` of every line; a text whose lines stand as they are is lower-cased whole."""
     lowered = text.lower()
-    even = lowered[:1] != " " and lowered[-1:] != " " and not any(part in lowered for part in _UNEVEN)
+    even = lowered[:1] != " " and lowered[-1:] != " " and (_apart(lowered) or not any(part in lowered for part in _UNEVEN))
     if even and (lowered.isascii() or not any(space in lowered for space in _WIDE)):
         return lowered.split("\n")
     return [" ".join(line.split()) for line in lowered.split("\n")]
@@ -85,9 +96,12 @@ def line_hash(line: str) -> int:
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(30))) * _MIX_A
-    values = (values ^ (values >> np.uint64(27))) * _MIX_B
-    return values ^ (values >> np.uint64(31))
+    values = values ^ (values >> np.uint64(30))
+    values *= _MIX_A
+    values ^= values >> np.uint64(27)
+    values *= _MIX_B
+    values ^= values >> np.uint64(31)
+    return values
 
 
 def _shingle_hashes(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,16 +122,19 @@ def _windows(chars: np.ndarray, size: int) -> np.ndarray:
     """Polynomial hashes of all windows of ``size`` characters, from those of windows of powers of two."""
     power, width, done, found = chars, 1, 0, None
     factor = int(_MULTIPLIER)
-    while width <= size:
+    while True:
         if size & width:
             if found is None:
                 found = power
             else:
-                found = found[: len(power) - done] * np.uint64(pow(factor, width, 1 << 64)) + power[done:][: len(found)]
+                found = found[: len(power) - done] * np.uint64(pow(factor, width, 1 << 64))
+                found += power[done:][: len(found)]
             done += width
-        power = power[:-width] * np.uint64(pow(factor, width, 1 << 64)) + power[width:]
-        width *= 2
-    return found[: len(chars) - size + 1]
+        if 2 * width > size:
+            return found[: len(chars) - size + 1]
+        wider = power[:-width] * np.uint64(pow(factor, width, 1 << 64))
+        wider += power[width:]
+        power, width = wider, 2 * width
 
 
 def shingle_set(line: str, size: int = SHINGLE_CHARS) -> set[str]:
@@ -128,58 +145,75 @@ def bands_of(lines: list[str], size: int = SHINGLE_CHARS, bands: int = BANDS, ro
     """Band keys, one row of ``bands`` longs for each normalised line."""
     bins = bands * rows
     hashes, owner = _shingle_hashes(lines, size)
-    cell = owner * bins + (((hashes >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)).astype(np.int64)
+    cell = hashes >> np.uint64(32)
+    cell *= np.uint64(bins)
+    cell >>= np.uint64(32)
+    cell = cell.view(np.int64)
+    cell += owner * bins
     least = np.full(len(lines) * bins, _EMPTY)
     np.minimum.at(least, cell, hashes)
     least = least.reshape(len(lines), bins)
-    # The next bin that is not empty, going round; how far it is becomes part of the value.
+    gaps = np.flatnonzero((least == _EMPTY).any(axis=1))
+    if len(gaps):
+        least[gaps] = _borrowed(least[gaps])
+    values = np.ascontiguousarray(least.reshape(len(lines), bands, rows).transpose(2, 0, 1))
+    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(lines), 1))
+    for row in values:
+        keys *= _MULTIPLIER
+        keys += row
+        keys = _mixed(keys)
+    return keys.view(np.int64)
+
+
+def _borrowed(least: np.ndarray) -> np.ndarray:
+    """Every bin's value, an empty one's from the next bin that is not, going round; how far it is becomes part of the value."""
+    bins = least.shape[1]
     at = np.where(least == _EMPTY, 4 * bins, np.arange(bins))
     at = np.concatenate([at, at + bins], axis=1)[:, ::-1]
     source = np.minimum.accumulate(at, axis=1)[:, ::-1][:, :bins]
     away = (source - np.arange(bins)).astype(np.uint64)
-    values = np.take_along_axis(least, source % bins, axis=1) + away * _MULTIPLIER
-    keys = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(lines), 1))
-    for row in range(rows):
-        keys = _mixed(keys * _MULTIPLIER + values[:, row::rows])
-    return keys.view(np.int64)
+    return np.take_along_axis(least, source % bins, axis=1) + away * _MULTIPLIER
 
 
 def _signed(size: int, bands: int, rows: int):
     def signed(seen: set[int], texts: Iterator[tuple], kind) -> pd.DataFrame:
         """The distinct lines of the next documents, until they are ``LINES_AT_ONCE``."""
         ids, numbers, hashes, at, fresh, chars, repeats = [], [], [], [], [], 0, []
-        keys: list[np.ndarray] = []
+        keys: list[bytes] = []
+
+        def sign() -> None:
+            block = bands_of(fresh, size, bands, rows).tobytes()
+            keys.extend(block[i : i + 8 * bands] for i in range(0, len(block), 8 * bands))
+
         for doc_id, text in texts:
-            own: set[int] = set()
+            own: dict[int, int] = {}
             start = len(ids)
-            for number, line in enumerate(normalised_lines(text)):
-                if not line:
-                    continue
-                h = line_hash(line)
-                if h in own:
-                    repeats.append(start)
-                    continue
-                own.add(h)
+            lines = normalised_lines(text)
+            for number, line in enumerate(lines):
+                if line:
+                    h = line_hash(line)
+                    if own.setdefault(h, number) != number:
+                        repeats.append(start)
+            for i, (h, number) in enumerate(own.items(), start):
                 if h not in seen:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
                     seen.add(h)
-                    at.append(len(ids))
-                    fresh.append(line)
-                    chars += len(line)
+                    at.append(i)
+                    fresh.append(lines[number])
+                    chars += len(lines[number])
                     if chars >= SIGNED_AT_ONCE:
-                        keys.append(bands_of(fresh, size, bands, rows))
+                        sign()
                         fresh, chars = [], 0
-                ids.append(doc_id)
-                numbers.append(number)
-                hashes.append(h)
+            ids += [doc_id] * len(own)
+            numbers += own.values()
+            hashes += own
             if len(ids) >= LINES_AT_ONCE:
                 break
         if fresh:
-            keys.append(bands_of(fresh, size, bands, rows))
+            sign()
         column = np.full(len(ids), None, object)
-        for i, key in zip(at, (key for block in keys for key in block), strict=True):
-            column[i] = key
+        column[at] = keys
         # On a document's first row: whether one of its lines comes again in it.
         again = np.zeros(len(ids), bool)
         again[repeats] = True
@@ -198,22 +232,120 @@ def _signed(size: int, bands: int, rows: int):
 
 
 def _signed_batches(size: int, bands: int, rows: int):
-    """``_signed`` over Arrow batches; the keys leave in one block and not line by line."""
+    """``_signed`` over Arrow batches."""
     signed = _signed(size, bands, rows)
 
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for found in signed(batch.to_pandas() for batch in batches):
-            keys = found["bands"].to_numpy()
-            has = np.array([key is not None for key in keys])
-            flat = np.concatenate([np.zeros(0, np.int64), *keys[has]])
-            ends = np.concatenate([[0], np.cumsum(has * bands)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32(), mask=np.append(~has, False)), pa.array(flat))
-            columns = [pa.array(found[name].to_numpy()) if name != "bands" else lists for name in found]
+            columns = [pa.array(found[name].to_numpy(), pa.binary() if name == "bands" else None) for name in found]
             yield pa.RecordBatch.from_arrays(columns, names=list(found))
 
     return mapped
 
 
+def _longs(column: pa.Array) -> np.ndarray:
+    """The longs that the values of a binary column hold, one value's after the other's."""
+    column = column.cast(pa.binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.int64, (offsets[-1] - offsets[0]) // 8, offsets[0]) if len(column) and data is not None else np.zeros(0, np.int64)
+
+
+def _in_bands(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """``bucket, h``: every band key of every line of ``h, bands``, in the order of the lines."""
+    buckets = _longs(batch.column("bands"))
+    return buckets, np.repeat(batch.column("h").to_numpy(), len(buckets) // max(1, len(batch)))
+
+
+def _in_order(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """``bucket, h`` in the order of the buckets; of a bucket that comes often the lowest and the highest line are left."""
+    buckets, h = (np.concatenate(column) for column in zip(*pairs, strict=True))
+    order = np.argsort(buckets)
+    buckets, h = buckets[order], h[order]
+    first = np.append(True, buckets[1:] != buckets[:-1])
+    if first.all():
+        return buckets, h
+    starts = np.flatnonzero(first)
+    last = np.append(first[1:], True)
+    low, high = np.minimum.reduceat(h, starts), np.maximum.reduceat(h, starts)
+    h[last] = high
+    h[first] = low
+    keep = first | last
+    return buckets[keep], h[keep]
+
+
+def _dealt_buckets(parts: int):
+    """Batches of ``h, bands`` to ``part, pairs``: a row for each range of band keys, with the bytes of their ``bucket, h``."""
+
+    def rows(held: list[tuple]) -> pa.RecordBatch:
+        buckets, h = _in_order(held)
+        # Ranges of equal width, numbered from -parts / 2.
+        part = ((buckets >> 32) * parts) >> 32
+        starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+        ends = (np.append(starts, len(part)) * 16).astype(np.int32)
+        pairs = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(np.column_stack([buckets, h]))])
+        return pa.RecordBatch.from_arrays([pa.array(part[starts]), pairs], names=["part", "pairs"])
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(_in_bands(batch))
+            n += len(held[-1][0])
+            if n >= BUCKETS_AT_ONCE:
+                yield rows(held)
+                held, n = [], 0
+        if n:
+            yield rows(held)
+
+    return mapped
+
+
+def _met_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``bucket``, of rows in the order of their parts: those that hold different lines."""
+
+    def met(held: list[tuple]) -> pa.RecordBatch:
+        buckets, h = _in_order(held)
+        two = (buckets[1:] == buckets[:-1]) & (h[1:] != h[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(buckets[1:][two])], names=["bucket"])
+
+    at, held, n = None, [], 0
+    for batch in batches:
+        for part, pairs in zip(batch.column("part").to_pylist(), batch.column("pairs").to_pylist(), strict=True):
+            if held and part != at:
+                yield met(held)
+                held, n = [], 0
+            at = part
+            held.append(tuple(np.frombuffer(pairs, np.int64).reshape(-1, 2).T))
+            n += len(held[-1][0])
+            if n >= 2 * BUCKETS_AT_ONCE:
+                # Many lines of few buckets: their ends are enough.
+                held = [_in_order(held)]
+                n = 0
+    if held:
+        yield met(held)
+
+
+def _shared_buckets(banded: DataFrame, part: int = BUCKETS_OF_PART) -> DataFrame:
+    """``bucket``: the band keys that two different lines have. A task holds the buckets of one part at a time."""
+    keys = banded.selectExpr("sum(length(bands)) div 8 n").first().n or 0
+    parts = -(-keys // part) or 1
+    dealt = banded.mapInArrow(thrifty(_dealt_buckets(parts)), "part long, pairs binary")
+    return dealt.repartition("part").sortWithinPartitions("part").mapInArrow(thrifty(_met_buckets), "bucket long")
+
+
+def _marked_buckets(banded: DataFrame, shared: DataFrame, bits: int) -> DataFrame:
+    """``h, bucket``: the lines of the ``shared`` buckets, and of a few more whose bit is that of one of them."""
+    hint = banded.sparkSession.sparkContext.broadcast(bit_hint(shared.withColumnRenamed("bucket", "h"), bits))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets, h = _in_bands(batch)
+            hit = _hits(hint.value, buckets, bits)
+            yield pa.RecordBatch.from_arrays([pa.array(h[hit]), pa.array(buckets[hit])], names=["h", "bucket"])
+
+    return banded.mapInArrow(thrifty(mapped), "h long, bucket long")
+
+
 def _texts(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("doc_id").cast("bigint").alias("id"), F.col("text").cast("string").alias("text"))
 
@@ -231,6 +363,12 @@ def bit_hint(hashes: DataFrame, bits: int) -> np.ndarray:
     return hint
 
 
+def _hits(hint: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Of each long whether its bit of ``bit_hint`` is set."""
+    at = values % bits
+    return (hint[at >> 6] >> (at & 63) & 1).astype(bool)
+
+
 def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame:
     """``h, line`` once for each long ``h`` of ``wanted``."""
     hint = docs.sparkSession.sparkContext.broadcast(bit_hint(wanted, bits))
@@ -239,16 +377,15 @@ def _candidate_lines(docs: DataFrame, wanted: DataFrame, bits: int) -> DataFrame
         sent: set[int] = set()
         for frame in frames:
             found = []
-            for text in frame["text"]:
-                for line in normalised_lines(text) if text else ():
-                    if line:
-                        h = line_hash(line)
-                        bit = h % bits
-                        if h not in sent and int(hint.value[bit >> 6]) >> (bit & 63) & 1:
-                            if len(sent) >= REMEMBERED:
-                                sent.clear()
-                            sent.add(h)
-                            found.append((h, line))
+            lines = [line for text in frame["text"] if text for line in normalised_lines(text) if line]
+            hashes = np.fromiter(map(line_hash, lines), np.int64, len(lines))
+            at = np.flatnonzero(_hits(hint.value, hashes, bits))
+            for i, h in zip(at.tolist(), hashes[at].tolist(), strict=True):
+                if h not in sent:
+                    if len(sent) >= REMEMBERED:
+                        sent.clear()
+                    sent.add(h)
+                    found.append((h, lines[i]))
             yield pd.DataFrame(found, columns=["h", "line"]).astype({"h": "int64"})
 
     lines = docs.select(F.col("text").cast("string").alias("text")).mapInPandas(thrifty(mapped), "h long, line string")
@@ -266,7 +403,12 @@ class Line:
     def distinct(self) -> np.ndarray:
         """Sorted distinct hashes, made when first asked for."""
         if not self.sorted:
-            self.hashes, self.sorted = np.unique(self.hashes), True
+            self.hashes.sort()
+            first = np.ones(len(self.hashes), bool)
+            np.not_equal(self.hashes[1:], self.hashes[:-1], out=first[1:])
+            if not first.all():
+                self.hashes = self.hashes[first]
+            self.sorted = True
         return self.hashes
 
     @staticmethod
@@ -409,13 +551,10 @@ def line_roots(
     docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE_CHARS, tile: int = TILE, hint_bits: int = HINT_BITS
 ) -> DataFrame:
     """``node, root`` for the hash of every distinct line that is like another, stored."""
-    banded = signed.where("bands IS NOT NULL").select("h", F.explode("bands").alias("bucket"))
+    banded = signed.where("bands IS NOT NULL").select("h", "bands")
     # A line may have been signed in several tasks; a bucket needs two different ones.
-    shared = banded.groupBy("bucket").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
-    shared = stored(shared.select("bucket"), "shared")
-    hint = stored(bit_words(shared.withColumnRenamed("bucket", "key")), "shared_bits")
-    near = marked(banded, "bucket", hint, "shared").where("shared").select("h", "bucket")
-    members = stored(near.join(shared, "bucket", "left_semi").distinct(), "bands")
+    shared = stored(_shared_buckets(banded), "shared")
+    members = stored(_marked_buckets(banded, shared, hint_bits).join(shared, "bucket", "left_semi").distinct(), "bands")
     # Buckets that hold the same lines in several bands are compared once.
     sizes = (
         members.groupBy("bucket")
@@ -435,8 +574,8 @@ def line_roots(
 
 
 def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``id`` (not null), ``line_no, h, bands, again`` of the distinct normalised lines of every document, stored."""
-    schema = "id long, line_no long, h long, bands array<long>, again boolean"
+    """``id`` (not null), ``line_no, h, bands, again`` of the distinct normalised lines of every document, stored; ``bands`` holds the bytes of longs."""
+    schema = "id long, line_no long, h long, bands binary, again boolean"
     return stored(_texts(docs).mapInArrow(thrifty(_signed_batches(size, bands, rows)), schema), "lines")
 
 
@@ -452,7 +591,7 @@ def repeated_lines(
     counted = found.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
     counted = stored(counted.join(roots, "h", "left").where("n > 1 OR root IS NOT NULL").select("h", F.coalesce("root", "h").alias("root"), "first_id"), "counted")
     # In one document several lines of a group may stand: the first of them stays.
-    placed = signed.selectExpr("id doc_id", "line_no", "h").join(counted.select("h", "root"), "h")
+    placed = stored(signed.selectExpr("id doc_id", "line_no", "h").join(counted.select("h", "root"), "h"), "placed")
     firsts = counted.groupBy("root").agg(F.min("first_id").alias("first_id"))
     kept = (
         placed.join(firsts, "root")
@@ -476,7 +615,7 @@ def _rewritten(texts: pd.Series, gone: pd.Series) -> pd.DataFrame:
         if text is None:
             out.append((None, 0, 0))
             continue
-        dropped = set() if hashes is None else set(hashes)
+        dropped = set() if hashes is None else set(np.asarray(hashes).tolist())
         lines, kept = text.split("\n"), []
         for line, short in zip(lines, normalised_lines(text), strict=True):
             if short:
@@ -522,7 +661,7 @@ def deduplicated(
     changed = known.where(touched).join(gone, F.col(own_id) == F.col(gone_id), "left")
     changed = changed.withColumn(result, rewritten(F.col("text").cast("string"), F.col(gone_lines)))
     text = F.col("text").cast("string")
-    lines = F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).cast("long")
+    lines = F.coalesce(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, F.lit(0)).cast("long")
     same = known.where(~F.col(touched)).select(*(text.alias(c) if c == "text" else F.col(c) for c in kept), lines.alias("n_lines"), lines.alias("n_kept"))
     return same.union(
         changed.select(*(F.col(f"{result}.text").alias(c) if c == "text" else F.col(c) for c in kept), f"{result}.n_lines", f"{result}.n_kept")

@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -212,6 +214,50 @@ def test_lines_of_a_whole_text_are_those_of_its_lines():
             assert line_dedup.normalised_lines(text) == [line_dedup.normalised(line) for line in text.split("\n")], repr(text)
 
 
+def banded_lines(rng):
+    """Lines with 3 band keys each: many alone, some shared, one key of very many lines, lines that were signed twice."""
+    keys = [rng.randrange(-(1 << 63), 1 << 63) for _ in range(900)] + [-(1 << 63), (1 << 63) - 1, 0, -1]
+    rows = [(h, [rng.choice(keys), rng.choice(keys), 77 if rng.random() < 0.5 else rng.choice(keys)]) for h in rng.sample(range(-(1 << 40), 1 << 40), 500)]
+    alone = [(i, [1 << 61 | i, 1 << 60 | i, 1 << 59 | i]) for i in range(300)]
+    return [(h, np.array(keys, np.int64).tobytes()) for h, keys in rows + rows[:200] + alone + alone]
+
+
+def test_shared_band_keys_are_those_of_two_lines(spark):
+    rows = banded_lines(random.Random(6))
+    lines = {}
+    for h, keys in rows:
+        for key in np.frombuffer(keys, np.int64).tolist():
+            lines.setdefault(key, set()).add(h)
+    expected = sorted(key for key, found in lines.items() if len(found) > 1)
+    banded = spark.createDataFrame(rows, "h long, bands binary")
+    for part in (1 << 16, 50):
+        shared = line_dedup._shared_buckets(banded, part)
+        assert sorted(r.bucket for r in shared.collect()) == expected
+    for bits in (1 << 20, 64):
+        marked = {(r.h, r.bucket) for r in line_dedup._marked_buckets(banded, shared, bits).collect()}
+        assert {(h, key) for key in expected for h in lines[key]} <= marked <= {(h, key) for key, found in lines.items() for h in found}
+    assert line_dedup._shared_buckets(banded.limit(0)).count() == 0
+
+
+def test_band_keys_are_dealt_in_ranges_and_a_frequent_one_by_its_ends(monkeypatch):
+    rows = banded_lines(random.Random(8))
+    batches = [pa.RecordBatch.from_pylist([{"h": h, "bands": keys} for h, keys in rows[i : i + 70]]) for i in range(0, len(rows), 70)]
+    n = 3 * len(rows)
+    whole = None
+    for at_once in (1 << 18, 300, 1):
+        monkeypatch.setattr(line_dedup, "BUCKETS_AT_ONCE", at_once)
+        dealt = list(line_dedup._dealt_buckets(8)(iter(batches)))
+        # A row for a range of keys and not for a key.
+        assert sum(map(len, dealt)) <= 8 * len(dealt) and (at_once == 1 or len(dealt) <= 3 * n // at_once + 1)
+        pairs = [np.frombuffer(pairs, np.int64).reshape(-1, 2) for batch in dealt for pairs in batch.column("pairs").to_pylist()]
+        assert all((p[:, 0] == 77).sum() <= 2 for p in pairs)
+        in_order = pa.Table.from_batches(dealt).sort_by("part").to_batches(5)
+        met = sorted(bucket for batch in line_dedup._met_buckets(iter(in_order)) for bucket in batch.column("bucket").to_pylist())
+        assert 77 in met
+        whole = whole or sorted(set(met))
+        assert sorted(set(met)) == whole
+
+
 def test_a_bucket_of_like_lines_is_sent_once(spark):
     """20,000 like lines in one bucket: rows grow with the lines, and no second pass is needed."""
     n, tile = 20_000, 512
