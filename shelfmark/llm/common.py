@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import uuid
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,10 +39,28 @@ def give_back() -> None:
         trim(0)
 
 
-def thrifty(mapped: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """``mapped``, a function over batches, giving back memory before and after its task."""
+_held: list[Callable] = []
+
+
+def held(load: Callable) -> Callable:
+    """``load`` with a cache that lasts until the worker's next task that is ``thrifty`` and does not keep it."""
+    cached = cache(load)
+    _held.append(cached)
+    return cached
+
+
+def forget() -> None:
+    """Drop what is ``held``: a tokenizer is of no use to the next operator's tasks."""
+    for cached in _held:
+        cached.cache_clear()
+
+
+def thrifty(mapped: Callable[[Iterator], Iterator], keeps: bool = False) -> Callable[[Iterator], Iterator]:
+    """``mapped``, a function over batches, giving back memory before and after its task; ``keeps``: it uses what is ``held``."""
 
     def wrapped(batches: Iterator) -> Iterator:
+        if not keeps:
+            forget()
         give_back()
         yield from mapped(batches)
         give_back()

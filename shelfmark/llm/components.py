@@ -49,7 +49,8 @@ class Forest:
         return [(root, node) for node in list(self.parent) if (root := self.find(node)) != node]
 
 
-def _united(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def united(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links ``a, b`` of a task as forests: one link for each member."""
     forest, held = Forest(), 0
     for frame in frames:
         for left, right in zip(frame["a"].tolist(), frame["b"].tolist(), strict=True):
@@ -61,16 +62,18 @@ def _united(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(forest.links(), columns=["a", "b"], dtype="int64")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, done: bool = False) -> DataFrame:
     """``node, root`` for every node of ``links`` (longs ``a, b``), root the smallest of its component.
 
     Nodes without a link to another node are not in the result. Repeated links, links to
-    oneself and both directions are allowed; a null end is ignored.
+    oneself and both directions are allowed; a null end is ignored. ``done``: the Python function that makes
+    the links unites them, which saves each task a second Python worker beside the first.
     """
     labels = None
     links = links.where("a <> b")
     while True:
-        links = stored(links.mapInPandas(thrifty(_united), "a long, b long"), "links")
+        links = stored(links if done else links.mapInPandas(thrifty(united), "a long, b long"), "links")
+        done = False
         if links.isEmpty():
             break
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -13,12 +13,13 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from shelfmark.llm.common import held
+
 #: Pieces, and parts of pieces, that a task remembers; it bounds memory and leaves the result as it is.
 REMEMBERED = 200_000
 #: Beyond Latin letters, other white space than space and newline, and spaces not alone between two words.
@@ -32,7 +33,7 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
+@held
 def tokenizer(file: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -54,7 +55,7 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-@cache
+@held
 def _spec(file: str) -> dict:
     """The tokenizer's file but for its vocabulary and merges."""
     with open(file, encoding="utf-8") as source:
@@ -63,7 +64,7 @@ def _spec(file: str) -> dict:
     return spec
 
 
-@cache
+@held
 def _ranked(file: str) -> Callable[[str], list[int]] | None:
     """A faster engine over the same vocabulary, where the file is plain byte-level BPE whose ids are in merge order; else none."""
     import tiktoken

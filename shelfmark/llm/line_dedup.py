@@ -565,12 +565,12 @@ def line_roots(
     )
     members = stored(members.join(sizes, "bucket").selectExpr("low", "bucket", "h", "cast(pmod(xxhash64(h), tiles) as int) slot", "tiles"), "members")
     lines = stored(_candidate_lines(docs, members.select("h").distinct(), hint_bits), "candidates")
-    roots = stored(components(_links(_by_themselves(members), lines, similarity, size)), "roots")
+    roots = stored(components(_links(_by_themselves(members), lines, similarity, size), done=True), "roots")
     apart = stored(_still_apart(members, roots, tile), "apart")
     if apart.isEmpty():
         return roots
     more = _links(apart, lines, similarity, size)
-    return stored(components(roots.selectExpr("root a", "node b").union(more)), "roots")
+    return stored(components(roots.selectExpr("root a", "node b").union(more), done=True), "roots")
 
 
 def signed_lines(docs: DataFrame, size: int = SHINGLE_CHARS, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

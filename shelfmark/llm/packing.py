@@ -115,7 +115,7 @@ def _first_round(file: str, sequence: int, open_bins: int, end_id: int):
             yield _batch(done)
         yield _batch([(True, content) for content in packer.rest()])
 
-    return thrifty(mapped)
+    return thrifty(mapped, keeps=True)
 
 
 def _further_round(sequence: int, open_bins: int):

@@ -102,7 +102,9 @@ def with_statistics(docs: DataFrame, name: str) -> DataFrame:
         give_back()
         return pd.DataFrame([statistics_of(text) for text in texts], columns=list(COUNTS), dtype="int64")
 
-    return docs.withColumn(name, F.pandas_udf(counted, STATS)(F.col("text").cast("string")))
+    # Else a filter on the statistics is pushed below them and counts every text a second time, in a second Python worker.
+    once = F.pandas_udf(counted, STATS).asNondeterministic()
+    return docs.withColumn(name, once(F.col("text").cast("string")))
 
 
 def base_failed(stats: str) -> Column:

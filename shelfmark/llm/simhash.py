@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored, thrifty, words_of
-from shelfmark.llm.components import Forest, components
+from shelfmark.llm.components import Forest, components, united
 
 SHINGLE_WORDS = 3
 MAX_BITS = 3
@@ -184,7 +184,8 @@ def near_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS, tree_size:
         raise ValueError("four quarters find fingerprints within 3 bits")
     groups = ["shard", "slot_a", "slot_b"]
     dealt = _shards(distinct, tree_size).repartition(*groups).sortWithinPartitions(*groups, "slot", "fp")
-    return dealt.mapInPandas(thrifty(_linked(max_bits)), "a long, b long")
+    linked = _linked(max_bits)
+    return dealt.mapInPandas(thrifty(lambda frames: united(linked(frames))), "a long, b long")
 
 
 def simhash_groups(
@@ -199,7 +200,7 @@ def simhash_groups(
     """
     prints = stored(fingerprints(docs, shingle_words), "fingerprints")
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    roots = components(near_fingerprints(distinct.select("fp"), max_bits, tree_size))
+    roots = components(near_fingerprints(distinct.select("fp"), max_bits, tree_size), done=True)
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "first_id"
     )

@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, and the queries that SQL can express."""
 
 import random
+import re
 
 import duckdb
 import pytest
@@ -9,7 +10,7 @@ from test_dedup import plain_lines, plain_print, union
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from shelfmark.llm import quality_classifier, quality_rules
+from shelfmark.llm import common, components, line_dedup, quality_classifier, quality_rules, simhash
 
 SMALL = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -68,6 +69,41 @@ def test_lines_then_near_stage_match_brute_force(spark):
     assert {r.doc_id for r in packed} == {i for i in prints if roots[i] == i}
 
 
+def python_in_a_row(plan: str) -> int:
+    """The most Python evaluations that rows of one Spark stage go through, each with a worker of its own."""
+    above, most = [], 0
+    for line in plan.splitlines():
+        found = re.match(r"([ :+-]*)(?:\*\(\d+\) )?(\w+)", line)
+        if found:
+            depth, node = len(found[1]), found[2]
+            while above and above[-1][0] >= depth:
+                above.pop()
+            n = 0 if "Exchange" in node else (above[-1][1] if above else 0) + bool(re.search("MapIn|EvalPython|InPandas|InArrow", node))
+            above.append((depth, n))
+            most = max(most, n)
+    return most
+
+
+def test_a_task_has_one_python_worker(spark, monkeypatch):
+    """Workers outlive their tasks: a second one for each task would stay beside the executor for all later stages."""
+    found, stored = {}, common.stored
+
+    def noted(frame, name):
+        found[name] = max(found.get(name, 0), python_in_a_row(frame._jdf.queryExecution().executedPlan().toString()))
+        return stored(frame, name)
+
+    for module in (components, line_dedup, quality_rules, simhash):
+        monkeypatch.setattr(module, "stored", noted)
+    _, docs = small_documents(spark)
+    docs = stored(docs, "docs")
+    for name in ("quality_rules", "line_dedup", "simhash_near_dedup"):
+        noted(dict(corpus_pipeline.STAGES)[name](spark, docs, SMALL), name)
+    assert {name: found[name] for name in ("vectors", "quality_rules", "lines", "links", "line_dedup", "fingerprints")} == dict.fromkeys(
+        ("vectors", "quality_rules", "lines", "links", "line_dedup", "fingerprints"), 1
+    )
+    assert max(found.values()) == 1
+
+
 def test_stages_take_empty_tables_and_further_columns(spark):
     _, docs = small_documents(spark)
     wide = docs.selectExpr("*", "1 score", "2 stats", "'x' kept", "3 n_kept", "4 fingerprint", "5 fp", "6 h", "7 key", "8 _gone_id")

@@ -76,6 +76,16 @@ def test_workers_give_memory_back():
     assert resident() < held - (10 << 20)
 
 
+def test_workers_drop_tokenizers_with_the_next_operator():
+    """A tokenizer lasts for the tasks that use it; a task of another operator does not keep it beside its own work."""
+    file = path("byte_bpe_50k.json")
+    kept = tokenizer(file)
+    list(common.thrifty(iter, keeps=True)([1]))
+    assert tokenizer(file) is kept
+    list(common.thrifty(iter)([1]))
+    assert tokenizer.cache_info().currsize == 0 and tokenizer(file).get_vocab_size() == kept.get_vocab_size()
+
+
 def test_rolling_hash_by_halves():
     rng = random.Random(4)
     numbers = np.array([rng.getrandbits(64) for _ in range(200)], np.uint64)
